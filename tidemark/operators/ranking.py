@@ -47,16 +47,19 @@ def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def ranked(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
-           rank: str = "rank_no") -> DataFrame:
+           rank: str = "rank_no", weight: Column | None = None) -> DataFrame:
     """Row number (from 1) of each row in its group by ``order`` (``-name`` = descending).
 
-    Add columns to ``order`` until it is total; equal rows are numbered arbitrarily.
+    With ``weight`` it is the sum of the weights up to and including the row. Add columns to
+    ``order`` until it is total; equal rows are numbered arbitrarily.
     """
     group = list(group)
-    sliced = _sliced(df.withColumn(_WEIGHT, F.lit(1).cast("bigint")), group, order)
+    step = (F.lit(1) if weight is None else weight).cast("bigint")
+    sliced = _sliced(df.withColumn(_WEIGHT, step), group, order)
     offsets = _offsets(sliced, group).drop("n_total")
-    within = W.partitionBy(_SLICE, *group).orderBy(*_ordering(order))
-    numbered = sliced.withColumn("_pos", F.row_number().over(within))
+    within = (W.partitionBy(_SLICE, *group).orderBy(*_ordering(order))
+              .rowsBetween(W.unboundedPreceding, 0))
+    numbered = sliced.withColumn("_pos", F.sum(_WEIGHT).over(within))
     return (numbered.join(offsets, _on(numbered, offsets, [_SLICE, *group]))
             .select(*[numbered[c] for c in df.columns],
                     (F.col(_BEFORE) + F.col("_pos")).cast("bigint").alias(rank)))

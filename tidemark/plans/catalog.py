@@ -1,6 +1,6 @@
 """All named queries."""
 
-from . import cohort_queries, encounter_queries  # noqa: F401
+from . import cohort_queries, encounter_queries, model_queries  # noqa: F401
 from .registry import EXPECTED, QUERIES
 
 __all__ = ["EXPECTED", "QUERIES"]
