@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise
 from .design import Design
-from .lmm import NESTED, SITE, UNIT, Sums, fit_structure, sufficient_sums, variance_components
+from .lmm import COARSE, Sums, fit_structures, sufficient_sums, variance_components
 
 
 def poisson_weight(uniform: Column) -> Column:
@@ -53,14 +53,15 @@ def bootstrap_shares(model: Design, fitted: pd.DataFrame, row_key: list[str], re
     Every replicate keeps the structure chosen for the original rows.
     """
     sums: Sums = sufficient_sums(resampled(model, row_key, replicates, seed), "weight")
-    structure = dict(zip(fitted["fit"], fitted["structure"]))
-    parts = []
-    for kind in (NESTED, SITE, UNIT):
-        fits = [f"{m}|{i}" for m, s in structure.items() if s == kind
-                for i in range(1, replicates + 1)]
-        if fits:
-            parts.append(fit_structure(sums, fits, kind))
-    shares = variance_components(pd.concat(parts, ignore_index=True))
+    wanted, grids = [], {}
+    for m in fitted.itertuples():
+        near = tuple((0.0,) if v == 0 else (0.0, v / 8, v, v * 8) for v in (m.tp, m.th))
+        if m.singular:                           # nothing to start from
+            near = COARSE[m.structure]
+        for i in range(1, replicates + 1):
+            wanted.append((f"{m.fit}|{i}", m.structure))
+            grids[wanted[-1]] = near
+    shares = variance_components(fit_structures(sums, wanted, grids=grids))
     shares["fit"] = shares["fit"].str.rsplit("|", n=1).str[0]
     tail = (1 - level) / 2
     grouped = shares.groupby(["fit", "component"])["pct_variance"]

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import materialise
 from .design import Design
@@ -48,15 +48,13 @@ def triangle(p: int) -> list[tuple[int, int]]:
 
 def sufficient_sums(model: Design, weight: str | None = None) -> Sums:
     """Sums per (fit, site, unit) and cross-products per fit, optionally weighted."""
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    xs, y = [F.col(x) for x in model.xs], F.col("y")
-    p = len(xs)
-    units = materialise(model.rows.groupBy("fit", "site", "unit").agg(
-        F.sum(w).alias("n"), F.sum(w * y).alias("r"),
-        *[F.sum(w * x).alias(f"s{i}") for i, x in enumerate(xs)],
-        F.sum(w * y * y).alias("yy"), *[F.sum(w * x * y).alias(f"xy{i}")
-                                        for i, x in enumerate(xs)],
-        *[F.sum(w * xs[i] * xs[j]).alias(f"g{i}_{j}") for i, j in triangle(p)]), "units")
+    w = f"cast({weight} AS double)" if weight else "1D"
+    p = len(model.names)
+    units = materialise(model.rows.groupBy("fit", "site", "unit").agg(*_sums({
+        "n": w, "r": f"{w} * y", "yy": f"{w} * y * y",
+        **{f"s{i}": f"{w} * x{i}" for i in range(p)},
+        **{f"xy{i}": f"{w} * x{i} * y" for i in range(p)},
+        **{f"g{i}_{j}": f"{w} * x{i} * x{j}" for i, j in triangle(p)}})), "units")
     return _with_totals(units, model.names)
 
 
@@ -65,49 +63,52 @@ def _with_totals(units: DataFrame, names: Sequence[str]) -> Sums:
     totals = units.groupBy("fit").agg(
         F.sum("n").alias("n_obs"), F.count(F.lit(1)).alias("n_units"),
         F.countDistinct("site").alias("n_sites"), F.sum("yy").alias("yy"),
-        F.sum("r").alias("sum_y"),
-        F.array(*[F.sum(f"xy{i}") for i in range(p)]).alias("xy"),
-        F.array(*[F.sum(f"g{i}_{j}") for i, j in triangle(p)]).alias("xx"))
+        F.sum("r").alias("sum_y"), _array_sum([f"xy{i}" for i in range(p)], "xy"),
+        _array_sum([f"g{i}_{j}" for i, j in triangle(p)], "xx"))
     return Sums(units, materialise(totals, "totals"), tuple(names))
 
 
-def by_site(sums: Sums) -> Sums:
-    """The same models with the site as the only grouping level."""
-    p = sums.p
-    kept = ["n", "r", "yy", *[f"s{i}" for i in range(p)], *[f"xy{i}" for i in range(p)],
-            *[f"g{i}_{j}" for i, j in triangle(p)]]
-    units = sums.units.groupBy("fit", F.lit("all").alias("site"), F.col("site").alias("unit")).agg(
-        *[F.sum(c).alias(c) for c in kept])
-    return Sums(materialise(units, "sites"), sums.totals, sums.names)
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Driver rows as a table; short ones as literals, which need no Python task."""
+    if len(rows) > 400:
+        return spark.createDataFrame(rows, schema)
+    names = [part.split()[0] for part in schema.split(", ")]
+    text = lambda v: f"'{v}'" if isinstance(v, str) else (
+        f"{v!r}D" if isinstance(v, float) else str(v))
+    cells = ", ".join("(" + ", ".join(map(text, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {cells} AS t({', '.join(names)})")
+
+
+def _sums(parts: Mapping[str, str]) -> list[Column]:
+    return [F.expr(f"sum({expression}) AS {name}") for name, expression in parts.items()]
+
+
+def _array_sum(parts: Sequence[str], name: str) -> Column:
+    return F.expr(f"array({', '.join(f'sum({x})' for x in parts)}) AS {name}")
 
 
 def reduced_systems(units: DataFrame, totals: DataFrame, points: DataFrame,
                     p: int) -> DataFrame:
-    """Per (fit, point): the reduced normal equations and the log determinant."""
-    k = 1 / (1 + F.col("n") * F.col("tp"))
+    """Per point: the reduced normal equations and the log determinant."""
     each = (units.select("fit", "site", "n", "r", *[f"s{i}" for i in range(p)])
-            .join(points, "fit").withColumn("k", k).withColumn("w", F.col("tp") * F.col("k")))
-    s, w, r = [F.col(f"s{i}") for i in range(p)], F.col("w"), F.col("r")
-    sites = each.groupBy("fit", "point", "tp", "th", "site").agg(
-        F.sum(F.col("n") * F.col("k")).alias("a"), F.sum(r * F.col("k")).alias("u"),
-        F.sum(F.log1p(F.col("n") * F.col("tp"))).alias("ld"), F.sum(w * r * r).alias("c"),
-        *[F.sum(s[i] * F.col("k")).alias(f"t{i}") for i in range(p)],
-        *[F.sum(w * s[i] * r).alias(f"b{i}") for i in range(p)],
-        *[F.sum(w * s[i] * s[j]).alias(f"m{i}_{j}") for i, j in triangle(p)])
-    v = F.col("th") / (1 + F.col("th") * F.col("a"))
-    u = F.col("u")
-    whole = sites.groupBy("fit", "point", "tp", "th").agg(
-        F.sum(F.col("ld") + F.log1p(F.col("th") * F.col("a"))).alias("logdet"),
-        F.sum(F.col("c") + v * u * u).alias("cut_c"),
-        F.array(*[F.sum(F.col(f"b{i}") + v * F.col(f"t{i}") * u) for i in range(p)])
-        .alias("cut_b"),
-        F.array(*[F.sum(F.col(f"m{i}_{j}") + v * F.col(f"t{i}") * F.col(f"t{j}"))
-                  for i, j in triangle(p)]).alias("cut_a"))
-    minus = lambda x, y: x - y
-    return whole.join(totals, "fit").select(
+            .join(points, "fit").withColumn("k", F.expr("1 / (1 + n * tp)")))
+    w = "(tp * k)"
+    sites = each.groupBy("fit", "point", "site").agg(
+        F.first("tp").alias("tp"), F.first("th").alias("th"),
+        *_sums({"a": "n * k", "u": "r * k", "ld": "log1p(n * tp)", "c": f"{w} * r * r",
+                **{f"t{i}": f"s{i} * k" for i in range(p)},
+                **{f"b{i}": f"{w} * s{i} * r" for i in range(p)},
+                **{f"m{i}_{j}": f"{w} * s{i} * s{j}" for i, j in triangle(p)}}))
+    sites = sites.withColumn("v", F.expr("th / (1 + th * a)"))
+    whole = sites.groupBy("fit", "point").agg(
+        F.first("tp").alias("tp"), F.first("th").alias("th"),
+        *_sums({"logdet": "ld + log1p(th * a)", "cut_c": "c + v * u * u"}),
+        _array_sum([f"b{i} + v * t{i} * u" for i in range(p)], "cut_b"),
+        _array_sum([f"m{i}_{j} + v * t{i} * t{j}" for i, j in triangle(p)], "cut_a"))
+    return whole.join(totals, "fit").selectExpr(
         "fit", "point", "tp", "th", "logdet", "n_obs",
-        F.zip_with("xx", "cut_a", minus).alias("a"), F.zip_with("xy", "cut_b", minus).alias("b"),
-        (F.col("yy") - F.col("cut_c")).alias("c"))
+        "zip_with(xx, cut_a, (x, y) -> x - y) AS a", "zip_with(xy, cut_b, (x, y) -> x - y) AS b",
+        "yy - cut_c AS c")
 
 
 _SOLVED = ("fit string, point int, tp double, th double, deviance double, sigma2 double, "
@@ -149,58 +150,76 @@ def _solver(p: int, reml: bool):
     return solve
 
 
-def evaluate_points(sums: Sums, points: Mapping[str, Sequence[Point]],
-                    reml: bool) -> DataFrame:
-    """Deviance, residual variance and coefficients at each point of each model."""
-    rows = [(fit, i, float(tp), float(th)) for fit, at in points.items()
-            for i, (tp, th) in enumerate(at)]
-    spark = sums.units.sparkSession
-    listed = spark.createDataFrame(rows, "fit string, point int, tp double, th double")
+def evaluate_points(sums: Sums, points: Sequence[tuple[str, Point]], reml: bool) -> pd.DataFrame:
+    """Deviance, residual variance and coefficients at each (model rows, point)."""
+    listed = small_table(
+        sums.units.sparkSession,
+        [(fit, i, float(tp), float(th)) for i, (fit, (tp, th)) in enumerate(points)],
+        "fit string, point int, tp double, th double")
     systems = reduced_systems(sums.units, sums.totals, listed, sums.p)
-    return systems.mapInPandas(_solver(sums.p, reml), _SOLVED)
+    return systems.mapInPandas(_solver(sums.p, reml), _SOLVED).toPandas().set_index("point")
+
+
+Grids = tuple[Sequence[float], Sequence[float]]
+COARSE: dict[str, Grids] = {NESTED: (GRID, GRID), SITE: ((0.0,), GRID), UNIT: (GRID, (0.0,))}
 
 
-def fit_structure(sums: Sums, fits: Sequence[str], structure: str,
-                  reml: bool = True) -> pd.DataFrame:
-    """One row per model: ``fit, tp, th, deviance, sigma2, beta, se, n_obs, singular``."""
-    used = by_site(sums) if structure == SITE else sums
-    has = {NESTED: (True, True), SITE: (True, False), UNIT: (True, False)}[structure]
+def fit_structures(sums: Sums, wanted: Sequence[tuple[str, str]], reml: bool = True,
+                   grids: Mapping[tuple[str, str], Grids] | None = None) -> pd.DataFrame:
+    """One row per wanted (fit, structure): ``fit, structure, tp, th, deviance, sigma2, beta,
+    se, n_obs, singular``. Intercepts of sites alone are the nested model without unit
+    variance, so all structures share the unit sums and every evaluation."""
+    keep: dict[tuple[str, Point], pd.Series] = {}
+    names = {f"{fit}#{structure}": (fit, structure) for fit, structure in wanted}
 
     def evaluate(points):
-        got = evaluate_points(used, points, reml).select("fit", "point", "deviance").collect()
-        table = {(r["fit"], r["point"]): r["deviance"] for r in got}
-        return {m: [table[m, i] for i in range(len(at))] for m, at in points.items()}
+        flat = [(names[m][0], p) for m, at in points.items() for p in at]
+        flat = list(dict.fromkeys(flat))
+        got = evaluate_points(sums, flat, reml)
+        for i, key in enumerate(flat):
+            keep[key] = got.loc[i]
+        return {m: [keep[names[m][0], p]["deviance"] for p in at] for m, at in points.items()}
+
+    coarse = {m: (grids or {}).get(names[m], COARSE[names[m][1]]) for m in names}
+    best = minimise(coarse, evaluate)
+    out = pd.DataFrame([keep[names[m][0], p] for m, p in best.items()]).reset_index(drop=True)
+    out["structure"] = [names[m][1] for m in best]
+    least = np.where(out["structure"] == NESTED, out[["tp", "th"]].min(axis=1),
+                     out[["tp", "th"]].max(axis=1))
+    return out.assign(singular=least < 1e-8)
+
+
+def choose_structures(sizes: pd.DataFrame, min_units: int,
+                      prefer_nested: bool) -> list[tuple[str, str]]:
+    """Candidate structures: units for one site, else units within sites and sites alone.
+
+    ``sizes`` has ``fit, n_sites, n_units``; nesting needs ``min_units`` units.
+    """
+    wanted = []
+    for m in sizes.itertuples():
+        if m.n_sites == 1:
+            wanted.append((m.fit, UNIT))
+            continue
+        if prefer_nested and m.n_units >= min_units:
+            wanted.append((m.fit, NESTED))
+        wanted.append((m.fit, SITE))
+    return wanted
+
 
-    best = minimise({m: has for m in fits}, evaluate, GRID)
-    out = evaluate_points(used, {m: [p] for m, p in best.items()}, reml).toPandas()
-    if structure == SITE:                         # the only level is the site
-        out = out.assign(th=out["tp"], tp=0.0)
-    least = {NESTED: out[["tp", "th"]].min(axis=1), SITE: out["th"], UNIT: out["tp"]}[structure]
-    return out.assign(structure=structure, singular=least < 1e-8)
+def first_admissible(fitted: pd.DataFrame) -> pd.DataFrame:
+    """Per model the nested fit unless it is singular, else the one with a single level."""
+    usable = fitted[~(fitted["singular"] & (fitted["structure"] == NESTED))]
+    order = usable["structure"].map({NESTED: 0, UNIT: 1, SITE: 2})
+    return (usable.assign(_order=order).sort_values(["fit", "_order"])
+            .drop_duplicates("fit").drop(columns="_order").reset_index(drop=True))
 
 
 def fit_lmm(sums: Sums, min_units: int = 5, prefer_nested: bool = True,
             reml: bool = True) -> pd.DataFrame:
-    """Best admissible structure per model.
-
-    One site: unit intercepts. Several sites: unit within site, unless there are fewer than
-    ``min_units`` units or the fit is singular; then site intercepts.
-    """
+    """Best admissible structure per model, with ``n_units`` and ``n_sites``."""
     sizes = sums.totals.select("fit", "n_units", "n_sites").toPandas()
-    single = sizes.loc[sizes["n_sites"] == 1, "fit"].tolist()
-    nested = sizes.loc[(sizes["n_sites"] > 1) & (sizes["n_units"] >= min_units)
-                       & prefer_nested, "fit"].tolist()
-    parts = []
-    if single:
-        parts.append(fit_structure(sums, single, UNIT, reml))
-    if nested:
-        tried = fit_structure(sums, nested, NESTED, reml)
-        parts.append(tried[~tried["singular"]])
-        nested = tried.loc[~tried["singular"], "fit"].tolist()
-    rest = [f for f in sizes["fit"] if f not in single and f not in nested]
-    if rest:
-        parts.append(fit_structure(sums, rest, SITE, reml))
-    return pd.concat(parts, ignore_index=True).merge(sizes, on="fit")
+    fitted = fit_structures(sums, choose_structures(sizes, min_units, prefer_nested), reml)
+    return first_admissible(fitted).merge(sizes, on="fit")
 
 
 def variance_components(fitted: pd.DataFrame) -> pd.DataFrame:
@@ -280,20 +299,18 @@ def unit_fixed_test(sums: Sums) -> pd.DataFrame:
     is X'X - sum s s'/n. With several sites the null model has site intercepts, by ML.
     """
     p = sums.p
-    s, n, r = [F.col(f"s{i}") for i in range(p)], F.col("n"), F.col("r")
     between = sums.units.groupBy("fit").agg(
-        F.sum(r * r / n).alias("rr"),
-        F.array(*[F.sum(s[i] * r / n) for i in range(p)]).alias("sr"),
-        F.array(*[F.sum(s[i] * s[j] / n) for i, j in triangle(p)]).alias("ss"))
+        F.expr("sum(r * r / n) AS rr"), _array_sum([f"s{i} * r / n" for i in range(p)], "sr"),
+        _array_sum([f"s{i} * s{j} / n" for i, j in triangle(p)], "ss"))
     got = sums.totals.join(between, "fit").toPandas()
     several = got.loc[got["n_sites"] > 1, "fit"].tolist()
-    null = fit_structure(sums, several, SITE, reml=False) if several else pd.DataFrame(
-        columns=["fit", "deviance"])
+    parts = []
+    if several:
+        parts.append(fit_structures(sums, [(m, SITE) for m in several], reml=False))
     single = got.loc[got["n_sites"] == 1, "fit"].tolist()
     if single:
-        flat = evaluate_points(sums, {m: [(0.0, 0.0)] for m in single}, False).toPandas()
-        null = pd.concat([null, flat], ignore_index=True)
-    null = null.set_index("fit")["deviance"]
+        parts.append(evaluate_points(sums, [(m, (0.0, 0.0)) for m in single], False))
+    null = pd.concat(parts).set_index("fit")["deviance"]
     rows = []
     for m in got.itertuples():
         within = symmetric(np.array([m.xx]) - np.array([m.ss]), p)[0]

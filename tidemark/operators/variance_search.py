@@ -6,7 +6,7 @@ number per point, so the driver only ever holds (models x points) numbers.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from itertools import product
 
 import numpy as np
@@ -49,27 +49,25 @@ def _newton(centre: Point, step: float, points: list[Point], values: list[float]
     return out[0], out[1]
 
 
-def minimise(models: Mapping[str, tuple[bool, bool]], evaluate: Evaluate,
-             grid: tuple[float, ...], steps: tuple[float, ...] = STEPS) -> dict[str, Point]:
+def minimise(models: Mapping[str, tuple[Sequence[float], Sequence[float]]],
+             evaluate: Evaluate, steps: Sequence[float] = STEPS) -> dict[str, Point]:
     """Best (unit, site) point per model.
 
-    ``models`` says which of the two variances each model has; the other stays at zero.
-    ``grid`` is the coarse grid and should contain 0.
+    ``models`` holds the coarse grids of the two variances; ``(0.0,)`` keeps one at zero.
     """
     seen: dict[str, dict[Point, float]] = {m: {} for m in models}
 
-    def run(points: dict[str, list[Point]]) -> dict[str, list[float]]:
+    def run(points: dict[str, list[Point]]) -> Mapping[str, list[float]]:
         values = evaluate(points)
         for model, found in values.items():
             seen[model].update(zip(points[model], found))
         return values
 
-    run({m: list(product(grid if has[0] else (0.0,), grid if has[1] else (0.0,)))
-         for m, has in models.items()})
+    run({m: list(product(unit, site)) for m, (unit, site) in models.items()})
     centre = {m: min(s, key=s.get) for m, s in seen.items()}
     for step in steps:
         points = {m: _stencil(c, step) for m, c in centre.items()}
         values = run(points)
         centre = {m: _newton(centre[m], step, points[m], values[m]) for m in models}
-    run({m: [c, (0.0, c[1]), (c[0], 0.0)] for m, c in centre.items()})
+    run({m: list(dict.fromkeys([c, (0.0, c[1]), (c[0], 0.0)])) for m, c in centre.items()})
     return {m: min(s, key=s.get) for m, s in seen.items()}
