@@ -1,10 +1,10 @@
 """Logistic mixed models by penalised reweighted least squares over the rows.
 
 One iteration reads the rows once: each row gets the current linear predictor of every point
-(unit and site variance) of its model, and its weight and working residual are summed per unit.
+(unit and site variance) of its model, and its weight and working response are summed per unit.
 The sums have the form of the linear model's, so coefficients and random effects follow from
 the same elimination with residual variance 1. The Laplace deviance of a point comes from the
-same pass. All models and points of a round share the passes.
+same pass. All models, structures and points of a round share the passes.
 """
 
 from __future__ import annotations
@@ -18,194 +18,179 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
 from .design import Design
-from .lmm import MODEL_TYPES, NESTED, SITE, UNIT, symmetric, triangle
+from .lmm import (MODEL_TYPES, NESTED, SITE, UNIT, _array_sum, _sums, choose_structures,
+                  first_admissible, small_table, symmetric, triangle)
 from .temporal import spread_join
 from .variance_search import Point, minimise
 
-GRID = (0.0, 0.003, 0.03, 0.3, 3.0)
-STEPS = (0.7, 0.2, 0.05)
+GRID, SINGLE_GRID = (0.0, 0.03, 0.3), (0.0, 0.003, 0.03, 0.3, 3.0)
+STEPS = (0.9, 0.3, 0.06)
+NONE = "none"                  # no random intercept
+COARSE = {NESTED: (GRID, GRID), SITE: ((0.0,), SINGLE_GRID), UNIT: (SINGLE_GRID, (0.0,)),
+          NONE: ((0.0,), (0.0,))}
 MAX_ETA = 30.0
 Q75 = 0.6744897501960817       # normal quantile at 0.75
-NONE = "none"                  # no random intercept
-
-
-def _points_frame(spark, points: Mapping[str, Sequence[Point]],
-                  betas: Mapping[tuple[str, int], list[float]], p: int) -> DataFrame:
-    rows = [(m, i, float(tp), float(th), *map(float, betas[m, i]))
-            for m, at in points.items() for i, (tp, th) in enumerate(at)]
-    terms = ", ".join(f"beta{j} double" for j in range(p))
-    return spark.createDataFrame(rows, f"fit string, point int, tp double, th double, {terms}")
-
-
-def _row_pass(rows: DataFrame, state: DataFrame, table: DataFrame, p: int) -> DataFrame:
-    """Weighted sums per (fit, point, site, unit) at the current state."""
-    xs = [F.col(f"x{i}") for i in range(p)]
-    eta = F.col("b_site") + F.col("b_unit")
-    for i in range(p):
-        eta = eta + F.col(f"beta{i}") * xs[i]
-    eta = F.greatest(F.least(eta, F.lit(MAX_ETA)), F.lit(-MAX_ETA))
-    salt = ["y", *[f"x{i}" for i in range(p)]]
-    each = (spread_join(state, rows, ["fit", "site", "unit"], salt)
-            .join(table, ["fit", "point"])
-            .withColumn("eta", eta).withColumn("mu", 1 / (1 + F.exp(-F.col("eta"))))
-            .withColumn("w", F.col("mu") * (1 - F.col("mu")))
-            .withColumn("z", F.col("w") * F.col("eta") + F.col("y") - F.col("mu")))
-    w, z = F.col("w"), F.col("z")
-    loss = -2 * (F.col("y") * F.col("eta") - F.log1p(F.exp(F.col("eta"))))
-    return each.groupBy("fit", "point", "tp", "th", "site", "unit").agg(
-        F.sum(w).alias("n"), F.sum(z).alias("r"), F.sum(loss).alias("loss"),
-        F.first("b_site").alias("b_site"), F.first("b_unit").alias("b_unit"),
-        *[F.sum(w * xs[i]).alias(f"s{i}") for i in range(p)],
-        *[F.sum(z * xs[i]).alias(f"xz{i}") for i in range(p)],
-        *[F.sum(w * xs[i] * xs[j]).alias(f"g{i}_{j}") for i, j in triangle(p)])
-
-
-def _site_sums(units: DataFrame, p: int) -> DataFrame:
-    k = 1 / (1 + F.col("n") * F.col("tp"))
-    each = units.withColumn("k", k).withColumn("q", F.col("tp") * F.col("k"))
-    q, r = F.col("q"), F.col("r")
-    s = [F.col(f"s{i}") for i in range(p)]
-    penalty = F.when(F.col("tp") > 0, F.col("b_unit") ** 2 / F.col("tp")).otherwise(0.0)
-    return each.groupBy("fit", "point", "tp", "th", "site").agg(
-        F.sum(F.col("n") * F.col("k")).alias("a"), F.sum(r * F.col("k")).alias("u"),
-        F.sum(F.col("loss") + penalty + F.log1p(F.col("n") * F.col("tp"))).alias("dev"),
-        F.first("b_site").alias("b_site"),
-        *[F.sum(s[i] * F.col("k")).alias(f"t{i}") for i in range(p)],
-        *[F.sum(F.col(f"xz{i}") - q * s[i] * r).alias(f"b{i}") for i in range(p)],
-        *[F.sum(F.col(f"g{i}_{j}") - q * s[i] * s[j]).alias(f"m{i}_{j}")
-          for i, j in triangle(p)])
-
-
-def _step(rows: DataFrame, state: DataFrame, points, betas, p: int, move: bool):
-    """One iteration: Laplace deviance at ``state`` and, with ``move``, the next state."""
-    spark = rows.sparkSession
-    table = _points_frame(spark, points, betas, p)
-    units = materialise(_row_pass(rows, state, table, p), "irls")
-    sites = _site_sums(units, p)
-    v = F.col("th") / (1 + F.col("th") * F.col("a"))
-    penalty = F.when(F.col("th") > 0, F.col("b_site") ** 2 / F.col("th")).otherwise(0.0)
-    got = sites.groupBy("fit", "point").agg(
-        F.sum(F.col("dev") + penalty + F.log1p(F.col("th") * F.col("a"))).alias("deviance"),
-        F.array(*[F.sum(F.col(f"b{i}") - v * F.col(f"t{i}") * F.col("u")) for i in range(p)])
-        .alias("b"),
-        F.array(*[F.sum(F.col(f"m{i}_{j}") - v * F.col(f"t{i}") * F.col(f"t{j}"))
-                  for i, j in triangle(p)]).alias("a")).collect()
-    inverse = {(g["fit"], g["point"]): np.linalg.pinv(
-        symmetric(np.array([g["a"]]), p)[0], hermitian=True) for g in got}
-    deviance = {(g["fit"], g["point"]): g["deviance"] for g in got}
-    if not move:
-        return deviance, inverse, betas, state
-    betas = {(g["fit"], g["point"]): (inverse[g["fit"], g["point"]] @ np.array(g["b"])).tolist()
-             for g in got}
-    table = _points_frame(spark, points, betas, p).drop("tp", "th")
-    fitted = lambda name: sum((F.col(f"{name}{i}") * F.col(f"beta{i}")
-                               for i in range(1, p)), F.col(f"{name}0") * F.col("beta0"))
-    site_effect = sites.join(table, ["fit", "point"]).select(
-        "fit", "point", "site", (v * (F.col("u") - fitted("t"))).alias("b_site"))
-    k = 1 / (1 + F.col("n") * F.col("tp"))
-    state = materialise(
-        units.drop("b_site", "b_unit").join(table, ["fit", "point"])
-        .join(site_effect, ["fit", "point", "site"])
-        .select("fit", "point", "site", "unit", "b_site",
-                (F.col("tp") * k * (F.col("r") - fitted("s") - F.col("n") * F.col("b_site")))
-                .alias("b_unit")), "effects")
-    return deviance, inverse, betas, state
 
 
 class _Solver:
-    """Deviance evaluation with warm starts from the best point of each model so far."""
+    """Deviance of points with warm starts from the best point of each model so far.
+
+    The effects table has one row per (point, site, unit); coefficients stay on the driver,
+    a few numbers per point.
+    """
 
     def __init__(self, rows: DataFrame, p: int, first: int, later: int):
         self.rows, self.p, self.first, self.later = rows, p, first, later
-        self.groups = materialise(rows.select("fit", "site", "unit").distinct(), "groups")
-        self.best: dict[str, tuple[float, list[float], int]] = {}
-        self.kept: DataFrame | None = None
-
-    def start(self, points):
-        spark = self.rows.sparkSession
-        listed = spark.createDataFrame(
-            [(m, i) for m, at in points.items() for i in range(len(at))],
-            "fit string, point int")
-        if self.kept is None:
-            zero = F.lit(0.0)
-            state = (self.groups.join(listed, "fit")
-                     .select("fit", "point", "site", "unit", zero.alias("b_site"),
-                             zero.alias("b_unit")))
-            betas = {(m, i): [0.0] * self.p for m, at in points.items() for i in range(len(at))}
-            return state, betas
-        state = self.kept.drop("point").join(listed, "fit")
-        return state, {(m, i): self.best[m][1] for m, at in points.items()
-                       for i in range(len(at))}
-
-    def run(self, points, rounds: int):
-        state, betas = self.start(points)
+        self.spark = rows.sparkSession
+        self.groups = rows.select("fit", "site", "unit").distinct()
+        self.effects: DataFrame | None = None
+        self.at: dict[tuple[str, Point], dict] = {}
+        self.best: dict[str, int] = {}
+        self.betas: list[list[float]] = []
+
+    def _table(self, points, betas):
+        rows = [(fit, i, float(tp), float(th), *map(float, betas[i]))
+                for i, (fit, (tp, th)) in enumerate(points)]
+        terms = ", ".join(f"beta{j} double" for j in range(self.p))
+        return small_table(self.spark, rows,
+                           f"fit string, point int, tp double, th double, {terms}")
+
+    def _start(self, points, origin):
+        """Effects and coefficients to begin with; ``origin`` is the old point of each."""
+        if self.effects is None:
+            listed = small_table(self.spark, [(fit, i) for i, (fit, _) in enumerate(points)],
+                                 "fit string, point int")
+            zero = self.groups.join(listed, "fit").selectExpr(
+                "fit", "point", "site", "unit", "0D AS b_site", "0D AS b_unit")
+            return zero, [[0.0] * self.p for _ in points]
+        listed = small_table(self.spark, [(o, i) for i, o in enumerate(origin)],
+                             "old int, point int")
+        moved = (self.effects.withColumnRenamed("point", "old").join(listed, "old")
+                 .drop("old"))
+        return moved, [self.betas[o] for o in origin]
+
+    def _row_pass(self, effects, table):
+        """Weighted sums per (point, site, unit) at the current effects."""
+        p = self.p
+        eta = " + ".join(["b_site", "b_unit", *[f"beta{i} * x{i}" for i in range(p)]])
+        each = (spread_join(effects, self.rows, ["fit", "site", "unit"],
+                            ["y", *[f"x{i}" for i in range(p)]])
+                .join(table.drop("fit"), "point")
+                .withColumn("eta", F.expr(f"greatest(least({eta}, {MAX_ETA}D), -{MAX_ETA}D)"))
+                .withColumn("mu", F.expr("1 / (1 + exp(-eta))"))
+                .withColumn("w", F.expr("mu * (1 - mu)"))
+                .withColumn("z", F.expr("w * eta + y - mu")))
+        firsts = [F.first(c).alias(c) for c in ("fit", "tp", "th", "b_site", "b_unit")]
+        return each.groupBy("point", "site", "unit").agg(*firsts, *_sums({
+            "n": "w", "r": "z", "loss": "-2 * (y * eta - log1p(exp(eta)))",
+            **{f"s{i}": f"w * x{i}" for i in range(p)},
+            **{f"xz{i}": f"z * x{i}" for i in range(p)},
+            **{f"g{i}_{j}": f"w * x{i} * x{j}" for i, j in triangle(p)}}))
+
+    def _site_sums(self, units):
+        p = self.p
+        each = units.withColumn("k", F.expr("1 / (1 + n * tp)")).withColumn(
+            "q", F.expr("tp * k"))
+        penalty = "if(tp > 0, b_unit * b_unit / tp, 0D)"
+        firsts = [F.first(c).alias(c) for c in ("fit", "tp", "th", "b_site")]
+        return each.groupBy("point", "site").agg(*firsts, *_sums({
+            "a": "n * k", "u": "r * k", "dev": f"loss + {penalty} + log1p(n * tp)",
+            **{f"t{i}": f"s{i} * k" for i in range(p)},
+            **{f"b{i}": f"xz{i} - q * s{i} * r" for i in range(p)},
+            **{f"m{i}_{j}": f"g{i}_{j} - q * s{i} * s{j}" for i, j in triangle(p)}}
+        )).withColumn("v", F.expr("th / (1 + th * a)"))
+
+    def _step(self, points, effects, betas, move: bool):
+        """Laplace deviance at the effects and, with ``move``, the next effects."""
+        p = self.p
+        units = self._row_pass(effects, self._table(points, betas)).persist()
+        sites = self._site_sums(units)
+        penalty = "if(th > 0, b_site * b_site / th, 0D)"
+        got = sites.groupBy("point").agg(
+            F.expr(f"sum(dev + {penalty} + log1p(th * a)) AS deviance"),
+            _array_sum([f"b{i} - v * t{i} * u" for i in range(p)], "b"),
+            _array_sum([f"m{i}_{j} - v * t{i} * t{j}" for i, j in triangle(p)], "a")
+        ).collect()
+        deviance, inverse = {}, {}
+        betas = list(betas)
+        for g in got:
+            i = g["point"]
+            deviance[i] = g["deviance"]
+            inverse[i] = np.linalg.pinv(symmetric(np.array([g["a"]]), p)[0], hermitian=True)
+            if move:
+                betas[i] = (inverse[i] @ np.array(g["b"])).tolist()
+        if not move:
+            units.unpersist()
+            return deviance, inverse, betas, effects
+        table = self._table(points, betas).select("point", *[f"beta{i}" for i in range(p)])
+        fitted = lambda name: " + ".join(f"{name}{i} * beta{i}" for i in range(p))
+        site_effect = sites.join(table, "point").selectExpr(
+            "point", "site", f"v * (u - ({fitted('t')})) AS b_site")
+        effects = materialise(
+            units.drop("b_site", "b_unit").join(table, "point")
+            .join(site_effect, ["point", "site"]).selectExpr(
+                "fit", "point", "site", "unit", "b_site",
+                f"tp / (1 + n * tp) * (r - ({fitted('s')}) - n * b_site) AS b_unit"), "effects")
+        units.unpersist()
+        return deviance, inverse, betas, effects
+
+    def run(self, models: Mapping[str, Sequence[Point]], fit_of: Mapping[str, str],
+            rounds: int | None = None) -> dict[str, list[float]]:
+        points = [(fit_of[m], p) for m, at in models.items() for p in at]
+        owner = [m for m, at in models.items() for _ in at]
+        rounds = rounds or (self.first if self.effects is None else self.later)
+        effects, betas = self._start(points, [self.best.get(m, 0) for m in owner])
         for _ in range(rounds):
-            _, _, betas, state = _step(self.rows, state, points, betas, self.p, True)
-        deviance, inverse, _, _ = _step(self.rows, state, points, betas, self.p, False)
-        chosen = {m: min(range(len(at)), key=lambda i: deviance[m, i])
-                  for m, at in points.items()}
-        self.best = {m: (deviance[m, i], betas[m, i], i) for m, i in chosen.items()}
-        listed = self.rows.sparkSession.createDataFrame(
-            [(m, i) for m, i in chosen.items()], "fit string, point int")
-        self.kept = materialise(state.join(listed, ["fit", "point"]), "kept")
-        return deviance, inverse, betas
-
-    def __call__(self, points):
-        rounds = self.first if self.kept is None else self.later
-        deviance, _, _ = self.run(points, rounds)
-        return {m: [deviance[m, i] for i in range(len(at))] for m, at in points.items()}
+            _, _, betas, effects = self._step(points, effects, betas, True)
+        deviance, inverse, _, _ = self._step(points, effects, betas, False)
+        for i, (m, (_, point)) in enumerate(zip(owner, points)):
+            self.at[m, point] = {"deviance": deviance[i], "beta": betas[i],
+                                 "se": np.sqrt(np.diag(inverse[i])).tolist()}
+        self.best = {m: min((i for i, o in enumerate(owner) if o == m), key=deviance.get)
+                     for m in models}
+        self.effects, self.betas = effects, betas
+        values = iter(range(len(points)))
+        return {m: [deviance[next(values)] for _ in at] for m, at in models.items()}
+
+
+def fit_structures(model: Design, wanted: Sequence[tuple[str, str]], first_rounds: int = 5,
+                   later_rounds: int = 2) -> pd.DataFrame:
+    """One row per wanted (fit, structure): ``tp``/``th`` are the unit and site variances,
+    with ``deviance, beta, se, singular``. ``model.rows`` should be a written table."""
+    names = {f"{fit}#{structure}": (fit, structure) for fit, structure in wanted}
+    fit_of = {m: fit for m, (fit, _) in names.items()}
+    solver = _Solver(model.rows, len(model.names), first_rounds, later_rounds)
+    best = minimise({m: COARSE[structure] for m, (_, structure) in names.items()},
+                    lambda points: solver.run(points, fit_of), STEPS)
+    out = pd.DataFrame([{
+        "fit": names[m][0], "structure": names[m][1], "tp": p[0], "th": p[1],
+        **solver.at[m, p]} for m, p in best.items()])
+    least = np.where(out["structure"] == NESTED, out[["tp", "th"]].min(axis=1),
+                     np.where(out["structure"] == NONE, 1.0, out[["tp", "th"]].max(axis=1)))
+    return out.assign(singular=least < 1e-8)
 
 
-def fit_logistic(model: Design, structure: str, first_rounds: int = 6,
-                 later_rounds: int = 2) -> pd.DataFrame:
-    """One row per model: ``fit, tp, th, deviance, beta, se, singular`` (``tp``/``th`` are the
-    unit and site variances). ``structure`` is nested, site, unit or none."""
-    p = len(model.names)
-    rows = model.rows
-    if structure in (SITE, NONE):
-        rows = rows.withColumn("unit", F.col("site")).withColumn("site", F.lit("all"))
-    rows = materialise(rows, "logit")
-    fits = [r["fit"] for r in rows.select("fit").distinct().collect()]
-    has = {NESTED: (True, True), SITE: (True, False), UNIT: (True, False),
-           NONE: (False, False)}[structure]
-    solver = _Solver(rows, p, first_rounds, later_rounds)
-    best = ({m: (0.0, 0.0) for m in fits} if structure == NONE
-            else minimise({m: has for m in fits}, solver, GRID, STEPS))
-    deviance, inverse, betas = solver.run(
-        {m: [best[m]] for m in fits}, first_rounds if structure == NONE else later_rounds)
-    out = pd.DataFrame([{
-        "fit": m, "tp": best[m][0], "th": best[m][1], "deviance": deviance[m, 0],
-        "beta": betas[m, 0], "se": np.sqrt(np.diag(inverse[m, 0])).tolist()} for m in fits])
-    if structure == SITE:
-        out = out.assign(th=out["tp"], tp=0.0)
-    least = {NESTED: out[["tp", "th"]].min(axis=1), SITE: out["th"], UNIT: out["tp"],
-             NONE: out["tp"] + 1}[structure]
-    return out.assign(structure=structure, singular=least < 1e-8)
+def _sizes(rows: DataFrame) -> pd.DataFrame:
+    return rows.groupBy("fit").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("n_outcome"),
+        F.countDistinct("site").alias("n_sites"),
+        F.countDistinct("site", "unit").alias("n_units")).toPandas()
 
 
 def fit_glmm(model: Design, min_units: int = 5, prefer_nested: bool = True) -> pd.DataFrame:
     """Best admissible structure per model, by the rules of the linear fit."""
     model = Design(materialise(model.rows, "logit"), model.names)
-    sizes = model.rows.groupBy("fit").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").alias("n_outcome"),
-        F.countDistinct("site").alias("n_sites"),
-        F.countDistinct("site", "unit").alias("n_units")).toPandas()
-    only = lambda fits: Design(model.rows.where(F.col("fit").isin(fits)),
-                               model.names)
-    single = sizes.loc[sizes["n_sites"] == 1, "fit"].tolist()
-    nested = sizes.loc[(sizes["n_sites"] > 1) & (sizes["n_units"] >= min_units)
-                       & prefer_nested, "fit"].tolist()
-    parts = []
-    if single:
-        parts.append(fit_logistic(only(single), UNIT))
-    if nested:
-        tried = fit_logistic(only(nested), NESTED)
-        parts.append(tried[~tried["singular"]])
-        nested = tried.loc[~tried["singular"], "fit"].tolist()
-    rest = [f for f in sizes["fit"] if f not in single and f not in nested]
-    if rest:
-        parts.append(fit_logistic(only(rest), SITE))
-    return pd.concat(parts, ignore_index=True).merge(sizes, on="fit")
+    sizes = _sizes(model.rows)
+    fitted = fit_structures(model, choose_structures(sizes, min_units, prefer_nested))
+    return first_admissible(fitted).merge(sizes, on="fit")
+
+
+def fit_trend(model: Design) -> pd.DataFrame:
+    """Site intercepts where a model has several sites, else none."""
+    model = Design(materialise(model.rows, "logit"), model.names)
+    sizes = _sizes(model.rows)
+    wanted = [(m.fit, SITE if m.n_sites > 1 else NONE) for m in sizes.itertuples()]
+    return fit_structures(model, wanted).merge(sizes, on="fit")
 
 
 def median_odds_ratio(variance: float) -> float:
@@ -239,19 +224,13 @@ def fit_subgroups(model: Design, subgroups: Mapping[str, str], min_n: int = 50)
             .where(F.col("_g.l").isNotNull())
             .withColumn("fit", F.concat_ws("|", "fit", "_g.v", "_g.l")).drop("_g"))
     rows = materialise(rows.select("fit", "site", "unit", "y", *model.xs), "subgroups")
-    sizes = rows.groupBy("fit").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").alias("n_outcome"),
-        F.countDistinct("site").alias("n_sites")).where(F.col("n") >= min_n).toPandas()
-    parts = []
-    for structure, many in ((UNIT, False), (SITE, True)):
-        fits = sizes.loc[(sizes["n_sites"] > 1) == many, "fit"].tolist()
-        if fits:
-            parts.append(fit_logistic(
-                Design(rows.where(F.col("fit").isin(fits)), model.names), structure))
-    fitted = pd.concat(parts, ignore_index=True).merge(sizes, on="fit")
-    fitted = fitted[~fitted["singular"]]
+    sizes = _sizes(rows)
+    sizes = sizes[sizes["n"] >= min_n]
+    wanted = choose_structures(sizes, 0, prefer_nested=False)
+    fitted = fit_structures(Design(rows, model.names), wanted).merge(sizes, on="fit")
+    fitted = fitted[~fitted["singular"]].reset_index(drop=True)
     variance = fitted["tp"] + fitted["th"]
-    names = fitted["fit"].str.split("|", n=2, expand=True)
+    names = fitted["fit"].str.split("|", n=2, expand=True).reindex(columns=range(3))
     return pd.DataFrame({
         "fit": names[0], "subgroup_var": names[1], "subgroup_value": names[2],
         "model_type": fitted["structure"].map(MODEL_TYPES),
