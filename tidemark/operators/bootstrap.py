@@ -13,7 +13,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialise
+from ..session import materialise, spread
 from .design import Design
 from .lmm import COARSE, Sums, fit_structures, sufficient_sums, variance_components
 
@@ -43,7 +43,7 @@ def resampled(model: Design, row_key: list[str], replicates: int, seed: int) ->
 
 def with_row_number(rows: DataFrame, name: str = "row_key") -> DataFrame:
     """Rows written once with a fixed number each, for tables without a unique key."""
-    return materialise(rows.withColumn(name, F.monotonically_increasing_id()), "rows")
+    return materialise(spread(rows).withColumn(name, F.monotonically_increasing_id()), "rows")
 
 
 def bootstrap_shares(model: Design, fitted: pd.DataFrame, row_key: list[str], replicates: int,

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialise
+from ..session import materialise, spread
 from .design import Design
 from .lmm import (MODEL_TYPES, NESTED, SITE, UNIT, _array_sum, _sums, choose_structures,
                   first_admissible, small_table, symmetric, triangle)
@@ -179,7 +179,7 @@ def _sizes(rows: DataFrame) -> pd.DataFrame:
 
 def fit_glmm(model: Design, min_units: int = 5, prefer_nested: bool = True) -> pd.DataFrame:
     """Best admissible structure per model, by the rules of the linear fit."""
-    model = Design(materialise(model.rows, "logit"), model.names)
+    model = Design(materialise(spread(model.rows), "logit"), model.names)
     sizes = _sizes(model.rows)
     fitted = fit_structures(model, choose_structures(sizes, min_units, prefer_nested))
     return first_admissible(fitted).merge(sizes, on="fit")
@@ -187,7 +187,7 @@ def fit_glmm(model: Design, min_units: int = 5, prefer_nested: bool = True) -> p
 
 def fit_trend(model: Design) -> pd.DataFrame:
     """Site intercepts where a model has several sites, else none."""
-    model = Design(materialise(model.rows, "logit"), model.names)
+    model = Design(materialise(spread(model.rows), "logit"), model.names)
     sizes = _sizes(model.rows)
     wanted = [(m.fit, SITE if m.n_sites > 1 else NONE) for m in sizes.itertuples()]
     return fit_structures(model, wanted).merge(sizes, on="fit")
@@ -223,7 +223,7 @@ def fit_subgroups(model: Design, subgroups: Mapping[str, str], min_n: int = 50)
     rows = (model.rows.withColumn("_g", F.explode(F.array(*cells)))
             .where(F.col("_g.l").isNotNull())
             .withColumn("fit", F.concat_ws("|", "fit", "_g.v", "_g.l")).drop("_g"))
-    rows = materialise(rows.select("fit", "site", "unit", "y", *model.xs), "subgroups")
+    rows = materialise(spread(rows.select("fit", "site", "unit", "y", *model.xs)), "subgroups")
     sizes = _sizes(rows)
     sizes = sizes[sizes["n"] >= min_n]
     wanted = choose_structures(sizes, 0, prefer_nested=False)

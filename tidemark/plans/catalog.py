@@ -1,6 +1,7 @@
 """All named queries."""
 
-from . import cohort_queries, encounter_queries, model_queries  # noqa: F401
+from . import (  # noqa: F401
+    cohort_queries, encounter_queries, model_queries, score_queries)
 from .registry import EXPECTED, QUERIES
 
 __all__ = ["EXPECTED", "QUERIES"]
