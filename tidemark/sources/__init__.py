@@ -1,0 +1 @@
+"""Typed inputs, site settings and routed outputs."""
