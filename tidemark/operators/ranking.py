@@ -1,8 +1,9 @@
 """Ranks and exact quantiles that never bring a whole group into one task.
 
-Rows are sorted once over the whole cluster by (group, value). Each sorted slice knows
-how many rows of a group lie in the slices before it, so a rank is slice offset plus
-position inside the slice. A group holding most of the rows spreads over many slices.
+Rows are sorted once over the whole cluster by (group, value), numbered in that order and
+cut into slices of consecutive rows. Each slice knows how many rows of a group lie in the
+slices before it, so a rank is slice offset plus position inside the slice. A group holding
+most of the rows spreads over many slices, and a quantile reads only the slices it falls into.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import materialise
 
-_SLICE, _WEIGHT, _BEFORE = "_slice", "_weight", "_before"
+_SLICE, _WEIGHT, _BEFORE, _ROW = "_slice", "_weight", "_before", "_row_no"
+SLICE_BITS = 12
 
 
 def _ordering(names: Sequence[str]) -> list[Column]:
@@ -21,29 +23,48 @@ def _ordering(names: Sequence[str]) -> list[Column]:
 
 
 def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Range-sorted copy of ``df`` with the number of the slice each row fell into."""
+    """Sorted copy of ``df`` with a growing row number and the slice of 4096 rows it is in.
+
+    The number is drawn above the sort in the task that writes the row, so it counts the
+    sorted rows of the range partition (low bits) after those of earlier ranges (high bits).
+    """
     keys = [F.col(g) for g in group] + _ordering(order)
+    sorted_rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     return materialise(
-        df.repartitionByRange(*keys).withColumn(_SLICE, F.spark_partition_id()), "sorted")
+        sorted_rows.withColumn(_ROW, F.monotonically_increasing_id())
+        .withColumn(_SLICE, F.shiftright(_ROW, SLICE_BITS)), "sorted")
+
+
+def _within(group: Sequence[str], order: Sequence[str]):
+    return (W.partitionBy(_SLICE, *group).orderBy(*_ordering(order))
+            .rowsBetween(W.unboundedPreceding, 0))
+
+
+def _per_group(group: Sequence[str]):
+    # Over one row per group and slice, never over the rows themselves.
+    return W.partitionBy(*group) if group else W.partitionBy(F.lit(1))
 
 
-def _offsets(sliced: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Per (group, slice): rows of the group in earlier slices and in total."""
-    sizes = sliced.groupBy(*group, _SLICE).agg(F.sum(_WEIGHT).alias("_size"))
-    # One row per group and slice: a window partition is at most the number of slices.
-    per_group = W.partitionBy(*group) if group else W.partitionBy(F.lit(1))
-    upto = per_group.orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+def _offsets(sliced: DataFrame, group: Sequence[str], size: Column) -> DataFrame:
+    """Per (group, slice): first row number, weight of the group before it, and in total."""
+    sizes = sliced.groupBy(*group, _SLICE).agg(size.alias("_size"),
+                                               F.min(_ROW).alias("_first"))
+    upto = _per_group(group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
     return sizes.select(
-        *group, _SLICE,
+        *group, _SLICE, "_first", "_size",
         F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias(_BEFORE),
-        F.sum("_size").over(per_group).alias("n_total"))
+        F.sum("_size").over(_per_group(group)).alias("n_total"))
 
 
-def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+def _join(rows: DataFrame, facts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows with the facts of their (group, slice); a missing group value is a value."""
+    keys = [_SLICE, *group]
+    named = facts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                         *[c for c in facts.columns if c not in keys])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return rows.join(named, same).drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def ranked(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
@@ -54,31 +75,28 @@ def ranked(df: DataFrame, order: Sequence[str], group: Sequence[str] = (),
     ``order`` until it is total; equal rows are numbered arbitrarily.
     """
     group = list(group)
-    step = (F.lit(1) if weight is None else weight).cast("bigint")
-    sliced = _sliced(df.withColumn(_WEIGHT, step), group, order)
-    offsets = _offsets(sliced, group).drop("n_total")
-    within = (W.partitionBy(_SLICE, *group).orderBy(*_ordering(order))
-              .rowsBetween(W.unboundedPreceding, 0))
-    numbered = sliced.withColumn("_pos", F.sum(_WEIGHT).over(within))
-    return (numbered.join(offsets, _on(numbered, offsets, [_SLICE, *group]))
-            .select(*[numbered[c] for c in df.columns],
-                    (F.col(_BEFORE) + F.col("_pos")).cast("bigint").alias(rank)))
+    if weight is None:
+        sliced = _sliced(df, group, order)
+        offsets = _offsets(sliced, group, F.count(F.lit(1)))
+        place = F.col(_BEFORE) + F.col(_ROW) - F.col("_first") + 1
+    else:
+        sliced = _sliced(df.withColumn(_WEIGHT, weight.cast("bigint")), group, order)
+        offsets = _offsets(sliced, group, F.sum(_WEIGHT))
+        sliced = sliced.withColumn("_pos", F.sum(_WEIGHT).over(_within(group, [_ROW])))
+        place = F.col(_BEFORE) + F.col("_pos")
+    return _join(sliced, offsets, group).select(*df.columns, place.cast("bigint").alias(rank))
 
 
 def running_max(df: DataFrame, order: Sequence[str], value: str, group: Sequence[str],
                 name: str = "so_far") -> DataFrame:
     """Largest ``value`` among the rows of the group up to and including each row."""
     sliced = _sliced(df, group, order)
-    within = (W.partitionBy(_SLICE, *group).orderBy(*_ordering(order))
-              .rowsBetween(W.unboundedPreceding, 0))
-    # One row per group and slice, as in _offsets.
-    earlier = W.partitionBy(*group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+    earlier = _per_group(group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
     carried = (sliced.groupBy(*group, _SLICE).agg(F.max(value).alias("_most"))
                .withColumn("_carry", F.max("_most").over(earlier)).drop("_most"))
-    seen = sliced.withColumn("_here", F.max(value).over(within))
-    return (seen.join(carried, _on(seen, carried, [_SLICE, *group]))
-            .select(*[seen[c] for c in df.columns],
-                    F.greatest("_here", "_carry").alias(name)))
+    seen = sliced.withColumn("_here", F.max(value).over(_within(group, [_ROW])))
+    return _join(seen, carried, group).select(
+        *df.columns, F.greatest("_here", "_carry").alias(name))
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[tuple[float, str]],
@@ -94,44 +112,42 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[tuple[float, str]],
                .groupBy(*group, F.col(value).alias("_value"))
                .agg(F.count(F.lit(1)).alias(_WEIGHT)))
     sliced = _sliced(counted, group, ["_value"])
-    offsets = _offsets(sliced, group)
+    offsets = _offsets(sliced, group, F.sum(_WEIGHT))
 
-    # Which order statistics each probability needs; position counts from 0.
+    # Which order statistics each probability needs; positions count from 0. Only the slices
+    # that hold one of them go on.
     wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(r).alias("rule"))
                        for p, r in probs])
-    place = (F.col("n_total") - 1) * F.col("w.prob")
-    low = F.when(F.col("w.rule") == "linear", F.floor(place)).otherwise(F.floor(place + 0.5))
-    high = F.when(F.col("w.rule") == "linear", F.ceil(place)).otherwise(low)
-    slice_end = F.lead(_BEFORE).over(
-        (W.partitionBy(*group) if group else W.partitionBy(F.lit(1))).orderBy(_SLICE))
-    targets = (
-        offsets.withColumn("_end", F.coalesce(slice_end, F.col("n_total")))
-        .withColumn("w", F.explode(wanted))
-        .withColumn("_low", low.cast("bigint")).withColumn("_high", high.cast("bigint"))
-        .withColumn("_share", F.when(F.col("w.rule") == "linear", place - F.col("_low"))
-                    .otherwise(F.lit(0.0)))
-        .withColumn("_at", F.explode(F.array_distinct(F.array("_low", "_high"))))
-        .where((F.col("_at") >= F.col(_BEFORE)) & (F.col("_at") < F.col("_end")))
-        .select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
-                F.col(_SLICE).alias("_target_slice"), "w.prob", "w.rule", "_low", "_high",
-                "_share", "_at", "n_total", _BEFORE))
-
-    within = W.partitionBy(_SLICE, *group).orderBy("_value")
-    placed = sliced.withColumn("_upto", F.sum(_WEIGHT).over(within))
-    same = placed[_SLICE] == targets["_target_slice"]
-    for i, g in enumerate(group):
-        same = same & placed[g].eqNullSafe(targets[f"_g{i}"])
-    position = targets["_at"] - targets[_BEFORE]
-    hits = placed.join(targets, same & (position >= placed["_upto"] - placed[_WEIGHT])
-                       & (position < placed["_upto"]))
-    at_low = F.max(F.when(F.col("_at") == F.col("_low"), F.col("_value")))
-    at_high = F.max(F.when(F.col("_at") == F.col("_high"), F.col("_value")))
-    return (hits.groupBy(*group, "prob", "rule", "n_total", "_share")
-            .agg(at_low.alias("_a"), at_high.alias("_b"))
-            .select(*group, "prob", "rule",
-                    (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share"))
-                    .alias("quantile"),
-                    F.col("n_total").alias("n_values")))
+    is_linear = F.col("rule") == "linear"
+    place = (F.col("n_total") - 1) * F.col("prob")
+    asked = (
+        offsets.select("*", F.inline(wanted)).withColumn("_place", place)
+        .withColumn("_low", F.when(is_linear, F.floor("_place"))
+                    .otherwise(F.floor(F.col("_place") + 0.5)).cast("bigint"))
+        .withColumn("_high", F.when(is_linear, F.ceil("_place")).otherwise(F.col("_low"))
+                    .cast("bigint")))
+    holds = lambda at: ((F.col(at) >= F.col(_BEFORE))
+                        & (F.col(at) < F.col(_BEFORE) + F.col("_size")))
+    targets = asked.where(holds("_low") | holds("_high")).groupBy(*group, _SLICE).agg(
+        F.first(_BEFORE).alias(_BEFORE), F.first("n_total").alias("n_total"),
+        F.collect_list(F.struct("prob", "rule", "_place", "_low", "_high")).alias("_asked"))
+    rows = (_join(sliced, targets, group)
+            .withColumn("_end", F.col(_BEFORE) + F.sum(_WEIGHT).over(_within(group, [_ROW]))))
+    inside = lambda at: ((at < F.col("_end"))
+                         & (at >= F.col("_end") - F.col(_WEIGHT)))
+    hits = (rows.withColumn("_asked", F.filter(
+        "_asked", lambda a: inside(a["_low"]) | inside(a["_high"])))
+        .where(F.size("_asked") > 0)
+        .select(*group, "n_total", "_value", "_end", _WEIGHT, F.inline("_asked")))
+    found = hits.groupBy(*group, "prob", "rule").agg(
+        F.max(F.when(inside(F.col("_low")), F.col("_value"))).alias("_a"),
+        F.max(F.when(inside(F.col("_high")), F.col("_value"))).alias("_b"),
+        F.max("n_total").alias("n_values"),
+        F.max(F.col("_place") - F.col("_low")).alias("_share"))
+    between = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share")
+    return found.select(
+        *group, "prob", "rule", F.when(is_linear, between).otherwise(F.col("_a"))
+        .alias("quantile"), "n_values")
 
 
 def quantile_columns(df: DataFrame, values: Sequence[str], group: Sequence[str],
