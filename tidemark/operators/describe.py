@@ -16,14 +16,19 @@ STACKED = {"median": (0.5, "linear"), "p25": (0.25, "nearest"), "p75": (0.75, "n
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
                    how: str = "left") -> DataFrame:
-    """Equi-join in which a missing key matches a missing key; keys come from the left."""
+    """Equi-join in which a missing key matches a missing key; keys come from the left.
+
+    Without keys the right side must be one row of totals.
+    """
+    if not keys:
+        for c in right.columns:
+            left = left.withColumn(c, right.select(c).scalar())
+        return left
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                            *[c for c in right.columns if c not in keys])
     condition = F.lit(True)
     for k in keys:
         condition = condition & left[k].eqNullSafe(renamed[f"_r_{k}"])
-    if not keys:
-        return left.crossJoin(renamed)
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 

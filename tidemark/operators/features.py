@@ -154,6 +154,4 @@ def modeling_view(wide: DataFrame, columns: Mapping[str, str], index_time: str,
 def centred_year(df: DataFrame, year: str = "calendar_year",
                  name: str = "calendar_year_c") -> DataFrame:
     """Years since the first year of the data."""
-    first = df.agg(F.min(year).alias("_first_year"))
-    return df.crossJoin(first).withColumn(name, F.col(year) - F.col("_first_year")).drop(
-        "_first_year")
+    return df.withColumn(name, F.col(year) - df.agg(F.min(year)).scalar())

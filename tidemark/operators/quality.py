@@ -127,12 +127,11 @@ def volume_summary(df: DataFrame, unit: str, complete: Column, threshold: int) -
         F.max("n_complete").alias("complete_max"))
     spread = quantile_columns(named.withColumnRenamed("n_complete", "complete"), ["complete"],
                               ["group"], QUARTILES)
-    size = basic.where(F.col("group") == "all").select(F.col("n_units").alias("_all"))
-    return (basic.join(spread, "group").crossJoin(size)
-            .withColumn("pct_units", F.round(F.col("n_units") / F.col("_all") * 100, 1))
+    size = units.agg(F.count(F.lit(1))).scalar()
+    return (basic.join(spread, "group")
+            .withColumn("pct_units", F.round(F.col("n_units") / size * 100, 1))
             .withColumn("pct_incomplete",
-                        F.round(F.col("n_incomplete") / F.col("n_rows") * 100, 1))
-            .drop("_all"))
+                        F.round(F.col("n_incomplete") / F.col("n_rows") * 100, 1)))
 
 
 @dataclass(frozen=True)
@@ -165,13 +164,13 @@ def collapse_levels(df: DataFrame, level: str, min_n: int, other: str) -> DataFr
     counts = df.groupBy(level).agg(F.count(F.lit(1)).alias("_n"))
     rare = (F.col("_n") < min_n) | (F.col(level) == other)
     known = F.col(level).isNotNull()
-    totals = counts.where(known).agg(
-        F.sum(F.when(rare, F.col("_n")).otherwise(0)).alias("_other_n"),
+    totals = counts.where(known).agg(F.struct(
+        F.sum(F.when(rare, F.col("_n")).otherwise(0)).alias("other_n"),
         F.min(F.when(~rare, F.struct((-F.col("_n")).alias("m"), F.col(level).alias("name"))))
-        .alias("_largest"))
-    absorb = (F.col("_other_n") < min_n) & F.col("_largest").isNotNull()
-    target = F.when(~rare, F.col(level)).when(absorb, F.col("_largest.name")).otherwise(other)
-    mapping = counts.where(known).crossJoin(totals).select(level, target.alias("_to"))
+        .alias("largest"))).scalar()
+    absorb = (F.col("_all.other_n") < min_n) & F.col("_all.largest").isNotNull()
+    target = F.when(~rare, F.col(level)).when(absorb, F.col("_all.largest.name")).otherwise(other)
+    mapping = counts.where(known).withColumn("_all", totals).select(level, target.alias("_to"))
     return (df.join(mapping, level, "left").withColumn(level, F.col("_to")).drop("_to")
             .select(*df.columns))
 
@@ -202,9 +201,8 @@ def cohort_summary(df: DataFrame, measures: Mapping[str, Column],
 
 def z_scores(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """``(x - mean) / sd`` for each ``source -> name``; one extra scan for all columns."""
-    stats = df.agg(*[c for x in columns for c in (
-        F.avg(x).alias(f"_m_{x}"), F.stddev_samp(x).alias(f"_s_{x}"))])
-    out = df.crossJoin(stats)
-    for x, name in columns.items():
-        out = out.withColumn(name, F.try_divide(F.col(x) - F.col(f"_m_{x}"), F.col(f"_s_{x}")))
-    return out.select(*df.columns, *columns.values())
+    stats = df.agg(F.struct(*[c for x in columns for c in (
+        F.avg(x).alias(f"m_{x}"), F.stddev_samp(x).alias(f"s_{x}"))])).scalar()
+    return df.withColumn("_stats", stats).select(*df.columns, *[
+        F.try_divide(F.col(x) - F.col(f"_stats.m_{x}"), F.col(f"_stats.s_{x}")).alias(name)
+        for x, name in columns.items()])

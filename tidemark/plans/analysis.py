@@ -9,14 +9,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.measures import n_missing, n_where
+from ..functions.recode import chain
 from ..operators import (bootstrap as R, describe as B, design as D, glmm as G, impute as I,
                          lmm as L, quality as Q)
 from ..session import materialise
 from ..sources.site import Site, write_shared
-from .clinical import KEY, TIER_NAMES, derive
+from .clinical import KEY, REDUCED_BELOW, REFERENCE_DOSE, TIER_NAMES, derive
 
 DRUGS = ["etomidate", "ketamine"]
 SEED = 20260319
@@ -148,16 +149,14 @@ def quality_tables(p: Prepared) -> dict[str, DataFrame]:
     }
 
 
-def _sizes(df: DataFrame, column: str, minimum: int) -> DataFrame:
+def _sizes(df: DataFrame, column: str, minimum: int) -> Column:
+    """(number of groups, number with at least ``minimum`` rows) as one scalar."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.count(F.lit(1)).alias("n_all"),
-                      n_where(F.col("n") >= minimum).alias("n_large"))
+    return counts.agg(F.struct(F.count(F.lit(1)).alias("n_all"),
+                               n_where(F.col("n") >= minimum).alias("n_large"))).scalar()
 
 
 def _summary(p: Prepared) -> DataFrame:
-    sites = _sizes(p.analytic, "hospital_id", MIN_SITE).toDF("n_hospitals", "n_hospitals_re")
-    providers = _sizes(p.analytic, "provider_id", MIN_PROVIDER).toDF(
-        "n_providers", "n_providers_re")
     rows = Q.cohort_summary(p.clean, {
         "n_after_exclusions": F.count(F.lit(1)), "n_with_weight": F.count("weight_kg"),
         "n_excluded_missing_weight": n_missing("weight_kg"),
@@ -165,10 +164,18 @@ def _summary(p: Prepared) -> DataFrame:
         "n_ketamine": n_where((F.col("drug") == "ketamine") & F.col("weight_kg").isNotNull()),
         "year_min": F.min("calendar_year"), "year_max": F.max("calendar_year")},
         {"imputation_method": p.imputation_method})
-    raw = p.raw.agg(F.count(F.lit(1)).alias("n_raw"))
-    # Each side is one row.
-    return (raw.crossJoin(rows).crossJoin(sites).crossJoin(providers)
-            .withColumn("single_hosp_site", F.col("n_hospitals") == 1))
+    return (rows.withColumn("n_raw", p.raw.agg(F.count(F.lit(1))).scalar())
+            .withColumn("_s", _sizes(p.analytic, "hospital_id", MIN_SITE))
+            .withColumn("_p", _sizes(p.analytic, "provider_id", MIN_PROVIDER))
+            .select("*", F.col("_s.n_all").alias("n_hospitals"),
+                    F.col("_s.n_large").alias("n_hospitals_re"),
+                    F.col("_p.n_all").alias("n_providers"),
+                    F.col("_p.n_large").alias("n_providers_re"),
+                    (F.col("_s.n_all") == 1).alias("single_hosp_site")).drop("_s", "_p"))
+
+
+def _by_drug(values: dict[str, float]) -> Column:
+    return chain([(F.col("drug") == d, v) for d, v in values.items()])
 
 
 def descriptive_tables(p: Prepared) -> dict[str, DataFrame]:
@@ -205,7 +212,9 @@ def descriptive_tables(p: Prepared) -> dict[str, DataFrame]:
         "figures/dose_histogram_bins": B.histogram(present, "dose_mg_kg", 0.02, ["drug"]),
         "tables/hospital_dose_summary": dose(["hospital_id", "drug"]),
         "tables/provider_dose_summary": B.provider_summary(
-            df, "provider_id", "drug", "dose_mg_kg", MIN_PROVIDER, reduced),
+            df, "provider_id", "drug", "dose_mg_kg", MIN_PROVIDER, reduced)
+        .withColumn("ref_line", _by_drug(REFERENCE_DOSE))
+        .withColumn("thresh_line", _by_drug(REDUCED_BELOW)),
         "tables/03_provider_drug_choice_summary": B.preference_share(
             df, "provider_id", F.col("drug") == "ketamine", MIN_PROVIDER,
             labels=("Predominantly etomidate (<=25%)", "Mixed (26-74%)",

@@ -111,7 +111,8 @@ def flow_document(flow: DataFrame, site: Site, cohort: DataFrame, key: str,
     size = cohort.agg(F.struct(
         F.countDistinct(key).alias("n_entities"),
         F.countDistinct(owner).alias("n_owners")).alias("final_cohort"))
-    return steps.crossJoin(size).select(F.lit(site.name).alias("site"), "steps", "final_cohort")
+    return steps.select(F.lit(site.name).alias("site"), "steps",
+                        size.scalar().alias("final_cohort"))
 
 
 def write_flow(document: DataFrame, site: Site, name: str) -> str:
