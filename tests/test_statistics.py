@@ -180,6 +180,30 @@ def test_glmm_against_dense_laplace(spark):
     assert G.median_odds_ratio(0) == 1
 
 
+def test_degrees_of_freedom_in_a_balanced_design(spark):
+    # One between-unit and one within-unit covariate, so the exact answers are known.
+    rng = np.random.default_rng(6)
+    units, each = 14, 10
+    w = np.tile(np.repeat([-1.0, 1.0], each // 2), units)
+    b = np.repeat(np.tile([-1.0, 1.0], units // 2), each)
+    y = np.repeat(rng.normal(0, 1.5, units), each) + 0.3 * w + rng.normal(size=units * each)
+    pdf = pd.DataFrame({"y": y, "w": w, "b": b, "unit": np.repeat(np.arange(units), each),
+                        "site": 0, "m": "m"})
+    sums = L.sufficient_sums(D.design(spark.createDataFrame(pdf), "y", ["w", "b"], {}, "site",
+                                      "unit", "m"))
+    fitted = L.fit_lmm(sums)
+    dof = L.degrees_of_freedom(sums, fitted)["m"]
+    assert dof[0] == pytest.approx(units - 2, rel=0.01)
+    assert dof[2] == pytest.approx(units - 2, rel=0.01)
+    assert dof[1] == pytest.approx(units * (each - 1) - 1, rel=0.01)
+
+
+def test_tails():
+    assert L.student_tails(2.2281388519649385, 10) == pytest.approx(0.05, abs=1e-9)
+    assert L.student_tails(-0.3, 4) == pytest.approx(0.7790, abs=1e-3)
+    assert L.student_tails(0.0, 7) == 1.0
+
+
 def test_chi_square_tail():
     assert L.chi_square_tail(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-9)
     assert L.chi_square_tail(124.34211340400407, 100) == pytest.approx(0.05, abs=1e-9)

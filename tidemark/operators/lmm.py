@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import materialise
 from .design import Design
-from .variance_search import Point, minimise
+from .variance_search import Point, minimise, stencil
 
 GRID = (0.0, 1e-4, 1e-3, 1e-2, 10**-1.5, 0.1, 10**-0.5, 1.0, 10**0.5, 10.0, 100.0)
 NESTED, SITE, UNIT = "nested", "site", "unit"
@@ -73,7 +73,8 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     if len(rows) > 400:
         return spark.createDataFrame(rows, schema)
     names = [part.split()[0] for part in schema.split(", ")]
-    text = lambda v: f"'{v}'" if isinstance(v, str) else (
+    quoted = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    text = lambda v: quoted(v) if isinstance(v, str) else (
         f"{v!r}D" if isinstance(v, float) else str(v))
     cells = ", ".join("(" + ", ".join(map(text, row)) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {cells} AS t({', '.join(names)})")
@@ -112,7 +113,7 @@ def reduced_systems(units: DataFrame, totals: DataFrame, points: DataFrame,
 
 
 _SOLVED = ("fit string, point int, tp double, th double, deviance double, sigma2 double, "
-           "n_obs double, beta array<double>, se array<double>")
+           "n_obs double, resid_df double, beta array<double>, se array<double>")
 
 
 def symmetric(flat: np.ndarray, p: int) -> np.ndarray:
@@ -145,8 +146,8 @@ def _solver(p: int, reml: bool):
             se = np.sqrt(np.einsum("nii->ni", inverse) * sigma2[:, None])
             yield pd.DataFrame({
                 "fit": pdf["fit"], "point": pdf["point"], "tp": pdf["tp"], "th": pdf["th"],
-                "deviance": deviance, "sigma2": sigma2, "n_obs": n, "beta": list(beta),
-                "se": list(se)})
+                "deviance": deviance, "sigma2": sigma2, "n_obs": n, "resid_df": n - rank,
+                "beta": list(beta), "se": list(se)})
     return solve
 
 
@@ -249,19 +250,103 @@ def icc_table(fitted: pd.DataFrame) -> pd.DataFrame:
         "model_type": fitted["structure"].map(MODEL_TYPES)})
 
 
+def _curvature(cells: np.ndarray, step: float) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian at the middle of a stencil with three points per axis."""
+    d = cells.ndim
+    mid = (1,) * d
+    grad, hess = np.zeros(d), np.zeros((d, d))
+    move = lambda **at: tuple(at.get(f"a{i}", 1) for i in range(d))
+    for i in range(d):
+        up, down = cells[move(**{f"a{i}": 2})], cells[move(**{f"a{i}": 0})]
+        grad[i] = (up - down) / (2 * step)
+        hess[i, i] = (up - 2 * cells[mid] + down) / step**2
+    if d == 2:
+        hess[0, 1] = hess[1, 0] = (cells[2, 2] - cells[2, 0] - cells[0, 2]
+                                   + cells[0, 0]) / (4 * step**2)
+    return grad, hess
+
+
+def degrees_of_freedom(sums: Sums, fitted: pd.DataFrame, step: float = 0.05) -> pd.Series:
+    """Satterthwaite degrees of freedom per model and coefficient.
+
+    The variance of a coefficient is a function of the variance parameters; its own sampling
+    variance follows from its slope and the curvature of the REML deviance. Both come from
+    one more evaluation on a small stencil around the estimate.
+    """
+    points, spans = [], {}
+    for m in fitted.itertuples():
+        at = stencil((m.tp, m.th), step)
+        spans[m.fit] = range(len(points), len(points) + len(at))
+        points += [(m.fit, p) for p in at]
+    got = evaluate_points(sums, points, True)
+    out = {}
+    for m in fitted.itertuples():
+        part = got.loc[list(spans[m.fit])]
+        shape = [3 for v in (m.tp, m.th) if v > 0]
+        d, df, s2 = len(shape), m.resid_df, m.sigma2
+        cells = lambda v: np.asarray(v, float).reshape(shape)  # noqa: E731,B023
+        resid = df * part["sigma2"].to_numpy()
+        rest = part["deviance"].to_numpy() - df * (np.log(2 * np.pi * part["sigma2"]) + 1)
+        hess = np.zeros((d + 1, d + 1))
+        hess[d, d] = df
+        if d:
+            slope, bend = _curvature(cells(resid), step)
+            hess[:d, :d] = bend / s2 + _curvature(cells(rest), step)[1]
+            hess[:d, d] = hess[d, :d] = -slope / s2
+        cov = 2 * np.linalg.pinv(hess, hermitian=True)
+        unit = np.stack(part["se"].to_numpy()) ** 2 / part["sigma2"].to_numpy()[:, None]
+        values = []
+        for j in range(unit.shape[1]):
+            v = m.se[j] ** 2
+            g = np.append(s2 * _curvature(cells(unit[:, j]), step)[0] if d else [], v)
+            values.append(2 * v * v / (g @ cov @ g))
+        out[m.fit] = values
+    return pd.Series(out)
+
+
 def fixed_effects(fitted: pd.DataFrame, names: Sequence[str], exponentiate: bool = False,
-                  z: float = 1.959963984540054) -> pd.DataFrame:
-    """Estimates with Wald statistics and 95 % intervals."""
+                  dof: pd.Series | None = None, z: float = 1.959963984540054) -> pd.DataFrame:
+    """Estimates with 95 % Wald intervals; t tests with ``dof``, else normal ones."""
     rows = []
     for r in fitted.itertuples():
-        for term, b, se in zip(names, r.beta, r.se):
+        for j, (term, b, se) in enumerate(zip(names, r.beta, r.se)):
             stat = b / se if se > 0 else float("nan")
+            df = dof[r.fit][j] if dof is not None else float("inf")
+            p = math.erfc(abs(stat) / math.sqrt(2)) if math.isinf(df) else student_tails(stat, df)
             lo, hi = b - z * se, b + z * se
             if exponentiate:
                 b, se, lo, hi = math.exp(b), se * math.exp(b), math.exp(lo), math.exp(hi)
-            rows.append((r.fit, term, b, se, stat, math.erfc(abs(stat) / math.sqrt(2)), lo, hi))
-    return pd.DataFrame(rows, columns=["fit", "term", "estimate", "std_error", "statistic",
-                                       "p_value", "conf_low", "conf_high"])
+            rows.append((r.fit, term, b, se, stat, df, p, lo, hi))
+    out = pd.DataFrame(rows, columns=["fit", "term", "estimate", "std_error", "statistic", "df",
+                                      "p_value", "conf_low", "conf_high"])
+    return out if dof is not None else out.drop(columns="df")
+
+
+def student_tails(t: float, df: float) -> float:
+    """Two-sided tail of Student's t (incomplete beta by continued fraction)."""
+    x = df / (df + t * t)
+    a, b = df / 2, 0.5
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+                     + a * math.log(x) + b * math.log1p(-x)) if 0 < x < 1 else 0.0
+    if x >= 1:
+        return 1.0
+
+    def fraction(a: float, b: float, x: float) -> float:
+        c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1))
+        h = d
+        for m in range(1, 5000):
+            for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+                        -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+                d = 1 / (1 + num * d)
+                c = 1 + num / c
+                h *= d * c
+            if abs(d * c - 1) < 1e-15:
+                break
+        return h
+
+    if x < (a + 1) / (a + b + 2):
+        return front * fraction(a, b, x) / a
+    return 1 - front * fraction(b, a, 1 - x) / b
 
 
 def chi_square_tail(x: float, df: float) -> float:

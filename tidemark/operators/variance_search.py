@@ -17,7 +17,8 @@ Evaluate = Callable[[Mapping[str, list[Point]]], Mapping[str, list[float]]]
 STEPS = (0.6, 0.2, 0.06, 0.02)
 
 
-def _stencil(centre: Point, step: float) -> list[Point]:
+def stencil(centre: Point, step: float) -> list[Point]:
+    """Three points per positive axis at log-distance ``step``, in row-major order."""
     axes = [(v,) if v == 0 else tuple(v * np.exp(step * k) for k in (-1, 0, 1)) for v in centre]
     return list(product(*axes))
 
@@ -66,7 +67,7 @@ def minimise(models: Mapping[str, tuple[Sequence[float], Sequence[float]]],
     run({m: list(product(unit, site)) for m, (unit, site) in models.items()})
     centre = {m: min(s, key=s.get) for m, s in seen.items()}
     for step in steps:
-        points = {m: _stencil(c, step) for m, c in centre.items()}
+        points = {m: stencil(c, step) for m, c in centre.items()}
         values = run(points)
         centre = {m: _newton(centre[m], step, points[m], values[m]) for m in models}
     run({m: list(dict.fromkeys([c, (0.0, c[1]), (c[0], 0.0)])) for m, c in centre.items()})

@@ -264,7 +264,8 @@ def model_tables(spark: SparkSession, p: Prepared, replicates: int = 1000,
             parts = parts.merge(R.bootstrap_shares(model, fitted, [KEY], runs, SEED), how="left",
                                 on=["fit", "component"])
         table(f"{prefix}variance_components", parts)
-        table(f"{prefix}fixed_effects", L.fixed_effects(fitted, model.names))
+        table(f"{prefix}fixed_effects", L.fixed_effects(
+            fitted, model.names, dof=L.degrees_of_freedom(sums, fitted)))
         table(f"{prefix}icc_results", L.icc_table(fitted))
         if not prefix:
             table("sa_provider_fixed_lrt", L.unit_fixed_test(sums))

@@ -47,7 +47,10 @@ def lmm_icc(spark, sf):
 @query("lmm_fixed")
 def lmm_fixed(spark, sf):
     model = _design(_rows(spark, sf), "price")
-    return _out(spark, L.fixed_effects(L.fit_lmm(L.sufficient_sums(model)), model.names))
+    sums = L.sufficient_sums(model)
+    fitted = L.fit_lmm(sums)
+    return _out(spark, L.fixed_effects(fitted, model.names,
+                                       dof=L.degrees_of_freedom(sums, fitted)))
 
 
 @query("lmm_raw")
