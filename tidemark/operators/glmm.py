@@ -69,8 +69,9 @@ class _Solver:
                  .drop("old"))
         return moved, [self.betas[o] for o in origin]
 
-    def _row_pass(self, effects, table):
-        """Weighted sums per (point, site, unit) at the current effects."""
+    def _row_pass(self, effects, table, moments: bool):
+        """Sums per (point, site, unit) at the current effects: weights and loss, or with
+        ``moments`` everything a step needs."""
         p = self.p
         eta = " + ".join(["b_site", "b_unit", *[f"beta{i} * x{i}" for i in range(p)]])
         each = (spread_join(effects, self.rows, ["fit", "site", "unit"],
@@ -80,48 +81,53 @@ class _Solver:
                 .withColumn("mu", F.expr("1 / (1 + exp(-eta))"))
                 .withColumn("w", F.expr("mu * (1 - mu)"))
                 .withColumn("z", F.expr("w * eta + y - mu")))
-        firsts = [F.first(c).alias(c) for c in ("fit", "tp", "th", "b_site", "b_unit")]
-        return each.groupBy("point", "site", "unit").agg(*firsts, *_sums({
-            "n": "w", "r": "z", "loss": "-2 * (y * eta - log1p(exp(eta)))",
-            **{f"s{i}": f"w * x{i}" for i in range(p)},
+        # The model name is a key: as an aggregate, text would force a sort of all rows.
+        firsts = [F.first(c).alias(c) for c in ("tp", "th", "b_site", "b_unit")]
+        by_unit = each.groupBy("fit", "point", "site", "unit")
+        if not moments:
+            return by_unit.agg(*firsts, *_sums({
+                "n": "w", "loss": "-2 * (y * eta - log1p(exp(eta)))"}))
+        return by_unit.agg(*firsts, *_sums({
+            "n": "w", "r": "z", **{f"s{i}": f"w * x{i}" for i in range(p)},
             **{f"xz{i}": f"z * x{i}" for i in range(p)},
             **{f"g{i}_{j}": f"w * x{i} * x{j}" for i, j in triangle(p)}}))
 
+    def _deviance(self, points, effects, betas) -> dict[int, float]:
+        """Laplace deviance per point at the effects."""
+        units = self._row_pass(effects, self._table(points, betas), False)
+        sites = units.groupBy("point", "site").agg(
+            F.first("th").alias("th"), F.first("b_site").alias("b_site"), *_sums({
+                "a": "n / (1 + n * tp)",
+                "dev": "loss + if(tp > 0, b_unit * b_unit / tp, 0D) + log1p(n * tp)"}))
+        got = sites.groupBy("point").agg(F.expr(
+            "sum(dev + if(th > 0, b_site * b_site / th, 0D) + log1p(th * a)) AS deviance"))
+        return {r["point"]: r["deviance"] for r in got.collect()}
+
     def _site_sums(self, units):
         p = self.p
         each = units.withColumn("k", F.expr("1 / (1 + n * tp)")).withColumn(
             "q", F.expr("tp * k"))
-        penalty = "if(tp > 0, b_unit * b_unit / tp, 0D)"
-        firsts = [F.first(c).alias(c) for c in ("fit", "tp", "th", "b_site")]
-        return each.groupBy("point", "site").agg(*firsts, *_sums({
-            "a": "n * k", "u": "r * k", "dev": f"loss + {penalty} + log1p(n * tp)",
+        return each.groupBy("point", "site").agg(F.first("th").alias("th"), *_sums({
+            "a": "n * k", "u": "r * k",
             **{f"t{i}": f"s{i} * k" for i in range(p)},
             **{f"b{i}": f"xz{i} - q * s{i} * r" for i in range(p)},
             **{f"m{i}_{j}": f"g{i}_{j} - q * s{i} * s{j}" for i, j in triangle(p)}}
         )).withColumn("v", F.expr("th / (1 + th * a)"))
 
-    def _step(self, points, effects, betas, move: bool):
-        """Laplace deviance at the effects and, with ``move``, the next effects."""
+    def _step(self, points, effects, betas):
+        """Next coefficients and effects, and the inverse information at the old ones."""
         p = self.p
-        units = self._row_pass(effects, self._table(points, betas)).persist()
+        units = self._row_pass(effects, self._table(points, betas), True).persist()
         sites = self._site_sums(units)
-        penalty = "if(th > 0, b_site * b_site / th, 0D)"
         got = sites.groupBy("point").agg(
-            F.expr(f"sum(dev + {penalty} + log1p(th * a)) AS deviance"),
             _array_sum([f"b{i} - v * t{i} * u" for i in range(p)], "b"),
             _array_sum([f"m{i}_{j} - v * t{i} * t{j}" for i, j in triangle(p)], "a")
         ).collect()
-        deviance, inverse = {}, {}
-        betas = list(betas)
+        inverse, betas = {}, list(betas)
         for g in got:
             i = g["point"]
-            deviance[i] = g["deviance"]
             inverse[i] = np.linalg.pinv(symmetric(np.array([g["a"]]), p)[0], hermitian=True)
-            if move:
-                betas[i] = (inverse[i] @ np.array(g["b"])).tolist()
-        if not move:
-            units.unpersist()
-            return deviance, inverse, betas, effects
+            betas[i] = (inverse[i] @ np.array(g["b"])).tolist()
         table = self._table(points, betas).select("point", *[f"beta{i}" for i in range(p)])
         fitted = lambda name: " + ".join(f"{name}{i} * beta{i}" for i in range(p))
         site_effect = sites.join(table, "point").selectExpr(
@@ -132,7 +138,7 @@ class _Solver:
                 "fit", "point", "site", "unit", "b_site",
                 f"tp / (1 + n * tp) * (r - ({fitted('s')}) - n * b_site) AS b_unit"), "effects")
         units.unpersist()
-        return deviance, inverse, betas, effects
+        return inverse, betas, effects
 
     def run(self, models: Mapping[str, Sequence[Point]], fit_of: Mapping[str, str],
             rounds: int | None = None) -> dict[str, list[float]]:
@@ -141,8 +147,8 @@ class _Solver:
         rounds = rounds or (self.first if self.effects is None else self.later)
         effects, betas = self._start(points, [self.best.get(m, 0) for m in owner])
         for _ in range(rounds):
-            _, _, betas, effects = self._step(points, effects, betas, True)
-        deviance, inverse, _, _ = self._step(points, effects, betas, False)
+            inverse, betas, effects = self._step(points, effects, betas)
+        deviance = self._deviance(points, effects, betas)
         for i, (m, (_, point)) in enumerate(zip(owner, points)):
             self.at[m, point] = {"deviance": deviance[i], "beta": betas[i],
                                  "se": np.sqrt(np.diag(inverse[i])).tolist()}
@@ -181,7 +187,14 @@ def fit_glmm(model: Design, min_units: int = 5, prefer_nested: bool = True) -> p
     """Best admissible structure per model, by the rules of the linear fit."""
     model = Design(materialise(spread(model.rows), "logit"), model.names)
     sizes = _sizes(model.rows)
-    fitted = fit_structures(model, choose_structures(sizes, min_units, prefer_nested))
+    wanted = choose_structures(sizes, min_units, prefer_nested)
+    nested = {fit for fit, structure in wanted if structure == NESTED}
+    first = [(fit, s) for fit, s in wanted if s != SITE or fit not in nested]
+    fitted = fit_structures(model, first)
+    singular = fitted[fitted["singular"] & (fitted["structure"] == NESTED)]["fit"]
+    if len(singular):
+        fitted = pd.concat([fitted, fit_structures(model, [(m, SITE) for m in singular])],
+                           ignore_index=True)
     return first_admissible(fitted).merge(sizes, on="fit")
 
 
