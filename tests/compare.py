@@ -35,7 +35,7 @@ def rows_of(columns, rows):
 def compare(spark, con, run, sql, sf_dir):
     got = run(spark, sf_dir)
     table = got.toArrow()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     if sorted(table.column_names) != sorted(want.column_names):
         return f"columns {sorted(table.column_names)} != {sorted(want.column_names)}"
     a = rows_of(table.column_names, list(zip(*[c.to_pylist() for c in table.columns])))

@@ -134,6 +134,12 @@ def volume_summary(df: DataFrame, unit: str, complete: Column, threshold: int) -
                         F.round(F.col("n_incomplete") / F.col("n_rows") * 100, 1)))
 
 
+def volume_chart(units: DataFrame, unit: str) -> DataFrame:
+    """Chart rows ``unit_rank, kind, n`` of ``volume_by_unit``, largest unit first."""
+    placed = ranked(units, ["-n_total", unit], (), "unit_rank")
+    return placed.unpivot(["unit_rank"], ["n_complete", "n_incomplete"], "kind", "n")
+
+
 @dataclass(frozen=True)
 class Consistency:
     """Two conditions that must agree on every row where both are known."""

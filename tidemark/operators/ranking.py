@@ -53,7 +53,7 @@ def _offsets(sliced: DataFrame, group: Sequence[str], size: Column) -> DataFrame
     return sizes.select(
         *group, _SLICE, "_first", "_size",
         F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias(_BEFORE),
-        F.sum("_size").over(_per_group(group)).alias("n_total"))
+        F.sum("_size").over(_per_group(group)).alias("_total"))
 
 
 def _join(rows: DataFrame, facts: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -119,7 +119,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[tuple[float, str]],
     wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(r).alias("rule"))
                        for p, r in probs])
     is_linear = F.col("rule") == "linear"
-    place = (F.col("n_total") - 1) * F.col("prob")
+    place = (F.col("_total") - 1) * F.col("prob")
     asked = (
         offsets.select("*", F.inline(wanted)).withColumn("_place", place)
         .withColumn("_low", F.when(is_linear, F.floor("_place"))
@@ -129,7 +129,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[tuple[float, str]],
     holds = lambda at: ((F.col(at) >= F.col(_BEFORE))
                         & (F.col(at) < F.col(_BEFORE) + F.col("_size")))
     targets = asked.where(holds("_low") | holds("_high")).groupBy(*group, _SLICE).agg(
-        F.first(_BEFORE).alias(_BEFORE), F.first("n_total").alias("n_total"),
+        F.first(_BEFORE).alias(_BEFORE), F.first("_total").alias("_total"),
         F.collect_list(F.struct("prob", "rule", "_place", "_low", "_high")).alias("_asked"))
     rows = (_join(sliced, targets, group)
             .withColumn("_end", F.col(_BEFORE) + F.sum(_WEIGHT).over(_within(group, [_ROW]))))
@@ -138,11 +138,11 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[tuple[float, str]],
     hits = (rows.withColumn("_asked", F.filter(
         "_asked", lambda a: inside(a["_low"]) | inside(a["_high"])))
         .where(F.size("_asked") > 0)
-        .select(*group, "n_total", "_value", "_end", _WEIGHT, F.inline("_asked")))
+        .select(*group, "_total", "_value", "_end", _WEIGHT, F.inline("_asked")))
     found = hits.groupBy(*group, "prob", "rule").agg(
         F.max(F.when(inside(F.col("_low")), F.col("_value"))).alias("_a"),
         F.max(F.when(inside(F.col("_high")), F.col("_value"))).alias("_b"),
-        F.max("n_total").alias("n_values"),
+        F.max("_total").alias("n_values"),
         F.max(F.col("_place") - F.col("_low")).alias("_share"))
     between = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share")
     return found.select(

@@ -134,6 +134,8 @@ def quality_tables(p: Prepared) -> dict[str, DataFrame]:
         "01_exclusion_waterfall": p.waterfall,
         "01_provider_encounter_table": Q.volume_summary(
             clean, "provider_id", F.col("weight_kg").isNotNull(), MIN_PROVIDER),
+        "01_provider_encounter_dist": Q.volume_chart(Q.volume_by_unit(
+            clean, "provider_id", F.col("weight_kg").isNotNull(), MIN_PROVIDER), "provider_id"),
         "01_missing_weight": Q.included_vs_excluded(
             clean, F.col("weight_kg").isNotNull(), "age_years", {
                 "pct_male": F.lower("sex_category") == "male",

@@ -210,6 +210,17 @@ def volume_summary(spark, sf):
     return Q.volume_summary(encounters(spark, sf), "provider", F.col("weight").isNotNull(), 580)
 
 
+@query("volume_chart", f"""
+{ENC},
+u AS (SELECT provider, count(weight) AS c, count(*) AS n FROM enc GROUP BY provider),
+r AS (SELECT *, row_number() OVER (ORDER BY n DESC, provider) AS unit_rank FROM u)
+SELECT unit_rank, 'n_complete' AS kind, c AS n FROM r
+UNION ALL SELECT unit_rank, 'n_incomplete', n - c FROM r""")
+def volume_chart(spark, sf):
+    units = Q.volume_by_unit(encounters(spark, sf), "provider", F.col("weight").isNotNull(), 580)
+    return Q.volume_chart(units, "provider")
+
+
 @query("derived_checks", f"""
 WITH {DERIVED_SQL},
 c AS (SELECT drug, tier IN ('reduced', 'intermediate_reduced') AS l1, reduced = 1 AS r1,
