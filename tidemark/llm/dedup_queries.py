@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .common import parquet_row_key
 from .exact_dedup import exact_dedup
+from .near_dedup import near_dedup
 from .registry import query
 
 
@@ -16,3 +18,9 @@ FROM d WINDOW w AS (PARTITION BY t)
 """)
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query("op4_minhash_near_dedup")
+def op4_minhash_near_dedup(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return near_dedup(docs, key=parquet_row_key()).drop("key")
