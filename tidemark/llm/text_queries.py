@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .hmm_lm import score_texts
 from .language_id import fold_of, identify_language
 from .registry import query
 
@@ -15,3 +16,9 @@ def op9_language_id(spark, sf_dir):
     predicted = identify_language(rows, docs.where(fold_of("doc_id", 5) != 0),
                                   keep_text=False)
     return predicted.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op1_hmm_score")
+def op1_hmm_score(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return score_texts(docs, fold_of("doc_id", 7) == 2)
