@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,3 +89,53 @@ def _to_roots(hooks: DataFrame) -> DataFrame:
         hooks = moved.select("node", "root")
         if moved.where("moved").isEmpty():
             return hooks
+
+
+def matrix(column: pa.Array, kind: type | str) -> np.ndarray:
+    """A binary column with values of one length as rows of a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def by_group(batches: Iterator[pa.RecordBatch], keys: list[str],
+             convert: Callable[[pa.RecordBatch], dict[str, np.ndarray]]
+             ) -> Iterator[list[dict[str, np.ndarray]]]:
+    """Rows of equal keys together, from a partition that is sorted by ``keys``.
+
+    ``convert`` turns a batch into arrays of one row each, keys included. What is held is one
+    batch and the group that is still open.
+    """
+    held = None
+    for batch in _with_end(batches):
+        if batch is not None:
+            if not batch.num_rows:
+                continue
+            new = convert(batch)
+            held = new if held is None else {c: np.concatenate((held[c], new[c])) for c in new}
+        if held is None:
+            continue
+        at = np.column_stack([held[c] for c in keys])
+        cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist()]
+        ends = [*cuts[1:], len(at)]
+        complete = len(cuts) if batch is None else len(cuts) - 1
+        yield [{c: v[a:b] for c, v in held.items()}
+               for a, b in zip(cuts[:complete], ends[:complete], strict=True)]
+        held = None if batch is None else {c: v[cuts[-1]:].copy() for c, v in held.items()}
+
+
+def _with_end(batches: Iterator) -> Iterator:
+    """The batches, and None behind the last."""
+    yield from batches
+    yield None
+
+
+def dealt_in_blocks(rows: DataFrame, keys: list[str], node: str, blocks: str) -> DataFrame:
+    """Copies of the rows of a group for every pair of its blocks: ``low``, ``high`` and ``block``.
+
+    A group of ``blocks`` blocks becomes blocks * (blocks + 1) / 2 groups of at most two blocks.
+    """
+    return (rows.withColumn("block", F.pmod(F.xxhash64(node), F.col(blocks)).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)))
+            .withColumn("low", F.least("block", "other"))
+            .withColumn("high", F.greatest("block", "other"))
+            .drop("other", blocks)
+            .repartition(*keys, "low", "high").sortWithinPartitions(*keys, "low", "high"))

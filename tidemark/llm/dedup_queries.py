@@ -6,6 +6,7 @@ from .common import parquet_row_key
 from .exact_dedup import exact_dedup
 from .near_dedup import near_dedup
 from .registry import query
+from .vector_dedup import vector_dedup
 
 
 @query("op7_exact_dedup", r"""
@@ -24,3 +25,8 @@ def op7_exact_dedup(spark, sf_dir):
 def op4_minhash_near_dedup(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_dedup(docs, key=parquet_row_key()).drop("key")
+
+
+@query("op3_pivot_vector_dedup")
+def op3_pivot_vector_dedup(spark, sf_dir):
+    return vector_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
