@@ -2,7 +2,8 @@
 
 A data set is a folder of segments in ascending identifier order:
 
-* ``NNNNNN.ids``: the token ids as little-endian unsigned 32-bit integers;
+* ``NNNNNN.ids``: the token ids as little-endian unsigned integers, of 16 bits if the
+  vocabulary has at most 65,536 ids, else of 32;
 * ``NNNNNN.offsets``: little-endian unsigned 64-bit integers, one more than documents: where
   each document's ids begin in the whole data set, and the end of the segment;
 * ``NNNNNN.docs``: the identifiers as little-endian signed 64-bit integers;
@@ -29,12 +30,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NO_ID = -2**63
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+_ENCODERS: dict = {}  # a Python worker keeps what it has learned for its next task
 
 
 def local_path(folder: str) -> str:
@@ -50,35 +53,99 @@ class WordEncoder:
     """Encodes texts word by word, each new word once by the tokenizer.
 
     Only for tokenizers that never join characters across white space and drop white space
-    themselves (word_bpe_49k is one); others get ``by_word=False`` and whole texts.
+    themselves (word_bpe_49k is one). ``separator`` is a sign with an id of its own that stands
+    between the words of one call; words that hold it are encoded alone. Without it texts
+    are encoded whole.
     """
 
-    def __init__(self, tokenizer_path: str, by_word: bool) -> None:
+    def __init__(self, tokenizer_path: str, separator: str | None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.by_word = by_word
-        self.known: dict[bytes, list[int]] = {}
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in
+        self.kind = id_kind(self.tokenizer.get_vocab_size())
+        self.separator = separator
+        if separator is not None:
+            (self.between,) = self._encode([separator])[0].tolist()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.ids = np.empty(1 << 20, self.kind)
+        self.starts = np.zeros(1, np.int64)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.kind) for x in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, text: str) -> np.ndarray:
-        if not self.by_word:
-            return np.array(self._encode([text])[0], np.uint32)
-        words = text.encode("utf-8", "surrogatepass").split()
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            self.known.update(zip(new, self._encode([w.decode("utf-8") for w in new]), strict=True))
-        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.uint32)
+    def _learn(self, words: list[bytes]) -> None:
+        """Append the ids of new words to the flat table."""
+        sign = self.separator.encode()
+        odd = [w for w in words if sign in w or b"<|" in w]  # or a special token
+        words = [w for w in words if sign not in w and b"<|" not in w]
+        parts, counts = [], []
+        joined = [f" {self.separator} ".join(w.decode() for w in words[k:k + 256])
+                  for k in range(0, len(words), 256)]
+        for own in self._encode(joined):
+            at = np.flatnonzero(own == self.between)
+            counts.append(np.diff(np.concatenate(([-1], at, [len(own)]))) - 1)
+            parts.append(np.delete(own, at))
+        for own in self._encode([w.decode() for w in odd]):
+            counts.append([len(own)])
+            parts.append(own)
+        new = np.concatenate(parts)
+        self.place.update(zip(words + odd, range(len(self.place), len(self.place) + len(words) + len(odd)),
+                              strict=True))
+        end = int(self.starts[-1])
+        if end + len(new) > len(self.ids):
+            self.ids = np.concatenate((self.ids[:end], np.empty(2 * (end + len(new)), self.kind)))
+        self.ids[end:end + len(new)] = new
+        self.starts = np.concatenate((self.starts, end + np.cumsum(np.concatenate(counts))))
+
+    def __call__(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts with the end id behind each, ids of each text)."""
+        if self.separator is None:
+            own = [np.append(x, self.kind(end_id)) for x in self._encode(texts)]
+            return np.concatenate(own), np.array([len(x) for x in own])
+        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+        if len(self.place) > CACHED_WORDS:
+            self._forget()
+        if new := list(set(chain.from_iterable(split)).difference(self.place)):
+            self._learn(new)
+        n_words = np.array([len(x) for x in split])
+        place = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, n_words.sum())
+        size = self.starts[place + 1] - self.starts[place]
+        before = np.concatenate(([0], np.cumsum(size)))
+        ends = before[np.cumsum(n_words)]
+        take = np.arange(before[-1]) + np.repeat(self.starts[place] - before[:-1], size)
+        return (np.insert(self.ids[take], ends, self.kind(end_id)),
+                np.diff(np.concatenate(([0], ends))) + 1)
+
+
+def encoder_of(tokenizer_path: str, separator: str | None) -> WordEncoder:
+    if (tokenizer_path, separator) not in _ENCODERS:
+        _ENCODERS[tokenizer_path, separator] = WordEncoder(tokenizer_path, separator)
+    return _ENCODERS[tokenizer_path, separator]
+
+
+def id_kind(vocabulary: int) -> type:
+    return np.uint16 if vocabulary <= 1 << 16 else np.uint32
+
+
+def groups_of(texts: list[str], characters: int = 1 << 20) -> Iterator[slice]:
+    """Slices of about so many characters, a longer text alone."""
+    begin = total = 0
+    for k, text in enumerate(texts):
+        if k > begin and total + len(text) > characters:
+            yield slice(begin, k)
+            begin, total = k, 0
+        total += len(text)
+    if begin < len(texts):
+        yield slice(begin, len(texts))
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
                       id_column: str = "doc_id", text_column: str = "text",
-                      segments: int | None = None, by_word: bool = True) -> DataFrame:
+                      segments: int | None = None, separator: str | None = None) -> DataFrame:
     """Write the data set; returns its segments (segment, base, n_docs, n_ids)."""
     spark = docs.sparkSession
     segments = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -86,7 +153,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     os.makedirs(root, exist_ok=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path, by_word)
+        encoder = encoder_of(tokenizer_path, separator)
         task = TaskContext.get()
         segment = task.partitionId()
         target = f"{root}/{segment:06d}"
@@ -95,14 +162,15 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         with open(f"{part}.ids", "wb") as ids, open(f"{part}.lengths", "wb") as lengths, \
                 open(f"{part}.docs", "wb") as names:
             for batch in batches:
-                for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                    own = encoder(text.as_py() or "")
-                    ids.write(own.astype("<u4").tobytes())
-                    ids.write(np.array([end_id], "<u4").tobytes())
-                    lengths.write(np.array([len(own) + 1], "<u8").tobytes())
-                    name = doc_id.as_py()
-                    names.write(np.array([NO_ID if name is None else name], "<i8").tobytes())
-                    n_docs, n_ids = n_docs + 1, n_ids + len(own) + 1
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                for part_of in groups_of(texts):
+                    own, sizes = encoder(texts[part_of], end_id)
+                    ids.write(own.astype(encoder.kind().dtype.newbyteorder("<")).tobytes())
+                    lengths.write(sizes.astype("<u8").tobytes())
+                    n_ids += len(own)
+                name = batch.column("doc_id")
+                names.write(pc.fill_null(name, NO_ID).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+                n_docs += batch.num_rows
         for kind in ("ids", "lengths", "docs"):
             os.replace(f"{part}.{kind}", f"{target}.{kind}")
         yield pa.RecordBatch.from_arrays(
@@ -134,17 +202,24 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
     placed = sorted(table.repartition(max(1, len(counts))).mapInArrow(place, table.schema).collect())
     manifest = f"{root}/segments.json"
+    vocabulary = WordEncoder(tokenizer_path, None).tokenizer.get_vocab_size()
     with open(f"{manifest}.new", "w") as out:
-        json.dump([row.asDict() for row in placed], out)
+        json.dump({"bits": 8 * id_kind(vocabulary)().itemsize,
+                   "segments": [row.asDict() for row in placed]}, out)
     os.replace(f"{manifest}.new", manifest)
     return spark.createDataFrame(placed, table.schema)
 
 
+def _manifest(root: str) -> tuple[str, list[dict]]:
+    with open(f"{root}/segments.json") as saved:
+        manifest = json.load(saved)
+    return f"<u{manifest['bits'] // 8}", manifest["segments"]
+
+
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files by memory mapping."""
     root = local_path(folder)
-    with open(f"{root}/segments.json") as saved:
-        rows = json.load(saved)
+    kind, rows = _manifest(root)
     table = spark.createDataFrame([(row["segment"],) for row in rows], "segment bigint")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,9 +230,9 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                 names = np.fromfile(f"{target}.docs", "<i8")
                 if not len(names):
                     continue
-                ids = np.memmap(f"{target}.ids", "<u4", "r")
+                ids = np.memmap(f"{target}.ids", kind, "r")
                 ends = (offsets - offsets[0]).astype(np.int64)
-                sums = [zlib.crc32(ids[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                sums = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names, mask=names == NO_ID), pa.array(offsets[:-1].astype(np.int64)),
                      pa.array(np.diff(ends)), pa.array(sums, pa.int64())],
@@ -172,7 +247,8 @@ def documents_of_segment(folder: str, segment: int) -> Iterator[tuple[int | None
     target = f"{local_path(folder)}/{segment:06d}"
     offsets = np.fromfile(f"{target}.offsets", "<u8")
     names = np.fromfile(f"{target}.docs", "<i8")
-    ids = np.memmap(f"{target}.ids", "<u4", "r") if len(names) else np.empty(0, "<u4")
+    kind = _manifest(local_path(folder))[0]
+    ids = np.memmap(f"{target}.ids", kind, "r") if len(names) else np.empty(0, kind)
     for k, name in enumerate(names.tolist()):
         a, b = (int(x - offsets[0]) for x in offsets[k:k + 2])
         yield (None if name == NO_ID else name), ids[a:b]
