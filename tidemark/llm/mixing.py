@@ -171,7 +171,7 @@ def select_documents(sized: DataFrame, routes: dict) -> DataFrame:
     table = spark.createDataFrame(
         plan, "members array<string>, tops array<bigint>, "
         "spans array<struct<level:int,low:bigint,high:bigint,source:string>>")
-    placed = materialise(positions(sized).join(table, "members", "left"), "placed")
+    placed = materialise(positions(sized).join(F.broadcast(table), "members", "left"), "placed")
     # the one level that a pattern fills in part, and the gap its whole documents leave
     filled = placed.where("size > 0").select(
         "members", "size", "end", F.explode("tops").alias("top"))
@@ -180,7 +180,7 @@ def select_documents(sized: DataFrame, routes: dict) -> DataFrame:
                  F.max("end").alias("all"))
             .where("top < all")
             .select("members", "top", (F.col("top") - F.coalesce("last", F.lit(0))).alias("gap")))
-    closing = (placed.where("size > 0").join(gaps, "members").where("end > top")
+    closing = (placed.where("size > 0").join(F.broadcast(gaps), "members").where("end > top")
                .groupBy("members", "top", "gap")
                .agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "row")).alias("best"))
                .where("best.off < gap").select(F.col("best.row").alias("row"), F.col("top").alias("closes")))
