@@ -6,6 +6,7 @@ from .common import parquet_row_key
 from .exact_dedup import exact_dedup
 from .near_dedup import near_dedup
 from .registry import query
+from .span_dedup import span_dedup
 from .vector_dedup import vector_dedup
 
 
@@ -30,3 +31,9 @@ def op4_minhash_near_dedup(spark, sf_dir):
 @query("op3_pivot_vector_dedup")
 def op3_pivot_vector_dedup(spark, sf_dir):
     return vector_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op8_sentence_spans")
+def op8_sentence_spans(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return span_dedup(docs, key=parquet_row_key()).drop("key")

@@ -40,18 +40,23 @@ class Powers:
 _POWERS = Powers()
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash of each word, A-Z lower-cased; words are split at ASCII white space."""
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+def words_of_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, 64-bit hash) of each word, A-Z lower-cased; split at ASCII white space."""
+    raw = np.frombuffer(raw.lower(), np.uint8)
     if not len(raw):
-        return np.empty(0, np.uint64)
+        none = np.empty(0, np.int64)
+        return none, none, np.empty(0, np.uint64)
     inside = ~_BLANK[raw]
     edge = np.diff(np.r_[False, inside, False].astype(np.int8))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     _POWERS.to(len(raw) + 1)
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTE[raw] * _POWERS.up[:len(raw)], out=total[1:])
-    return mix((total[end] - total[start]) * _POWERS.down[start])
+    return start, end, mix((total[end] - total[start]) * _POWERS.down[start])
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    return words_of_bytes((text or "").encode("utf-8", "surrogatepass"))[2]
 
 
 def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
