@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 HEADLINE = [
@@ -29,7 +30,8 @@ def main() -> None:
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": cpus,
-        "spark.driver.memory": "16g"})
+        "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH", tempfile.mkdtemp(prefix="bench-"))})
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()
     seconds = {}

@@ -9,10 +9,11 @@ from tidemark.session import build_session, release_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", **{
         "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4",
-        "spark.driver.memory": "8g"})
+        "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     release_scratch(session)

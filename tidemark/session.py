@@ -36,7 +36,8 @@ def scratch_root(spark: SparkSession) -> str:
     named = spark.conf.get(_SCRATCH, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {_SCRATCH} to a folder all executors can reach")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="tidemark-")
