@@ -8,14 +8,15 @@ most of the rows spreads over many slices, and a quantile reads only the slices
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import materialise
 
-_SLICE, _WEIGHT, _BEFORE, _ROW = "_slice", "_weight", "_before", "_row_no"
+_SLICE, _WEIGHT, _BEFORE, _ROW, _BLOCK = "_slice", "_weight", "_before", "_row_no", "_block"
 SLICE_BITS = 12
+BLOCK_BITS = 12  # slices of one block, for sums over slices
 
 
 def _ordering(names: Sequence[str]) -> list[Column]:
@@ -40,25 +41,41 @@ def _within(group: Sequence[str], order: Sequence[str]):
             .rowsBetween(W.unboundedPreceding, 0))
 
 
-def _per_group(group: Sequence[str]):
-    # Over one row per group and slice, never over the rows themselves.
-    return W.partitionBy(*group) if group else W.partitionBy(F.lit(1))
+def _before_slices(sizes: DataFrame, group: Sequence[str], value: str, name: str,
+                   add: Callable, total: str | None = None) -> DataFrame:
+    """``sizes`` with ``name``: ``value`` combined by ``add`` over the group's earlier slices.
+
+    Two levels: within blocks of 4096 slices, and over one row per block (16 million rows), so
+    that no window holds all slices of a large group. ``total`` names the whole group's value.
+    """
+    blocked = sizes.withColumn(_BLOCK, F.shiftright(_SLICE, BLOCK_BITS))
+    blocks = blocked.groupBy(*group, _BLOCK).agg(add(value).alias("_of_block"))
+    per_group = W.partitionBy(*group) if group else W.partitionBy(F.lit(1))
+    earlier = per_group.orderBy(_BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    blocks = blocks.select(*group, _BLOCK, add("_of_block").over(earlier).alias("_blocks_before"),
+                           *([add("_of_block").over(per_group).alias(total)] if total else []))
+    inside = (W.partitionBy(*group, _BLOCK).orderBy(_SLICE)
+              .rowsBetween(W.unboundedPreceding, -1))
+    within = blocked.withColumn("_slices_before", add(value).over(inside))
+    out = _join(within, blocks, group, _BLOCK)
+    if add is F.sum:
+        both = F.coalesce("_blocks_before", F.lit(0)) + F.coalesce("_slices_before", F.lit(0))
+    else:
+        both = F.greatest("_blocks_before", "_slices_before")
+    return out.withColumn(name, both).drop("_blocks_before", "_slices_before", _BLOCK)
 
 
 def _offsets(sliced: DataFrame, group: Sequence[str], size: Column) -> DataFrame:
     """Per (group, slice): first row number, weight of the group before it, and in total."""
     sizes = sliced.groupBy(*group, _SLICE).agg(size.alias("_size"),
                                                F.min(_ROW).alias("_first"))
-    upto = _per_group(group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    return sizes.select(
-        *group, _SLICE, "_first", "_size",
-        F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias(_BEFORE),
-        F.sum("_size").over(_per_group(group)).alias("_total"))
+    return _before_slices(sizes, group, "_size", _BEFORE, F.sum, "_total")
 
 
-def _join(rows: DataFrame, facts: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Rows with the facts of their (group, slice); a missing group value is a value."""
-    keys = [_SLICE, *group]
+def _join(rows: DataFrame, facts: DataFrame, group: Sequence[str],
+          part: str = _SLICE) -> DataFrame:
+    """Rows with the facts of their (group, part); a missing group value is a value."""
+    keys = [part, *group]
     named = facts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                          *[c for c in facts.columns if c not in keys])
     same = F.lit(True)
@@ -91,9 +108,8 @@ def running_max(df: DataFrame, order: Sequence[str], value: str, group: Sequence
                 name: str = "so_far") -> DataFrame:
     """Largest ``value`` among the rows of the group up to and including each row."""
     sliced = _sliced(df, group, order)
-    earlier = _per_group(group).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    carried = (sliced.groupBy(*group, _SLICE).agg(F.max(value).alias("_most"))
-               .withColumn("_carry", F.max("_most").over(earlier)).drop("_most"))
+    most = sliced.groupBy(*group, _SLICE).agg(F.max(value).alias("_most"))
+    carried = _before_slices(most, group, "_most", "_carry", F.max).drop("_most")
     seen = sliced.withColumn("_here", F.max(value).over(_within(group, [_ROW])))
     return _join(seen, carried, group).select(
         *df.columns, F.greatest("_here", "_carry").alias(name))
@@ -108,9 +124,10 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[tuple[float, str]],
     halves upward). Missing values are left out.
     """
     group = list(group)
-    counted = (df.where(F.col(value).isNotNull())
-               .groupBy(*group, F.col(value).alias("_value"))
-               .agg(F.count(F.lit(1)).alias(_WEIGHT)))
+    counted = materialise(  # the range partitioning samples this copy, not the input again
+        df.where(F.col(value).isNotNull())
+        .groupBy(*group, F.col(value).alias("_value"))
+        .agg(F.count(F.lit(1)).alias(_WEIGHT)), "counted")
     sliced = _sliced(counted, group, ["_value"])
     offsets = _offsets(sliced, group, F.sum(_WEIGHT))
 
