@@ -14,16 +14,28 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.elapsed import elapsed, seconds_between, time_slot
 from .ranking import running_max
 
-SALTS = 4
+HEAVY_ROWS, HEAVY_SHARE = 100_000, 1000
 
 
 def spread_join(index: DataFrame, events: DataFrame, key: Sequence[str] | str,
                 salt_on: Sequence[str]) -> DataFrame:
-    """Inner equi-join of a small and a large side with the key salted on the large side."""
+    """Inner equi-join of a small and a large side; heavy keys of the large side are salted.
+
+    A key is heavy if it has over 100,000 rows and over a thousandth of all rows, so there are at
+    most a thousand of them, and they may be broadcast. It gets as many salts as it has
+    such shares; its index rows are repeated for each, all others stay single.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    few = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    many = events.withColumn(
-        "_salt", F.pmod(F.xxhash64(*salt_on), F.lit(SALTS)).cast("int"))
+    counts = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    share = F.greatest(counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar() / HEAVY_SHARE,
+                       F.lit(HEAVY_ROWS))
+    heavy = F.broadcast(counts.withColumn("_salts", F.ceil(F.col("_n") / share).cast("int"))
+                        .where(F.col("_salts") > 1).drop("_n"))
+    salts = F.coalesce("_salts", F.lit(1))
+    few = (index.join(heavy, keys, "left")
+           .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts"))
+    many = (events.join(heavy, keys, "left")
+            .withColumn("_salt", F.pmod(F.xxhash64(*salt_on), salts).cast("int")).drop("_salts"))
     return few.join(many, [*keys, "_salt"]).drop("_salt")
 
 
@@ -117,6 +129,9 @@ def from_history(index: DataFrame, entities: DataFrame, events: DataFrame, key:
     Returns ``key, before_time, before_value``.
     """
     dims = entities.select(key, owner, entity_time)
+    # only the owners of asked entities take part
+    owners = index.select(key).join(dims, key).select(owner).distinct()
+    dims = dims.join(owners, owner, "left_semi").select(key, owner, entity_time)
     asked = (index.select(key, index_time).join(dims, key)
              .select(key, owner, F.col(entity_time).alias("_own"),
                      F.col(index_time).alias("_at")))
