@@ -167,7 +167,7 @@ def dense_laplace(pdf, tp, th):
 def test_glmm_against_dense_laplace(spark):
     pdf = nested(8, 900, True, 1.5)
     model = D.design(spark.createDataFrame(pdf), "y", ["x"], {}, "site", "unit", "m")
-    solver = G._Solver(model.rows, 2, 8, 2)
+    solver = G._Solver(model.rows, 2)
     got = solver.run({"a": [(0.4, 0.3)], "b": [(0.1, 0.9)]}, {"a": "m", "b": "m"})
     for name, point in (("a", (0.4, 0.3)), ("b", (0.1, 0.9))):
         dev, beta = dense_laplace(pdf, *point)
@@ -232,3 +232,28 @@ def test_matching_takes_one_of_the_nearest(spark):
     assert method == "pmm" and done.where("t is null").count() == 0
     same, method = I.impute_pmm(df.where("t is not null"), "k", ["t"], ["x"], {})
     assert method == "complete_case" and same.count() == len(known)
+
+
+@pytest.mark.parametrize("variance", [5000.0, 0.001, 12.0])
+def test_variance_search_has_no_ceiling(variance):
+    # a deviance with its minimum far from the grid, and one without an inner minimum
+    from tidemark.operators.variance_search import minimise
+    inner = lambda tp, th: (math.log(max(tp, 1e-300) / variance)) ** 2 if tp > 0 else 1e6
+    falling = lambda tp, th: -tp / (1 + tp)
+    names = {"inner": inner, "falling": falling}
+    grid = (0.0, 1e-2, 0.1, 1.0)
+    got = minimise({m: (grid, (0.0,)) for m in names},
+                   lambda points: {m: [names[m](*p) for p in at] for m, at in points.items()})
+    assert got["inner"].point[0] == pytest.approx(variance, rel=1e-3) and got["inner"].converged
+    assert got["falling"].point[0] > 1e6 and not got["falling"].converged
+
+
+def test_logistic_fit_with_a_large_variance(spark):
+    rng = np.random.default_rng(12)
+    unit = np.repeat(np.arange(60), 20)
+    eta = rng.normal(0, 3.5, 60)[unit]
+    pdf = pd.DataFrame({"y": (rng.random(1200) < 1 / (1 + np.exp(-eta))).astype(float), "unit": unit,
+                        "site": 0, "m": "m"})
+    model = D.design(spark.createDataFrame(pdf), "y", [], {}, "site", "unit", "m")
+    fitted = G.fit_glmm(model).iloc[0]
+    assert fitted["tp"] > 6 and fitted["converged"]

@@ -55,6 +55,7 @@ def bootstrap_shares(model: Design, fitted: pd.DataFrame, row_key: list[str], re
     sums: Sums = sufficient_sums(resampled(model, row_key, replicates, seed), "weight")
     wanted, grids = [], {}
     for m in fitted.itertuples():
+        # a start near the estimate; the search goes on past any edge
         near = tuple((0.0,) if v == 0 else (0.0, v / 8, v, v * 8) for v in (m.tp, m.th))
         if m.singular:                           # nothing to start from
             near = COARSE[m.structure]

@@ -24,11 +24,9 @@ from .temporal import spread_join
 from .variance_search import Point, minimise
 
 GRID, SINGLE_GRID = (0.0, 0.03, 0.3), (0.0, 0.003, 0.03, 0.3, 3.0)
-STEPS = (0.9, 0.3, 0.06)
 NONE = "none"                  # no random intercept
 COARSE = {NESTED: (GRID, GRID), SITE: ((0.0,), SINGLE_GRID), UNIT: (SINGLE_GRID, (0.0,)),
           NONE: ((0.0,), (0.0,))}
-MAX_ETA = 30.0
 Q75 = 0.6744897501960817       # normal quantile at 0.75
 
 
@@ -39,8 +37,8 @@ class _Solver:
     a few numbers per point.
     """
 
-    def __init__(self, rows: DataFrame, p: int, first: int, later: int):
-        self.rows, self.p, self.first, self.later = rows, p, first, later
+    def __init__(self, rows: DataFrame, p: int, most: int = 50, tolerance: float = 1e-6):
+        self.rows, self.p, self.most, self.tolerance = rows, p, most, tolerance
         self.spark = rows.sparkSession
         self.groups = rows.select("fit", "site", "unit").distinct()
         self.effects: DataFrame | None = None
@@ -77,7 +75,7 @@ class _Solver:
         each = (spread_join(effects, self.rows, ["fit", "site", "unit"],
                             ["y", *[f"x{i}" for i in range(p)]])
                 .join(table.drop("fit"), "point")
-                .withColumn("eta", F.expr(f"greatest(least({eta}, {MAX_ETA}D), -{MAX_ETA}D)"))
+                .withColumn("eta", F.expr(eta))
                 .withColumn("mu", F.expr("1 / (1 + exp(-eta))"))
                 .withColumn("w", F.expr("mu * (1 - mu)"))
                 .withColumn("z", F.expr("w * eta + y - mu")))
@@ -86,7 +84,7 @@ class _Solver:
         by_unit = each.groupBy("fit", "point", "site", "unit")
         if not moments:
             return by_unit.agg(*firsts, *_sums({
-                "n": "w", "loss": "-2 * (y * eta - log1p(exp(eta)))"}))
+                "n": "w", "loss": "-2 * (y * eta - greatest(eta, 0D) - log1p(exp(-abs(eta))))"}))
         return by_unit.agg(*firsts, *_sums({
             "n": "w", "r": "z", **{f"s{i}": f"w * x{i}" for i in range(p)},
             **{f"xz{i}": f"z * x{i}" for i in range(p)},
@@ -140,17 +138,22 @@ class _Solver:
         units.unpersist()
         return inverse, betas, effects
 
-    def run(self, models: Mapping[str, Sequence[Point]], fit_of: Mapping[str, str],
-            rounds: int | None = None) -> dict[str, list[float]]:
+    def run(self, models: Mapping[str, Sequence[Point]],
+            fit_of: Mapping[str, str]) -> dict[str, list[float]]:
+        """Deviances; reweighting goes on until no coefficient of any point moves."""
         points = [(fit_of[m], p) for m, at in models.items() for p in at]
         owner = [m for m, at in models.items() for _ in at]
-        rounds = rounds or (self.first if self.effects is None else self.later)
         effects, betas = self._start(points, [self.best.get(m, 0) for m in owner])
-        for _ in range(rounds):
+        for _ in range(self.most):
+            old = np.array(betas)
             inverse, betas, effects = self._step(points, effects, betas)
+            settled = (np.abs(betas - old) <= self.tolerance * (1 + np.abs(old))).all(axis=1)
+            if settled.all():
+                break
         deviance = self._deviance(points, effects, betas)
         for i, (m, (_, point)) in enumerate(zip(owner, points)):
             self.at[m, point] = {"deviance": deviance[i], "beta": betas[i],
+                                 "settled": bool(settled[i]),
                                  "se": np.sqrt(np.diag(inverse[i])).tolist()}
         self.best = {m: min((i for i, o in enumerate(owner) if o == m), key=deviance.get)
                      for m in models}
@@ -159,18 +162,18 @@ class _Solver:
         return {m: [deviance[next(values)] for _ in at] for m, at in models.items()}
 
 
-def fit_structures(model: Design, wanted: Sequence[tuple[str, str]], first_rounds: int = 5,
-                   later_rounds: int = 2) -> pd.DataFrame:
-    """One row per wanted (fit, structure): ``tp``/``th`` are the unit and site variances,
-    with ``deviance, beta, se, singular``. ``model.rows`` should be a written table."""
+def fit_structures(model: Design, wanted: Sequence[tuple[str, str]]) -> pd.DataFrame:
+    """One row per wanted (fit, structure): ``tp``/``th`` are the unit and site variances, with
+    ``deviance, beta, se, singular, converged``. ``model.rows`` should be a written table."""
     names = {f"{fit}#{structure}": (fit, structure) for fit, structure in wanted}
     fit_of = {m: fit for m, (fit, _) in names.items()}
-    solver = _Solver(model.rows, len(model.names), first_rounds, later_rounds)
+    solver = _Solver(model.rows, len(model.names))
     best = minimise({m: COARSE[structure] for m, (_, structure) in names.items()},
-                    lambda points: solver.run(points, fit_of), STEPS)
+                    lambda points: solver.run(points, fit_of))
     out = pd.DataFrame([{
-        "fit": names[m][0], "structure": names[m][1], "tp": p[0], "th": p[1],
-        **solver.at[m, p]} for m, p in best.items()])
+        "fit": names[m][0], "structure": names[m][1], "tp": f.point[0], "th": f.point[1],
+        **solver.at[m, f.point], "converged": f.converged and solver.at[m, f.point]["settled"]}
+        for m, f in best.items()])
     least = np.where(out["structure"] == NESTED, out[["tp", "th"]].min(axis=1),
                      np.where(out["structure"] == NONE, 1.0, out[["tp", "th"]].max(axis=1)))
     return out.assign(singular=least < 1e-8)
@@ -222,7 +225,8 @@ def odds_summary(fitted: pd.DataFrame) -> pd.DataFrame:
         "pct_outcome": fitted["n_outcome"] / fitted["n"] * 100, "var_site": fitted["th"],
         "var_unit": fitted["tp"], "icc_site": fitted["th"] / total,
         "icc_unit": (fitted["th"] + fitted["tp"]) / total, "mor_site": fitted["th"].map(mor),
-        "mor_unit": fitted["tp"].map(mor), "singular": fitted["singular"]})
+        "mor_unit": fitted["tp"].map(mor), "singular": fitted["singular"],
+        "converged": fitted["converged"]})
 
 
 def fit_subgroups(model: Design, subgroups: Mapping[str, str], min_n: int = 50) -> pd.DataFrame:

@@ -69,15 +69,9 @@ def _with_totals(units: DataFrame, names: Sequence[str]) -> Sums:
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Driver rows as a table; short ones as literals, which need no Python task."""
-    if len(rows) > 400:
-        return spark.createDataFrame(rows, schema)
+    """Driver rows as a table, by way of Arrow."""
     names = [part.split()[0] for part in schema.split(", ")]
-    quoted = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    text = lambda v: quoted(v) if isinstance(v, str) else (
-        f"{v!r}D" if isinstance(v, float) else str(v))
-    cells = ", ".join("(" + ", ".join(map(text, row)) + ")" for row in rows)
-    return spark.sql(f"SELECT * FROM VALUES {cells} AS t({', '.join(names)})")
+    return spark.createDataFrame(pd.DataFrame(rows, columns=names), schema)
 
 
 def _sums(parts: Mapping[str, str]) -> list[Column]:
@@ -183,8 +177,9 @@ def fit_structures(sums: Sums, wanted: Sequence[tuple[str, str]], reml: bool = T
 
     coarse = {m: (grids or {}).get(names[m], COARSE[names[m][1]]) for m in names}
     best = minimise(coarse, evaluate)
-    out = pd.DataFrame([keep[names[m][0], p] for m, p in best.items()]).reset_index(drop=True)
+    out = pd.DataFrame([keep[names[m][0], f.point] for m, f in best.items()]).reset_index(drop=True)
     out["structure"] = [names[m][1] for m in best]
+    out["converged"] = [f.converged for f in best.values()]
     least = np.where(out["structure"] == NESTED, out[["tp", "th"]].min(axis=1),
                      out[["tp", "th"]].max(axis=1))
     return out.assign(singular=least < 1e-8)
@@ -234,10 +229,11 @@ def variance_components(fitted: pd.DataFrame) -> pd.DataFrame:
             parts.pop("site")
         total = sum(parts.values())
         rows += [(r.fit, c, v, v / total * 100, math.sqrt(v), total,
-                  MODEL_TYPES[r.structure], bool(r.singular)) for c, v in parts.items()]
+                  MODEL_TYPES[r.structure], bool(r.singular), bool(r.converged))
+                 for c, v in parts.items()]
     return pd.DataFrame(rows, columns=["fit", "component", "variance", "pct_variance",
                                        "sd_component", "total_variance", "model_type",
-                                       "singular"])
+                                       "singular", "converged"])
 
 
 def icc_table(fitted: pd.DataFrame) -> pd.DataFrame:
