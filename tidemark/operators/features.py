@@ -97,7 +97,7 @@ def unit_and_provider(index: DataFrame, stays: DataFrame, codes: DataFrame, key:
     place = location_at(index, tagged, key, at, start, end,
                         [site, category, "_unit", site_type])
     days = unit_days(stays.where(F.col(category) == unit_category), key, start, end)
-    who = first_per(codes.where(code_filter), key, [code_time], [provider])
+    who = first_per(codes.where(code_filter), key, [F.col(code_time).isNull(), code_time], [provider])
     return (place.withColumnRenamed("_unit", "unit_type_at_index")
             .withColumnRenamed(category, "location_at_index")
             .join(days, key, "full").join(who, key, "full"))

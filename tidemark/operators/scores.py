@@ -82,7 +82,7 @@ def comorbidity_index(diagnoses: DataFrame, key: str, code: str, code_format: st
     plain = F.upper(F.regexp_replace(F.col(code), "[^A-Za-z0-9]", ""))
     version = F.when(F.col(code_format).contains("10"), "10").otherwise("9")
     coded = (diagnoses.select(key, plain.alias("_code"), version.alias("version"))
-             .withColumn("stem", F.substring("_code", 1, 3)).distinct())
+             .withColumn("stem", F.substring("_code", 1, 3)))
     # A code belongs to a range if it begins with the end or lies between the ends.
     inside = (F.col("_code") >= F.col("lo")) & (
         F.expr("substring(_code, 1, length(hi))") <= F.col("hi"))

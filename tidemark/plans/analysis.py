@@ -119,6 +119,8 @@ def quality_tables(p: Prepared) -> dict[str, DataFrame]:
                       <= 0.01),
         Q.Consistency("dose variable NAs match missing weight", is_missing_dose,
                       F.col("weight_kg").isNull())]
+    # every place that occurs: the study does not limit them
+    places = sorted(r[0] for r in p.raw.select("location_at_intubation").distinct().collect() if r[0] is not None)
     raw_vars = [c for c in p.raw.columns if not c.startswith("post_rsi") and c != "site_id"]
     return {
         "01_duplicates": Q.duplicate_keys(p.raw, [KEY]),
@@ -128,9 +130,9 @@ def quality_tables(p: Prepared) -> dict[str, DataFrame]:
         "01_impossible_values": Q.range_checks(
             p.raw, [Q.RangeRule(*r) for r in RANGES], "drug_received", FLAGS),
         "01_weight_source_by_location": B.cross_tab(
-            p.raw, "weight_source", "location_at_intubation", ["ed", "icu"]),
+            p.raw, "weight_source", "location_at_intubation", places),
         "01_icu_type_by_location": B.cross_tab(
-            p.raw, "icu_type", "location_at_intubation", ["ed", "icu"]),
+            p.raw, "icu_type", "location_at_intubation", places),
         "01_exclusion_waterfall": p.waterfall,
         "01_provider_encounter_table": Q.volume_summary(
             clean, "provider_id", F.col("weight_kg").isNotNull(), MIN_PROVIDER),
@@ -307,6 +309,12 @@ def write_analysis(spark: SparkSession, site: Site, frame: DataFrame, replicates
     models = model_tables(spark, prepared, replicates, raw_replicates)
     for name, table in models.items():
         write_shared(table, site, "models", f"{name}.csv")
-    metadata = _summary(prepared).withColumn("version", F.lit("0.1.0"))
+    parts = models["variance_components"].agg(
+        F.array_join(F.array_sort(F.collect_set(F.concat_ws(": ", "fit", "model_type"))), "; ").alias("types"),
+        F.max("singular").alias("singular"), F.min("converged").alias("converged")).first()
+    metadata = (_summary(prepared).withColumn("version", F.lit("0.1.0"))
+                .withColumn("dose_model_types", F.lit(parts["types"]))
+                .withColumn("dose_model_singular", F.lit(parts["singular"]))
+                .withColumn("dose_model_converged", F.lit(parts["converged"])))
     write_shared(metadata, site, "diagnostics", "site_metadata.csv")
     return prepared

@@ -257,7 +257,7 @@ def build_dataset(spark: SparkSession, site: Site, cohort: DataFrame,
                 "nmb_dose_mg_kg", "med_category_par", PARALYTIC_BANDS, True)))
 
     drips = load_table(spark, site, "medication_admin_continuous", {
-        "med_category": sorted({*PUSH_DOSE, *VASOPRESSORS})}, ids).withColumn(
+        "med_category": sorted({*PUSH_DOSE, *VASOPRESSORS, "dobutamine"})}, ids).withColumn(
         "med_category", F.lower("med_category"))
     push = X.category_flags_before(cohort, drips, KEY, "admin_dttm_par", "admin_dttm",
                                    "med_category", {m: f"push_dose_{m}" for m in PUSH_DOSE}, 120)

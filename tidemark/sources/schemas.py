@@ -40,4 +40,4 @@ SCHEMAS: dict[str, T.StructType] = {
     "microbiology_culture": _table(hospitalization_id=_S, recorded_dttm=_T, fluid_category=_S),
 }
 # Tables a site may not have; they read as empty.
-OPTIONAL = {"crrt_therapy", "microbiology_culture", "labs"}
+OPTIONAL = {"crrt_therapy"}

@@ -84,7 +84,11 @@ def load_table(spark: SparkSession, site: Site, name: str,
         raise
     out = conform(raw, schema, site.timezone)
     for column, values in (filters or {}).items():
-        out = out.where(F.lower(column).isin([v.lower() for v in values]))
+        asked = F.lower(column).isin([v.lower() for v in values])
+        if site.filetype == "parquet":
+            # the spellings in use, so that the reader can prune by the stored values
+            asked = F.col(column).isin([r[0] for r in out.select(column).where(asked).distinct().collect()])
+        out = out.where(asked)
     if ids is not None:
         out = out.join(ids, [c for c in ids.columns if c in out.columns], "left_semi")
     return out
@@ -109,8 +113,8 @@ def flow_document(flow: DataFrame, site: Site, cohort: DataFrame, key: str,
     """One row ``site, steps[], final_cohort`` from a flow table and its cohort."""
     steps = flow.agg(F.sort_array(F.collect_list(F.struct(*flow.columns))).alias("steps"))
     size = cohort.agg(F.struct(
-        F.countDistinct(key).alias("n_entities"),
-        F.countDistinct(owner).alias("n_owners")).alias("final_cohort"))
+        F.countDistinct(key).alias("n_hospitalizations"),
+        F.countDistinct(owner).alias("n_patients")).alias("final_cohort"))
     return steps.select(F.lit(site.name).alias("site"), "steps",
                         size.scalar().alias("final_cohort"))
 
