@@ -24,6 +24,11 @@ def parquet_row_key() -> Column:
                     F.col("_metadata.row_index").alias("line"))
 
 
+def uniform_of(*columns: str) -> Column:
+    """A number in [0, 1) fixed by the values, to draw a sample without sorting the table."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double") / float(2**53)
+
+
 def id_order(id_column: str = "doc_id", row: str = "row") -> Column:
     """Smallest identifier first, null last, equal identifiers by row number."""
     return F.struct(F.col(id_column).isNull().alias("unnamed"),

@@ -6,8 +6,8 @@ mean of what each holds, averaged over the orders. N-grams are taken from the lo
 whole text, with everything but letters turned into one blank, and are numbered by a hash
 (``FEATURES`` slots per order).
 
-Training: at most ``per_label`` labelled rows per language (those with the smallest hash of
-the identifier), of which ``landmarks`` span the Nyström space; one kernel ridge regression
+Training: about ``per_label`` labelled rows per language (those whose hash of the identifier lies
+under the share that makes so many, and never over twice as many), of which ``landmarks`` span the Nyström space; one kernel ridge regression
 per language on +1 and -1. The rows come to the driver as packed presence bits of fixed size,
 not as texts. Scoring: presence matrix times landmark matrix times dual weights; as the last
 two do not depend on the text, their product is formed once.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialise
+from .common import uniform_of
 
 FEATURES = (1 << 9, 1 << 11, 1 << 13, 1 << 14)
 _STARTS = np.cumsum((0, *FEATURES))
@@ -76,18 +76,13 @@ def training_bits(docs: DataFrame, per_label: int, max_labels: int, id_column: s
     labelled = docs.where(F.col(label_column).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(id_column).cast("string").alias("name"), F.col(label_column).alias("label"),
         F.col(text_column).alias("text"))
-    order = F.xxhash64("name")
-    labels = [r["label"] for r in labelled.select("label").distinct().limit(max_labels + 1).collect()]
-    if len(labels) > max_labels:
+    sizes = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(max_labels + 1).collect()
+    if len(sizes) > max_labels:
         raise ValueError(f"more than {max_labels} languages")
-    chosen = None
-    for label in sorted(labels):
-        part = (labelled.where(F.col("label") == label).select("name", order.alias("place"))
-                .orderBy("place", "name").limit(per_label))
-        chosen = part if chosen is None else chosen.unionByName(part)
-    if chosen is None:
+    if not sizes:
         return [], np.empty((0, 0), np.uint8)
-    names = materialise(chosen.select("name").distinct(), "training-names")
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["label"], per_label / r["n"])])
+    drawn = labelled.where(uniform_of("name") < share[F.col("label")])
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,9 +95,9 @@ def training_bits(docs: DataFrame, per_label: int, max_labels: int, id_column: s
             yield pa.RecordBatch.from_arrays([batch.column("name"), batch.column("label"),
                                               pa.array(packed, pa.binary())], ["name", "label", "bits"])
 
-    rows = (labelled.join(F.broadcast(names), "name").mapInArrow(
-        bits, "name string, label string, bits binary").where("bits IS NOT NULL")
-        .orderBy("name", "label", "bits").limit(2 * per_label * max_labels).collect())
+    rows = (drawn.mapInArrow(bits, "name string, label string, bits binary").where("bits IS NOT NULL")
+            .limit(2 * per_label * len(sizes)).collect())
+    rows.sort()
     return [r["label"] for r in rows], np.frombuffer(
         b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), -1)
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialise
 
-from .common import by_group, components, dealt_in_blocks, id_order, matrix
+from .common import by_group, components, dealt_in_blocks, id_order, matrix, uniform_of
 
 PIVOTS, NEAREST, SHARED = 256, 8, 3
 BLOCK = 1024
@@ -58,13 +58,14 @@ def usable_vectors(vectors: DataFrame, id_column: str, vector_column: str, label
 
 def reference_points(classes: DataFrame, pivots: int) -> dict[int, np.ndarray]:
     """Unit reference vectors by number of bytes: those with the smallest hash."""
-    sizes = [r["size"] for r in classes.select(F.octet_length("packed").alias("size")).distinct()
-             .limit(MAX_LENGTHS + 1).collect()]
+    sizes = classes.groupBy(F.octet_length("packed").alias("size")).agg(
+        F.count(F.lit(1)).alias("n")).limit(MAX_LENGTHS + 1).collect()
     if len(sizes) > MAX_LENGTHS:
         raise ValueError(f"more than {MAX_LENGTHS} different vector lengths")
     points = {}
-    for size in sizes:
-        drawn = (classes.where(F.octet_length("packed") == size).select("packed").distinct()
+    for size, n in sizes:
+        share = uniform_of("packed") < min(1.0, 4 * pivots / n)  # some more than are kept
+        drawn = (classes.where((F.octet_length("packed") == size) & share).select("packed").distinct()
                  .orderBy(F.xxhash64("packed"), "packed").limit(pivots).collect())
         whole = np.vstack([np.frombuffer(r["packed"], np.float64) for r in drawn])
         points[size] = whole / np.linalg.norm(whole, axis=1, keepdims=True)
