@@ -257,3 +257,18 @@ def test_logistic_fit_with_a_large_variance(spark):
     model = D.design(spark.createDataFrame(pdf), "y", [], {}, "site", "unit", "m")
     fitted = G.fit_glmm(model).iloc[0]
     assert fitted["tp"] > 6 and fitted["converged"]
+
+
+def test_term_that_is_constant_in_one_model_only(spark):
+    rng = np.random.default_rng(21)
+    n = 400
+    m = np.where(np.arange(n) % 2 == 0, "a", "b")
+    z = np.where(m == "a", 1.0, rng.integers(0, 2, n))
+    pdf = pd.DataFrame({"y": 1.6 + 0.5 * z * (m == "b") + rng.normal(size=n), "z": z, "m": m,
+                        "unit": rng.integers(0, 20, n), "site": 0})
+    model = D.design(spark.createDataFrame(pdf), "y", ["z"], {}, "site", "unit", "m")
+    got = L.fixed_effects(L.fit_lmm(L.sufficient_sums(model)), model.names)
+    assert got[got["fit"] == "a"]["term"].tolist() == ["(Intercept)"]
+    assert got[got["fit"] == "b"]["term"].tolist() == ["(Intercept)", "z"]
+    mean = pdf[pdf["m"] == "a"]["y"].mean()
+    assert got[got["fit"] == "a"]["estimate"].iloc[0] == pytest.approx(mean, abs=0.1)

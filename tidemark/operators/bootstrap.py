@@ -2,29 +2,24 @@
 
 Each row draws its multiplicity in every replicate from Poisson(1), the large-sample form of
 drawing rows with replacement: rows need no shared index, so the draw is local to the row and
-is repeated identically when a task is run again. Replicates are further models of the same
-batch of likelihood evaluations.
+is repeated identically when a task is run again. Rows are never multiplied: the rows of a
+unit times the draws of all replicates are one matrix product per block of rows, which
+leaves one row of sums per unit and replicate. A replicate is then fitted from its unit sums
+(one row per unit, whatever the rows) in one task, all replicates side by side.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise, spread
 from .design import Design
-from .lmm import COARSE, Sums, fit_structures, sufficient_sums, variance_components
-
-
-def poisson_weight(uniform: Column) -> Column:
-    """Poisson(1) count of a uniform number by its distribution function."""
-    out, below = None, 0.0
-    for k in range(16):
-        below += math.exp(-1) / math.factorial(k)
-        out = F.when(uniform < below, k) if out is None else out.when(uniform < below, k)
-    return out.otherwise(16)
+from .lmm import COARSE, solve_system, symmetric, triangle, variance_components
+from .variance_search import minimise
 
 
 def hash_uniform(*parts: Column) -> Column:
@@ -32,13 +27,81 @@ def hash_uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / float(2**53)
 
 
-def resampled(model: Design, row_key: list[str], replicates: int, seed: int) -> Design:
-    """Rows per replicate with column ``weight``; ``fit`` becomes ``fit|replicate``."""
-    draws = model.rows.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    u = hash_uniform(F.lit(seed), F.col("_rep"), *[F.col(c) for c in row_key])
-    rows = (draws.withColumn("weight", poisson_weight(u)).where(F.col("weight") > 0)
-            .withColumn("fit", F.concat("fit", F.lit("|"), F.col("_rep").cast("string"))))
-    return Design(rows, model.names)
+def draws(keys: np.ndarray, replicates: int, seed: int) -> np.ndarray:
+    """Poisson(1) counts of each row (by its 64-bit key) in each replicate."""
+    x = keys.astype(np.uint64)[:, None] + np.arange(1, replicates + 1, dtype=np.uint64) * np.uint64(
+        0x9E3779B97F4A7C15) + np.uint64(seed)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    uniform = (x ^ (x >> np.uint64(31))) >> np.uint64(11)
+    cumulative = np.cumsum(np.exp(-1) / np.cumprod([1.0, *range(1, 16)]))
+    return np.searchsorted((cumulative * 2.0**53).astype(np.uint64), uniform, "right")
+
+
+def moment_names(p: int) -> list[str]:
+    return ["n", "r", "yy", *[f"s{i}" for i in range(p)], *[f"xy{i}" for i in range(p)],
+            *[f"g{i}_{j}" for i, j in triangle(p)]]
+
+
+def resampled_sums(model: Design, row_key: list[str], replicates: int, seed: int) -> DataFrame:
+    """Sums per (fit, replicate, site, unit) over the drawn rows."""
+    p, xs, names = len(model.names), model.xs, moment_names(len(model.names))
+    rows = model.rows.select("fit", "site", "unit", "y", *model.xs,
+                             F.xxhash64(*row_key).alias("_key"))
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (fit, site, unit), own in batch.groupby(["fit", "site", "unit"], sort=False):
+                y, x = own["y"].to_numpy(), own[xs].to_numpy().reshape(len(own), p)
+                moments = np.column_stack(
+                    [np.ones(len(y)), y, y * y, x, x * y[:, None],
+                     *[x[:, i] * x[:, j] for i, j in triangle(p)]])
+                total = draws(own["_key"].to_numpy(), replicates, seed).T @ moments
+                drawn = np.flatnonzero(total[:, 0])
+                out = pd.DataFrame(total[drawn], columns=names)
+                out.insert(0, "unit", unit)
+                out.insert(0, "site", site)
+                out.insert(0, "replicate", drawn + 1)
+                out.insert(0, "fit", fit)
+                yield out
+
+    schema = "fit string, replicate int, site string, unit string, " + ", ".join(
+        f"{n} double" for n in names)
+    # rows of a unit lie together, so a batch leaves few partial sums per unit
+    near = rows.repartition("fit", "site", "unit", F.pmod("_key", F.lit(64))).sortWithinPartitions(
+        "fit", "site", "unit")
+    return (near.mapInPandas(sums, schema).groupBy("fit", "replicate", "site", "unit")
+            .agg(*[F.sum(n).alias(n) for n in names]))
+
+
+def fit_units(units: pd.DataFrame, p: int, structure: str, grids) -> dict:
+    """Best (tp, th) and residual variance of one replicate from its unit sums, by REML."""
+    units = units.sort_values("site", kind="stable")
+    cut = np.flatnonzero(np.r_[True, units["site"].to_numpy()[1:] != units["site"].to_numpy()[:-1]])
+    n, r = units["n"].to_numpy(), units["r"].to_numpy()
+    s = units[[f"s{i}" for i in range(p)]].to_numpy()
+    total = units[moment_names(p)].sum()
+    xx = symmetric(np.array([[total[f"g{i}_{j}"] for i, j in triangle(p)]]), p)[0]
+    xy = np.array([total[f"xy{i}"] for i in range(p)])
+    found = {}
+
+    def deviance(point):
+        tp, th = point
+        k = 1 / (1 + n * tp)
+        w = tp * k
+        a = np.add.reduceat(n * k, cut)
+        u = np.add.reduceat(r * k, cut)
+        t = np.add.reduceat(s * k[:, None], cut, axis=0)
+        v = th / (1 + th * a)
+        found[point] = solve_system(
+            xx - (s * w[:, None]).T @ s - (t * v[:, None]).T @ t, xy - s.T @ (w * r) - t.T @ (v * u),
+            total["yy"] - w @ (r * r) - v @ (u * u), np.log1p(n * tp).sum() + np.log1p(th * a).sum(),
+            total["n"], True)
+        return found[point][0]
+
+    best = minimise({"": grids}, lambda points: {m: [deviance(x) for x in at] for m, at in points.items()})[""]
+    return {"tp": best.point[0], "th": best.point[1], "sigma2": found[best.point][1],
+            "structure": structure, "converged": best.converged}
 
 
 def with_row_number(rows: DataFrame, name: str = "row_key") -> DataFrame:
@@ -52,18 +115,21 @@ def bootstrap_shares(model: Design, fitted: pd.DataFrame, row_key: list[str], re
 
     Every replicate keeps the structure chosen for the original rows.
     """
-    sums: Sums = sufficient_sums(resampled(model, row_key, replicates, seed), "weight")
-    wanted, grids = [], {}
+    p, plan = len(model.names), {}
     for m in fitted.itertuples():
         # a start near the estimate; the search goes on past any edge
         near = tuple((0.0,) if v == 0 else (0.0, v / 8, v, v * 8) for v in (m.tp, m.th))
-        if m.singular:                           # nothing to start from
-            near = COARSE[m.structure]
-        for i in range(1, replicates + 1):
-            wanted.append((f"{m.fit}|{i}", m.structure))
-            grids[wanted[-1]] = near
-    shares = variance_components(fit_structures(sums, wanted, grids=grids))
-    shares["fit"] = shares["fit"].str.rsplit("|", n=1).str[0]
+        plan[m.fit] = m.structure, COARSE[m.structure] if m.singular else near
+
+    def fit(units: pd.DataFrame) -> pd.DataFrame:
+        name = units["fit"].iloc[0]
+        return pd.DataFrame([{"fit": name, **fit_units(units, p, *plan[name])}])
+
+    each = (resampled_sums(model, row_key, replicates, seed).where(F.col("fit").isin(list(plan)))
+            .groupBy("fit", "replicate")
+            .applyInPandas(fit, "fit string, tp double, th double, sigma2 double, structure string, "
+                           "converged boolean").toPandas())
+    shares = variance_components(each.assign(singular=False))
     tail = (1 - level) / 2
     grouped = shares.groupby(["fit", "component"])["pct_variance"]
     return pd.DataFrame({"ci_lo": grouped.quantile(tail), "ci_hi": grouped.quantile(1 - tail),

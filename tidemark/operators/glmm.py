@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import materialise, spread
 from .design import Design
 from .lmm import (MODEL_TYPES, NESTED, SITE, UNIT, _array_sum, _sums, choose_structures,
-                  first_admissible, small_table, symmetric, triangle)
+                  first_admissible, independent, small_table, symmetric, triangle)
 from .temporal import spread_join
 from .variance_search import Point, minimise
 
@@ -124,8 +124,11 @@ class _Solver:
         inverse, betas = {}, list(betas)
         for g in got:
             i = g["point"]
-            inverse[i] = np.linalg.pinv(symmetric(np.array([g["a"]]), p)[0], hermitian=True)
-            betas[i] = (inverse[i] @ np.array(g["b"])).tolist()
+            a = symmetric(np.array([g["a"]]), p)[0]
+            keep = independent(a)
+            inverse[i] = np.full((p, p), np.nan)  # stays so for terms that others make up
+            inverse[i][np.ix_(keep, keep)] = np.linalg.inv(a[np.ix_(keep, keep)])
+            betas[i] = np.where(keep, np.nan_to_num(inverse[i]) @ np.array(g["b"]), 0.0).tolist()
         table = self._table(points, betas).select("point", *[f"beta{i}" for i in range(p)])
         fitted = lambda name: " + ".join(f"{name}{i} * beta{i}" for i in range(p))
         site_effect = sites.join(table, "point").selectExpr(
@@ -152,7 +155,9 @@ class _Solver:
                 break
         deviance = self._deviance(points, effects, betas)
         for i, (m, (_, point)) in enumerate(zip(owner, points)):
-            self.at[m, point] = {"deviance": deviance[i], "beta": betas[i],
+            none = np.isnan(np.diag(inverse[i]))
+            self.at[m, point] = {"deviance": deviance[i],
+                                 "beta": np.where(none, np.nan, betas[i]).tolist(),
                                  "settled": bool(settled[i]),
                                  "se": np.sqrt(np.diag(inverse[i])).tolist()}
         self.best = {m: min((i for i, o in enumerate(owner) if o == m), key=deviance.get)
@@ -169,7 +174,7 @@ def fit_structures(model: Design, wanted: Sequence[tuple[str, str]]) -> pd.DataF
     fit_of = {m: fit for m, (fit, _) in names.items()}
     solver = _Solver(model.rows, len(model.names))
     best = minimise({m: COARSE[structure] for m, (_, structure) in names.items()},
-                    lambda points: solver.run(points, fit_of))
+                    lambda points: solver.run(points, fit_of), last_step=0.05)
     out = pd.DataFrame([{
         "fit": names[m][0], "structure": names[m][1], "tp": f.point[0], "th": f.point[1],
         **solver.at[m, f.point], "converged": f.converged and solver.at[m, f.point]["settled"]}

@@ -118,30 +118,49 @@ def symmetric(flat: np.ndarray, p: int) -> np.ndarray:
     return out
 
 
+def independent(a: np.ndarray, tolerance: float = 1e-10) -> np.ndarray:
+    """Which columns of a cross-product are no combination of earlier ones."""
+    left, keep = a.copy(), np.zeros(len(a), bool)
+    for j in range(len(a)):
+        if left[j, j] > tolerance * a[j, j]:
+            keep[j] = True
+            left = left - np.outer(left[:, j], left[j]) / left[j, j]
+    return keep
+
+
+def solve_system(a: np.ndarray, b: np.ndarray, c: float, logdet: float, n: float,
+                 reml: bool) -> tuple[float, float, int, np.ndarray, np.ndarray]:
+    """(deviance, residual variance, rank, coefficients, standard errors) of one point.
+
+    Terms that are combinations of earlier terms in this model's rows get no coefficient (NaN).
+    """
+    keep = independent(a)
+    inverse = np.linalg.inv(a[np.ix_(keep, keep)])
+    beta, se = np.full((2, len(b)), np.nan)
+    beta[keep] = inverse @ b[keep]
+    rank = int(keep.sum())
+    df = n - rank if reml else n
+    sigma2 = max(c - b[keep] @ beta[keep], 1e-300) / df
+    deviance = df * (math.log(2 * math.pi * sigma2) + 1) + logdet
+    if reml:
+        deviance -= np.linalg.slogdet(inverse)[1]
+    se[keep] = np.sqrt(np.diag(inverse) * sigma2)
+    return deviance, sigma2, rank, beta, se
+
+
 def _solver(p: int, reml: bool):
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if pdf.empty:
                 continue
             a = symmetric(np.stack(pdf["a"].to_numpy()), p)
-            b = np.stack(pdf["b"].to_numpy())
-            inverse = np.linalg.pinv(a, hermitian=True)
-            beta = np.einsum("nij,nj->ni", inverse, b)
-            q = pdf["c"].to_numpy() - np.einsum("ni,ni->n", b, beta)
-            eigen = np.linalg.eigvalsh(a)
-            usable = eigen > eigen.max(axis=1, keepdims=True) * 1e-12
-            rank = usable.sum(axis=1)
-            n = pdf["n_obs"].to_numpy()
-            df = n - rank if reml else n
-            sigma2 = np.maximum(q, 1e-300) / df
-            deviance = df * (np.log(2 * np.pi * sigma2) + 1) + pdf["logdet"].to_numpy()
-            if reml:
-                deviance = deviance + np.where(usable, np.log(np.where(usable, eigen, 1)), 0).sum(1)
-            se = np.sqrt(np.einsum("nii->ni", inverse) * sigma2[:, None])
+            solved = [solve_system(x, np.asarray(b), c, logdet, n, reml) for x, b, c, logdet, n in zip(
+                a, pdf["b"], pdf["c"], pdf["logdet"], pdf["n_obs"])]
+            deviance, sigma2, rank, beta, se = zip(*solved)
             yield pd.DataFrame({
                 "fit": pdf["fit"], "point": pdf["point"], "tp": pdf["tp"], "th": pdf["th"],
-                "deviance": deviance, "sigma2": sigma2, "n_obs": n, "resid_df": n - rank,
-                "beta": list(beta), "se": list(se)})
+                "deviance": deviance, "sigma2": sigma2, "n_obs": pdf["n_obs"],
+                "resid_df": pdf["n_obs"] - np.array(rank), "beta": list(beta), "se": list(se)})
     return solve
 
 
@@ -306,6 +325,8 @@ def fixed_effects(fitted: pd.DataFrame, names: Sequence[str], exponentiate: bool
     rows = []
     for r in fitted.itertuples():
         for j, (term, b, se) in enumerate(zip(names, r.beta, r.se)):
+            if math.isnan(b):                    # no term of this model's rows
+                continue
             stat = b / se if se > 0 else float("nan")
             df = dof[r.fit][j] if dof is not None else float("inf")
             p = math.erfc(abs(stat) / math.sqrt(2)) if math.isinf(df) else student_tails(stat, df)

@@ -16,7 +16,7 @@ Point = tuple[float, float]          # (unit, site) variance or variance ratio
 Evaluate = Callable[[Mapping[str, list[Point]]], Mapping[str, list[float]]]
 
 FIRST_STEP, LAST_STEP = 0.6, 0.02      # log-distance of stencil points
-TOLERANCE = 1e-6                       # expected further fall of the deviance
+TOLERANCE = 1e-5                       # expected further fall of the deviance
 FAR, NEAR = 1e12, 1e-12                # a search that gets here has no inner minimum
 ROUNDS = 60
 
@@ -84,12 +84,14 @@ def _beyond(best: Point, tried: Mapping[Point, float]) -> list[Point]:
 
 
 def minimise(models: Mapping[str, tuple[Sequence[float], Sequence[float]]],
-             evaluate: Evaluate, rounds: int = ROUNDS) -> dict[str, Found]:
+             evaluate: Evaluate, last_step: float = LAST_STEP,
+             rounds: int = ROUNDS) -> dict[str, Found]:
     """Best (unit, site) point per model.
 
     ``models`` holds the coarse grids of the two variances; ``(0.0,)`` keeps one at zero. A grid is
     extended while the best point lies on its edge; then Newton steps on shrinking stencils
-    go on until the expected further fall is under ``TOLERANCE``.
+    go on until the expected further fall is under ``TOLERANCE`` on a stencil of at most twice
+    ``last_step``.
     """
     seen: dict[str, dict[Point, float]] = {m: {} for m in models}
 
@@ -114,15 +116,15 @@ def minimise(models: Mapping[str, tuple[Sequence[float], Sequence[float]]],
         values = run(points)
         for m in points:
             to, distance, fall, slope = _newton(centre[m], step[m], points[m], values[m])
-            state[m] = (fall < TOLERANCE and step[m] <= 3 * LAST_STEP, slope)
+            state[m] = (fall < TOLERANCE and step[m] <= 2 * last_step, slope)
             if state[m][0]:
+                centre[m] = to
                 continue
             lowest = best(m)
             if seen[m][lowest] < seen[m][centre[m]] - 1 and not np.isfinite(fall):
                 to = lowest
             centre[m] = to
-            step[m] = min(max(min(distance, step[m] / 2 if distance < step[m] else step[m]), LAST_STEP),
-                          FIRST_STEP)
+            step[m] = min(max(distance / 2 if np.isfinite(fall) else distance, last_step), FIRST_STEP)
     run({m: list(dict.fromkeys([c, (0.0, c[1]), (c[0], 0.0)])) for m, c in centre.items()})
     out = {}
     for m in models:

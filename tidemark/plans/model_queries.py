@@ -60,7 +60,7 @@ def lmm_raw(spark, sf):
 
 
 @query("lmm_bootstrap")
-def lmm_bootstrap(spark, sf, replicates: int = 20):
+def lmm_bootstrap(spark, sf, replicates: int = 1000):
     model = _design(_rows(spark, sf), "price")
     model = D.Design(R.with_row_number(model.rows), model.names)
     fitted = L.fit_lmm(L.sufficient_sums(model))
@@ -105,6 +105,6 @@ def impute_pmm(spark, sf):
         F.when((F.col("event_id") % 11 != 0), F.log1p("value") + F.col("user_id") % 5)
         .alias("score"), F.hour("ts").cast("double").alias("hour"))
     done, _ = I.impute_pmm(ev, "event_id", ["value", "score"], ["hour"], {
-        "event_type": ["click", "error", "purchase", "signup", "view"]}, iterations=2)
+        "event_type": ["click", "error", "purchase", "signup", "view"]}, iterations=10)
     return done.select("event_id", F.round("value", 6).alias("value"),
                        F.round("score", 6).alias("score"))
