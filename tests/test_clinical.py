@@ -90,7 +90,16 @@ def test_cohort_outputs_and_analysis(spark, study):
         open(os.path.join(site.shared(".", "consort_cohort.json"), f)).read()
         for f in os.listdir(site.shared(".", "consort_cohort.json")) if f.startswith("part")))
     assert [s["step"] for s in document["steps"]] == list(range(13))
-    assert K.weight_gap(result).count() >= 0
+    final = document["final_cohort"]
+    assert set(final) == {"n_hospitalizations", "n_patients"}
+    for name in ("rsi_timing_histogram", "rsi_pair_by_location", "weight_hours_before_histogram",
+                 "weight_hours_after_histogram", "weight_change_histogram", "weight_change_by_pair",
+                 "weight_gap_excluded"):
+        written = spark.read.option("header", "true").csv(site.shared("figures", f"{name}.csv"))
+        assert written.count() > 0 or name == "weight_gap_excluded"
+    pairs = spark.read.option("header", "true").csv(site.shared("figures", "rsi_pair_by_location.csv"))
+    assert sum(int(r["ed"]) + int(r["icu"]) for r in pairs.collect()) == result.cohort.count()
+    os.stat(site.private("subanalysis_weight_gap"))
     frame = K.modeling_frame(wide, site)
     assert len(frame.columns) == 35
     prepared = A.prepare(frame, impute_iterations=1)

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.recode import (band_within, chain, folded, lenient_double, level_of, present,
                                 ratio, shortfall)
 from ..operators import cohort as C, features as X, scores as S, temporal as T
-from ..operators.describe import pair_timing_stats, stacked_stats
+from ..operators.describe import (box_stats, count_matrix, histogram, pair_timing_stats,
+                                  stacked_stats)
 from ..operators.quality import collapse_levels
 from ..operators.subanalyses import gap_for_excluded, pre_post_change
 from ..session import materialise
@@ -220,6 +221,25 @@ def write_cohort(result: CohortResult, site: Site) -> None:
     timing = weight_timing(result)
     write_private(timing, site, "subanalysis_weight_timing")
     write_shared(weight_timing_stats(timing), site, ".", "subanalysis_weight_timing_stats.csv")
+    gap = weight_gap(result)
+    write_private(gap, site, "subanalysis_weight_gap")
+    for name, table in chart_tables(result, timing, gap).items():
+        write_shared(table, site, "figures", f"{name}.csv")
+
+
+def chart_tables(result: CohortResult, timing: DataFrame, gap: DataFrame) -> dict[str, DataFrame]:
+    """The rows that the charts of step 1 are drawn from."""
+    pair = F.concat("med_category_ind", F.lit(" + "), "med_category_par")
+    return {
+        "rsi_timing_histogram": histogram(result.pairs, "gap_minutes", 0.5, stop=30.0),
+        "rsi_pair_by_location": count_matrix(result.cohort, pair, "location_category",
+                                             ["ed", "icu"], "med_pair"),
+        "weight_hours_before_histogram": histogram(timing, "pre_hours_before", 2.0, stop=100.0),
+        "weight_hours_after_histogram": histogram(timing, "post_hours_after", 2.0, stop=100.0),
+        "weight_change_histogram": histogram(timing, "change", 1.0),
+        "weight_change_by_pair": box_stats(timing, "change", ["med_pair"]),
+        "weight_gap_excluded": stacked_stats(gap, ["gap_days", "change"], {}),
+    }
 
 
 def weight_timing(result: CohortResult) -> DataFrame:
