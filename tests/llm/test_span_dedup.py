@@ -3,6 +3,7 @@
 import random
 import re
 
+from tidemark.llm.dedup_queries import op8_sentence_spans
 from tidemark.llm.span_dedup import span_dedup
 
 
@@ -77,3 +78,28 @@ def test_same_as_plain_dictionary(spark):
 
 def test_empty_table(spark):
     assert span_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_every_repeated_run_of_fifty_words_is_met(spark, tmp_path):
+    rng = random.Random(5)
+    word = lambda: rng.choice("aéж") + str(rng.randrange(10**6))
+    words = lambda n: [word() for _ in range(n)]
+    marked = lambda n: [w + rng.choice(["", "", "", "", "", "", ".", ",", "?"]) for w in words(n)]
+    runs = [rng.choice([words, marked])(rng.randrange(50, 90)) for _ in range(150)]
+    rows, at = [], []
+    for i, run in enumerate(runs + runs):
+        before, behind = words(rng.randrange(0, 30)), marked(rng.randrange(0, 30))
+        blank = rng.choice([" ", "\n"])
+        rows.append((i, blank.join(before + run + behind)))
+        at.append(len(blank.join([*before, ""])))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in op8_sentence_spans(spark, str(tmp_path)).collect()}
+    for i, (doc_id, text) in enumerate(rows):
+        left, removed = got[doc_id]["text"], got[doc_id]["removed"]
+        if i < len(runs):
+            assert left == text
+            continue
+        run = re.split(r"\s", text[at[i]:])[:len(runs[i - len(runs)])]
+        end = at[i] + len(" ".join(run))
+        assert removed and all(at[i] <= a < b <= end + 1 for a, b in removed)
+        assert sum(len(text[a:b].split()) for a, b in removed) >= 25

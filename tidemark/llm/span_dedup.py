@@ -8,6 +8,14 @@ all documents are joined globally by hash. The first span of a hash is the one i
 smallest identifier (null last), then row, then place; every sentence that another span of the hash covers
 is removed. What is left of a text keeps its characters.
 
+With ``cut_window`` all cuts depend on the words near them alone, so that equal runs of words are cut alike
+wherever they begin and however their lines break: behind ``.``, ``!`` or ``?``, and behind the word
+of least hash in every ``cut_window`` words without such a mark. With ``min_sentences`` 1 every run of
+``min_words + 3 * cut_window - 2`` words then holds a whole span: one that starts within its first
+``cut_window`` words and ends before the last ``cut_window - 1``, where words outside could cut differently. The query takes 9
+and 25: no run of 50 words that came before stays whole. Up to 24 words at an edge of a run can stay.
+Words are parted by ASCII white space, so scripts without it have no runs.
+
 Hashes are counted with partial sums and joined by key, so a passage that fills a third
 of the table is one row of the counted side and is split by Spark on the other; documents
 are never paired. The text leaves its partition only once, to meet its own spans.
@@ -40,10 +48,23 @@ _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 _INVERSES = tuple(np.uint64(pow(int(b), -1, 2**64)) for b in _BASES)
 
 
+def least_in_windows(words: np.ndarray, stop: np.ndarray, width: int) -> np.ndarray:
+    """Whether a word has the least hash (the last of equals) of some ``width`` words without a stop."""
+    chosen = np.zeros(len(words), bool)
+    if len(words) >= width:
+        stops = np.concatenate(([0], np.cumsum(stop)))
+        at = np.flatnonzero(stops[width:] == stops[:-width])
+        windows = np.lib.stride_tricks.sliding_window_view(words, width)
+        for k in range(0, len(at), 1 << 16):
+            part = at[k:k + (1 << 16)]
+            chosen[part + width - 1 - windows[part, ::-1].argmin(axis=1)] = True
+    return chosen
+
+
 class Sentences:
     """Sentences of one text: first word of each, byte where each begins, word hashes."""
 
-    def __init__(self, text: str | None, long_words: int) -> None:
+    def __init__(self, text: str | None, long_words: int, cut_window: int | None = None) -> None:
         self.raw = (text or "").encode("utf-8", "surrogatepass")
         start, end, self.words = words_of_bytes(self.raw)
         self.n_words = len(start)
@@ -54,6 +75,12 @@ class Sentences:
         last = byte[end - 1]
         closed = _CLOSERS[last] & (end - start > 1)
         stop = _STOPS[np.where(closed, byte[np.maximum(end - 2, 0)], last)]
+        if cut_window is not None:
+            stop |= least_in_windows(self.words, stop, cut_window)
+            stop[-1] = True
+            self.first = np.concatenate(([0], np.flatnonzero(stop)[:-1] + 1))
+            self.begin = start[self.first]
+            return
         lines = np.concatenate(([0], np.cumsum(byte == 10)))
         stop[:-1] |= lines[start[1:]] > lines[end[:-1]]
         stop[-1] = True
@@ -88,13 +115,14 @@ class Sentences:
         return k, after, *hashes
 
 
-def document_spans(rows: DataFrame, min_sentences: int, min_words: int, long_words: int) -> DataFrame:
+def document_spans(rows: DataFrame, min_sentences: int, min_words: int, long_words: int,
+                   cut_window: int | None) -> DataFrame:
     """The spans of each document, written."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             starts, afters, ones, twos, sizes = [], [], [], [], [0]
             for text in batch.column("text"):
-                k, after, one, two = Sentences(text.as_py(), long_words).spans(min_sentences, min_words)
+                k, after, one, two = Sentences(text.as_py(), long_words, cut_window).spans(min_sentences, min_words)
                 starts.append(k), afters.append(after), ones.append(one), twos.append(two)
                 sizes.append(len(k))
             at = pa.array(np.cumsum(sizes), pa.int32())
@@ -115,38 +143,40 @@ def document_spans(rows: DataFrame, min_sentences: int, min_words: int, long_wor
 
 def repeated_sentences(spans: DataFrame) -> DataFrame:
     """key and the [k, after) ranges of sentences that repeat an earlier span."""
-    each = spans.select("doc_id", "key", "row", F.explode("spans").alias("span")).select(
-        "doc_id", "key", "row", "span.k", "span.after", "span.h1", "span.h2")
+    each = spans.select("doc_id", "row", F.explode("spans").alias("span")).select(
+        "doc_id", "row", "span.k", "span.after", "span.h1", "span.h2")
     place = F.struct(id_order(), F.col("k"))
     repeated = (each.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
                 .where("n > 1").select("h1", "h2", F.col("first.k").alias("first_k"),
                                        F.col("first.col1.row").alias("first_row")))
-    return (each.select("key", "row", "k", "after", "h1", "h2").join(repeated, ["h1", "h2"])
+    return (each.select("row", "k", "after", "h1", "h2").join(repeated, ["h1", "h2"])
             .where("row <> first_row OR k <> first_k")
-            .groupBy("key").agg(F.collect_set(F.struct("k", "after")).alias("ranges")))
+            .groupBy("row").agg(F.collect_set(F.struct("k", "after")).alias("ranges"))
+            .join(spans.select("row", "key"), "row").select("key", "ranges"))
 
 
 def span_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                min_sentences: int = 2, min_words: int = 25, long_words: int = 30,
-               key: Column | None = None) -> DataFrame:
+               key: Column | None = None, cut_window: int | None = None) -> DataFrame:
     """doc_id, text without repeated sentences, n_sentences, n_removed, removed and the row key.
 
     ``removed`` lists [begin, end) in code points of the given text. ``key`` names each row
     again in a second scan (``parquet_row_key``); without it identifiers and texts are written once.
+    ``cut_window`` cuts by words alone instead of line breaks and ``long_words``.
     """
     plain = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"),
                         *([] if key is None else [key.alias("key")]))
     if key is None:
         plain = materialise(plain.withColumn("key", F.monotonically_increasing_id()), "texts")
     spans = document_spans(plain.withColumn("row", F.monotonically_increasing_id()),
-                           min_sentences, min_words, long_words)
+                           min_sentences, min_words, long_words, cut_window)
     joined = plain.join(repeated_sentences(spans), "key", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
-                own = Sentences(text, long_words)
+                own = Sentences(text, long_words, cut_window)
                 n = len(own.first)
                 gone = np.zeros(n + 1, np.int64)
                 for r in ranges or ():
