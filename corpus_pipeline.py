@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and gives a frame that is written as parq
 again as the next stage's ``docs``; ``docs`` must come straight from parquet files. All but
 the last keep the columns of ``documents``.
 
-* language: drops texts without a letter and texts that fit no learned language;
+* language: drops texts without a letter and texts that fit no learned language (by labelled
+  texts of their size that had no part in the fit);
 * exact copies: of equal texts the smallest doc_id stays;
 * near copies: of each group of linked documents the smallest doc_id stays;
 * mix: documents leave or come again so that sources meet their targets (a document taken
@@ -21,20 +22,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import parquet_row_key
 from tidemark.llm.exact_dedup import exact_dedup
-from tidemark.llm.language_id import UNKNOWN, identify_language
+from tidemark.llm.language_id import identify_language
 from tidemark.llm.mixing import cycled_weights, mix_sources, words_of
 from tidemark.llm.near_dedup import near_dedup
 from tidemark.llm.packing import pack
 from tidemark.session import materialise
 
-#: Below this score a text is taken to be in no learned language.
-LEAST_SCORE = 0.25
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = identify_language(docs, docs)
-    return scored.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)) \
-        .select(*docs.columns)
+    return identify_language(docs, docs, fits=True).where("fits").select(*docs.columns)
 
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tests.llm.test_near_dedup import brute_force
@@ -69,3 +70,20 @@ def test_pack_places_every_token_once(stages):
 
 def test_run_gives_the_last_stage(spark):
     assert P.run(spark, SF).count() > 0
+
+
+@pytest.mark.parametrize("unlearned", ["de", "fr"])
+def test_language_rejects_what_was_not_learned(spark, tmp_path, unlearned):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    other = F.col("lang") == unlearned
+    strange = ["q", "xx kq zz", "русский текст о погоде и людях", "これは日本語の文章です", "qzx jkw vvq xxz wqk jjz " * 8]
+    odd = spark.createDataFrame([(10**6 + i, t, None, None, None) for i, t in enumerate([*strange, "the house", "the"])], docs.schema)
+    docs.withColumn("lang", F.when(~other, F.col("lang"))).unionByName(odd).write.parquet(f"{tmp_path}/in")
+    before = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    kept = {r["doc_id"] for r in P.language(spark, spark.read.parquet(f"{tmp_path}/in"), SF).collect()}
+    assert not kept & {10**6 + i for i in range(len(strange))}
+    assert {10**6 + len(strange), 10**6 + len(strange) + 1} <= kept
+    without = [d for d, lang in before.items() if lang == unlearned]
+    learned = [d for d, lang in before.items() if lang not in (None, unlearned)]
+    assert len(kept & set(without)) <= 0.3 * len(without)
+    assert len(kept & set(learned)) >= 0.995 * len(learned)

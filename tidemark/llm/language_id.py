@@ -32,6 +32,9 @@ _STARTS = np.cumsum((0, *FEATURES))
 _FACTORS = np.random.default_rng(99).integers(0, 2**63, 4, dtype=np.uint64) | np.uint64(1)
 _LETTER: list = []
 UNKNOWN = "und"
+#: Texts of so few slots (some words) may show their language by a clear lead: a
+#: lead of the best margin over the second (2 in a perfect fit) that shows a learned language at three quarters of the norm.
+SHORT, CLEAR_LEAD = 128, 2 / 3
 
 
 def _letters() -> np.ndarray:
@@ -103,8 +106,8 @@ def training_bits(docs: DataFrame, per_label: int, max_labels: int, id_column: s
 
 
 def fit(labels: list[str], packed: np.ndarray, landmarks: int, ridge: float, seed: int
-        ) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(languages, weight of every n-gram slot for each, intercepts)."""
+        ) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(languages, weight of every n-gram slot for each, intercepts, map into the landmarks' space)."""
     names = sorted(set(labels))
     rng = np.random.default_rng(seed)
     truth = np.array(labels)
@@ -126,33 +129,66 @@ def fit(labels: list[str], packed: np.ndarray, landmarks: int, ridge: float, see
     signs = np.where(truth[:, None] == np.array(names), 1.0, -1.0)
     mean = share @ signs
     beta = np.linalg.solve(system, weighted.T @ (signs - mean))
-    return names, (marks.T @ (whiten @ beta)).astype(np.float32), mean - centre @ beta
+    return (names, (marks.T @ (whiten @ beta)).astype(np.float32), mean - centre @ beta,
+            (marks.T @ whiten).astype(np.float32))
+
+
+def nearness(presence: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(slots held, norm in the landmarks' space); a text that lies in that space has norm 1."""
+    return presence.sum(axis=1), np.linalg.norm(scale(presence) @ space, axis=1)
+
+
+def least_norms(size: np.ndarray, norm: np.ndarray, group: int = 20, skipped: int = 1,
+                slack: float = 0.85) -> tuple[np.ndarray, np.ndarray]:
+    """(size, least norm): what texts from that many slots on must reach.
+
+    Labelled rows are grouped by size; the least is ``slack`` times what all but the ``skipped`` lowest
+    rows of a whole group reach. Smaller texts never have to reach more than larger ones.
+    """
+    if not len(size):
+        return np.zeros(1, np.int64), np.zeros(1)
+    parts = np.array_split(np.argsort(size, kind="stable"), max(len(size) // group, 1))
+    least = [slack * np.sort(norm[k])[min(skipped, len(k) // 20)] for k in parts]
+    return np.array([size[k].min() for k in parts]), np.minimum.accumulate(least[::-1])[::-1]
 
 
 def identify_language(docs: DataFrame, training: DataFrame, id_column: str = "doc_id",
                       text_column: str = "text", label_column: str = "lang",
                       per_label: int = 500, landmarks: int = 256, ridge: float = 1e-4,
                       max_labels: int = 200, seed: int = 3, batch: int = 64,
-                      keep_text: bool = True) -> DataFrame:
+                      keep_text: bool = True, fits: bool = False) -> DataFrame:
     """``docs`` with lang_pred and score (0 to 1) at the end, without the text if not ``keep_text``.
 
-    ``training`` supplies the labelled rows; predictions see the text alone.
+    ``training`` supplies the labelled rows; predictions see the text alone. With ``fits`` a column of
+    that name says whether the text fits a learned language: its norm in the landmarks' space reaches what
+    labelled rows of its size reach that had no part in the fit (a fourth of each language's sample, which
+    is drawn twice as large), or it is short, reaches three quarters and its best margin leads clearly. Neither depends on the number of languages.
     """
-    labels, packed = training_bits(training, per_label, max_labels, id_column, text_column, label_column)
+    labels, packed = training_bits(training, per_label * (2 if fits else 1), max_labels, id_column, text_column,
+                                   label_column)
+    space, bounds = None, least_norms(np.zeros(0), np.zeros(0))
     if labels:
-        names, weights, base = fit(labels, packed, landmarks, ridge, seed)
+        truth, unseen = np.array(labels), np.zeros(len(labels), bool)
+        for n in set(labels) if fits else ():
+            unseen[np.flatnonzero(truth == n)[3::4]] = True
+        names, weights, base, space = fit(truth[~unseen].tolist(), packed[~unseen], landmarks, ridge, seed)
+        if unseen.any():
+            bounds = least_norms(*np.concatenate([
+                nearness(np.unpackbits(packed[unseen][k:k + 256], axis=1, count=_STARTS[-1]), space)
+                for k in range(0, int(unseen.sum()), 256)], axis=1))
     else:
         names, weights, base = [UNKNOWN], np.zeros((_STARTS[-1], 1), np.float32), np.array([-1.0])
-    model = docs.sparkSession.sparkContext.broadcast((names, weights, base))
+    model = docs.sparkSession.sparkContext.broadcast((names, weights, base, space if fits else None, bounds))
 
-    others = [c for c in docs.columns if c not in ("lang_pred", "score", text_column)]
+    added = ["lang_pred", "score", *(["fits"] if fits else [])]
+    others = [c for c in docs.columns if c not in (*added, text_column)]
     kept = [c for c in docs.columns if c in (*others, text_column)] if keep_text else others
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights, base = model.value
+        names, weights, base, space, (sizes, least) = model.value
         block = np.zeros((batch, _STARTS[-1]), bool)
         for whole in batches:
-            best, score = [], []
+            best, score, fitting = [], [], []
             texts = whole.column(text_column)
             for k in range(0, len(texts), batch):
                 block[:] = False
@@ -160,14 +196,27 @@ def identify_language(docs: DataFrame, training: DataFrame, id_column: str = "do
                 known = [mark_ngrams(t.as_py(), block[i]) for i, t in enumerate(some)]
                 margin = scale(block[:len(some)]) @ weights + base
                 first = margin.argmax(axis=1)
+                if fits and space is None:
+                    fitting += [False] * len(some)
+                elif fits:
+                    size, norm = nearness(block[:len(some)], space)
+                    due = least[np.maximum(np.searchsorted(sizes, size, "right") - 1, 0)]
+                    enough = norm >= due
+                    if len(names) > 1:
+                        two = np.sort(margin, axis=1)[:, -2:]
+                        enough |= (size < SHORT) & (two[:, 1] - two[:, 0] >= CLEAR_LEAD) & (norm >= 0.75 * due)
+                    fitting += (enough & np.array(known)).tolist()
                 for i, ok in enumerate(known):
                     best.append(names[first[i]] if ok else UNKNOWN)
                     score.append(float(np.clip((margin[i, first[i]] + 1) / 2, 0, 1)) if ok else 0.0)
             yield pa.RecordBatch.from_arrays(
                 [*(whole.column(c) for c in kept), pa.array(best, pa.string()),
-                 pa.array(score, pa.float64())], [*kept, "lang_pred", "score"])
+                 pa.array(score, pa.float64()), *([pa.array(fitting, pa.bool_())] if fits else [])],
+                [*kept, *added])
 
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
+    if fits:
+        schema = schema.add("fits", "boolean")
     return docs.select(*dict.fromkeys((*kept, text_column))).mapInArrow(predict, schema)
 
 
