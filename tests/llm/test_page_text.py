@@ -50,3 +50,14 @@ def test_every_article_of_the_table(spark):
         text = "\n".join(x for x in blocks if x)
         assert got[page["page_id"]]["text"] == text
         assert got[page["page_id"]]["n_chars"] == len(text)
+
+
+@pytest.mark.parametrize("story", ["<article><div class=body><p>copied</p><p>story</p></div></article>",
+                                   "<main><div><p>copied</p><p>story</p></div></main>",
+                                   "<div><section><p>copied</p><p>story</p></section></div>"])
+def test_copies_of_a_story_are_no_template(spark, story):
+    rows = [(i, "https://a.example/x", f"<nav>n {i}</nav>{story}") for i in range(30)]
+    rows += [(100 + i, "https://a.example/y", f"<div>imprint</div><div><p>other {i}</p></div>") for i in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in page_text(pages).collect()}
+    assert got == {i: "copied\nstory" if i < 100 else f"other {i - 100}" for i, _, _ in rows}

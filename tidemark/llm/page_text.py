@@ -2,8 +2,9 @@
 
 1. Every page is parsed into elements; each block element that may be boilerplate gets a hash of its
    subtree (tags and white-space-folded texts, not attributes).
-2. Spark counts the hashes per host, once per page. A subtree that stands on at least ``min_pages``
-   pages of a host and on ``min_share`` of them is template.
+2. Spark counts the hashes per host, once per page. A subtree that stands beside at least ``min_pages``
+   different main texts and on ``min_share`` of the host's pages is template. Copies of a page have one
+   rest, however many they are, so a story is no template of its host, whatever elements hold it.
 3. Each page meets the hashes of its own that are template, and those subtrees are deleted. What
    elements say of themselves (navigation, header, footer, aside, form, advert, notice,
    comments ..., by tag, role, class or id) is deleted in any case. The text is that of the
@@ -88,7 +89,8 @@ class Page:
 
     def __init__(self, source: str | None, template: frozenset = frozenset()) -> None:
         self.template = template
-        self.hashes: set[int] = set()
+        #: (hash, first block, block behind the last) of subtrees with text that is not gone
+        self.subtrees: list[tuple[int, int, int]] = []
         #: (scope, text); scope 0 body, 1 main, 2 article
         self.blocks: list[tuple[int, str]] = []
         self.stack = [Element("", False, False, 0)]
@@ -177,33 +179,51 @@ class Page:
         self.stack[-1].parts.append(own)
         if e.tag in BLOCK and e.tag not in NEVER and e.parts and not (e.in_article and e.tag in PROSE):
             value = int.from_bytes(own, "little", signed=True)
-            self.hashes.add(value)
+            if len(self.blocks) > e.first_block:
+                self.subtrees.append((value, e.first_block, len(self.blocks)))
             if value in self.template:
                 del self.blocks[e.first_block:]
 
+    def rests(self) -> dict[int, int]:
+        """For each subtree a hash of the main text outside it (order of blocks aside)."""
+        best = max((scope for scope, _ in self.blocks), default=0)
+        total = [0]
+        for scope, text in self.blocks:
+            own = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest() if scope == best else b""
+            total.append(total[-1] + int.from_bytes(own, "little"))
+        out: dict[int, int] = {}
+        for value, a, b in self.subtrees:
+            out[value] = out.get(value, total[-1]) - (total[b] - total[a])
+        return {value: (rest & (2**64 - 1)) - 2**63 for value, rest in out.items()}
+
     def main_text(self) -> str:
         best = max((scope for scope, _ in self.blocks), default=0)
         return "\n".join(text for scope, text in self.blocks if scope == best)
 
 
 def page_subtrees(rows: DataFrame) -> DataFrame:
-    """host, key and subtree of every distinct block subtree of each page, written."""
+    """host, key and every distinct block subtree of each page with the hash of its other main text, written."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted(Page(x.as_py()).hashes) for x in batch.column("html")]
+            found = [sorted(Page(x.as_py()).rests().items()) for x in batch.column("html")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), batch.column("key"), pa.array(found, pa.list_(pa.int64()))],
-                ["host", "key", "subtrees"])
+                [batch.column("host"), batch.column("key"), pa.array([[v for v, _ in f] for f in found], pa.list_(pa.int64())),
+                 pa.array([[r for _, r in f] for f in found], pa.list_(pa.int64()))],
+                ["host", "key", "subtrees", "rests"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return materialise(rows.mapInArrow(find, f"host string, key {kind}, subtrees array<bigint>"), "subtrees")
+    return materialise(rows.mapInArrow(
+        find, f"host string, key {kind}, subtrees array<bigint>, rests array<bigint>"), "subtrees")
 
 
 def template_subtrees(subtrees: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """host and subtree of what recurs on the pages of a host."""
+    """host and subtree of what recurs beside different main texts on the pages of a host."""
     pages = subtrees.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = (subtrees.select("host", F.explode("subtrees").alias("subtree"))
-              .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages))
+    counts = (subtrees.select("host", F.explode(F.arrays_zip("subtrees", "rests")).alias("one"))
+              .groupBy("host", F.col("one.subtrees").alias("subtree"), F.col("one.rests").alias("rest"))
+              .agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("host", "subtree").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("different"))
+              .where(F.col("different") >= min_pages))
     return counts.join(pages, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
 
 
