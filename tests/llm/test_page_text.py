@@ -61,3 +61,15 @@ def test_copies_of_a_story_are_no_template(spark, story):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in page_text(pages).collect()}
     assert got == {i: "copied\nstory" if i < 100 else f"other {i - 100}" for i, _, _ in rows}
+
+
+@pytest.mark.parametrize("source, text", [
+    ("<div class='content-sidebar-wrap'><article><p>the story</p></article><div class=sidebar><p>s</p></div></div>", "the story"),
+    ("<div class='with-sidebar'><p>the story</p><p>goes on</p></div><p>end</p>", "the story\ngoes on\nend"),
+    ("<div id='page-header-content'><main><p>the story</p></main></div>", "the story"),
+    ("<article class='post social'><p>the <b>whole</b> story</p><div class=share>s</div></article>", "the whole story"),
+    ("<article><p>story</p></article><div id=comments><article><p>a much longer comment</p></article></div>", "story"),
+    ("<article><div class='widget-area article-widget'><p>the story</p></div><p>end</p></article>", "the story\nend"),
+])
+def test_named_noise_never_takes_the_article(source, text):
+    assert Page(source).main_text() == text

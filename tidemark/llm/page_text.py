@@ -7,7 +7,8 @@
    rest, however many they are, so a story is no template of its host, whatever elements hold it.
 3. Each page meets the hashes of its own that are template, and those subtrees are deleted. What
    elements say of themselves (navigation, header, footer, aside, form, advert, notice,
-   comments ..., by tag, role, class or id) is deleted in any case. The text is that of the
+   comments ..., by tag or role) is deleted in any case, and by a word of class or id unless the
+   element holds more than half of the page's article (or main, or body). The text is that of the
    outermost ``article`` elements, else of ``main``, else of the body. Headings and
    paragraphs inside an article are never template: copies of an article keep their text.
 
@@ -60,15 +61,18 @@ NOISE = frozenset(
 
 
 class Element:
-    __slots__ = ("tag", "gone", "in_article", "parts", "hash", "first_block")
+    __slots__ = ("tag", "gone", "in_article", "parts", "hash", "first_block", "marks", "article")
 
     def __init__(self, tag: str, gone: bool, in_article: bool, first_block: int) -> None:
         self.tag, self.gone, self.in_article, self.first_block = tag, gone, in_article, first_block
         self.parts: list[bytes] = []
+        #: numbers of the elements around with a class or id of noise; (number, marks) of the outermost article
+        self.marks: tuple[int, ...] = ()
+        self.article: tuple[int, tuple[int, ...]] | None = None
 
 
 def noisy(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element says of itself that it is no main text."""
+    """Whether an element is no main text by its tag, role or hiding."""
     if tag in GONE or (tag == "header" and not in_article):
         return True
     if not attributes or tag in ("html", "body", "main"):
@@ -79,11 +83,18 @@ def noisy(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value in ROLES:
             return True
-        if name in ("class", "id") and not NOISE.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
     return False
 
 
+def named_noise(tag: str, attributes: str) -> bool:
+    """Whether a class or id has a part that names noise; this holds unless most of the text is inside."""
+    if not attributes or tag in ("html", "body", "main"):
+        return False
+    return any(m[1].lower() in ("class", "id")
+               and not NOISE.isdisjoint(re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower()))
+               for m in ATTRIBUTE.finditer(attributes))
+
+
 class Page:
     """Blocks of text with the scope they stand in, and hashes of subtrees."""
 
@@ -93,6 +104,9 @@ class Page:
         self.subtrees: list[tuple[int, int, int]] = []
         #: (scope, text); scope 0 body, 1 main, 2 article
         self.blocks: list[tuple[int, str]] = []
+        #: of each block the marks around it and its outermost article
+        self.around: list[tuple] = []
+        self.marked = self.articles = 0
         self.stack = [Element("", False, False, 0)]
         self.text: list[str] = []
         self._read(source or "")
@@ -132,6 +146,7 @@ class Page:
             top.parts.append(text.encode("utf-8", "surrogatepass"))
             if not top.gone:
                 self.blocks.append((self._scope(), text))
+                self.around.append((top.marks, top.article))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag == "br":
@@ -141,8 +156,11 @@ class Page:
             if tag not in VOID and noisy(tag, attributes, False) and not self.stack[-1].gone:
                 self._flush()
                 self._push(tag, True)
-            elif self.stack[-1].gone and tag not in VOID:
-                self._push(tag, True)
+            elif tag not in VOID and not self.stack[-1].gone and named_noise(tag, attributes):
+                self._flush()
+                self._push(tag, False, True)
+            elif tag not in VOID and (self.stack[-1].gone or (self.stack[-1].marks and self.stack[-1].tag not in BLOCK)):
+                self._push(tag, self.stack[-1].gone)
             return
         self._flush()
         for k in range(len(self.stack) - 1, 0, -1):  # elements that end here without an end tag
@@ -154,11 +172,20 @@ class Page:
                 break
         if tag not in VOID:
             inside = any(e.tag == "article" for e in self.stack)
-            self._push(tag, self.stack[-1].gone or noisy(tag, attributes, inside))
-
-    def _push(self, tag: str, gone: bool) -> None:
-        in_article = tag == "article" or self.stack[-1].in_article
-        self.stack.append(Element(tag, gone, in_article, len(self.blocks)))
+            gone = self.stack[-1].gone or noisy(tag, attributes, inside)
+            self._push(tag, gone, not gone and named_noise(tag, attributes))
+
+    def _push(self, tag: str, gone: bool, marked: bool = False) -> None:
+        top = self.stack[-1]
+        e = Element(tag, gone, tag == "article" or top.in_article, len(self.blocks))
+        e.marks, e.article = top.marks, top.article
+        if marked:
+            self.marked += 1
+            e.marks += (self.marked,)
+        if tag == "article" and e.article is None:
+            self.articles += 1
+            e.article = (self.articles, e.marks)
+        self.stack.append(e)
 
     def _close(self, tag: str) -> None:
         if tag in BLOCK:
@@ -182,14 +209,31 @@ class Page:
             if len(self.blocks) > e.first_block:
                 self.subtrees.append((value, e.first_block, len(self.blocks)))
             if value in self.template:
-                del self.blocks[e.first_block:]
+                del self.blocks[e.first_block:], self.around[e.first_block:]
+
+    def held(self) -> list[bool]:
+        """Whether each block stays: marks hold unless more than half of the page's article is inside.
+
+        The article is the text of the articles without a mark on or around them, else of all
+        articles, else of main, else of the body.
+        """
+        pools = (lambda k: self.around[k][1] and not self.around[k][1][1], lambda k: self.around[k][1],
+                 lambda k: self.blocks[k][0] == 1, lambda k: True)
+        pool = next((p for p in ([k for k in range(len(self.blocks)) if test(k)] for test in pools) if p), [])
+        inside: dict[int, int] = {}
+        for k in pool:
+            for mark in self.around[k][0]:
+                inside[mark] = inside.get(mark, 0) + len(self.blocks[k][1])
+        half = sum(len(self.blocks[k][1]) for k in pool) / 2
+        return [all(inside.get(mark, 0) > half for mark in marks) for marks, _ in self.around]
 
     def rests(self) -> dict[int, int]:
         """For each subtree a hash of the main text outside it (order of blocks aside)."""
-        best = max((scope for scope, _ in self.blocks), default=0)
+        held = self.held()
+        best = max((scope for (scope, _), stays in zip(self.blocks, held, strict=True) if stays), default=0)
         total = [0]
-        for scope, text in self.blocks:
-            own = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest() if scope == best else b""
+        for (scope, text), stays in zip(self.blocks, held, strict=True):
+            own = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest() if stays and scope == best else b""
             total.append(total[-1] + int.from_bytes(own, "little"))
         out: dict[int, int] = {}
         for value, a, b in self.subtrees:
@@ -197,8 +241,9 @@ class Page:
         return {value: (rest & (2**64 - 1)) - 2**63 for value, rest in out.items()}
 
     def main_text(self) -> str:
-        best = max((scope for scope, _ in self.blocks), default=0)
-        return "\n".join(text for scope, text in self.blocks if scope == best)
+        left = [block for block, stays in zip(self.blocks, self.held(), strict=True) if stays]
+        best = max((scope for scope, _ in left), default=0)
+        return "\n".join(text for scope, text in left if scope == best)
 
 
 def page_subtrees(rows: DataFrame) -> DataFrame:
