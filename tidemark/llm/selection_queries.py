@@ -1,9 +1,12 @@
-"""Query of the operator that draws documents like a target collection."""
+"""Queries of the operators that choose rows by what they are near to."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .importance import resample
 from .registry import query
+from .vector_search import nearest_vectors
 
 
 @query("op12_importance_resampling", r"""
@@ -55,3 +58,8 @@ def op12_importance_resampling(spark, sf_dir):
     return resample(spark.read.parquet(f"{sf_dir}/documents.parquet"),
                     spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
                     most=1, buckets=10_000, percent=10, min_words=20, seed=2024)
+
+
+@query("op13_nearest_vectors")
+def op13_nearest_vectors(spark, sf_dir):
+    return nearest_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
