@@ -43,7 +43,7 @@ def collection(rng):
     return rows
 
 
-@pytest.mark.parametrize("block, in_bucket", [(4096, 400), (16, 8), (16, 1)])
+@pytest.mark.parametrize("block, in_bucket", [(4096, 1024), (16, 8), (16, 1)])
 def test_all_buckets_give_all_products(spark, monkeypatch, block, in_bucket):
     monkeypatch.setattr(operator, "BLOCK", block)
     monkeypatch.setattr(operator, "IN_BUCKET", in_bucket)
@@ -53,6 +53,15 @@ def test_all_buckets_give_all_products(spark, monkeypatch, block, in_bucket):
     assert found(frame.coalesce(1), k=7, probes=1 << 20) == brute_force(rows, lambda n: n % 5 == 0, 7)
 
 
+def test_rounds_find_what_one_search_finds(spark, monkeypatch):
+    monkeypatch.setattr(operator, "IN_BUCKET", 2)
+    rows = [r for r in collection(np.random.default_rng(8)) if r[0] not in (630,)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    hashes = operator.Polytope(16, 300, 2, 7)
+    assert hashes.buckets > 64  # so that there are three rounds
+    assert found(frame, k=7, probes=hashes.buckets) == brute_force(rows, lambda n: n % 5 == 0, 7)
+
+
 def test_widens_until_enough_are_found(spark, monkeypatch):
     monkeypatch.setattr(operator, "IN_BUCKET", 2)
     rows = [(k, v) for k, (_, v) in enumerate(collection(np.random.default_rng(5))[:190])]
@@ -65,7 +74,7 @@ def test_widens_until_enough_are_found(spark, monkeypatch):
 
 def test_probe_order(spark):
     rng = np.random.default_rng(3)
-    hashes = operator.Polytope(20, 400 * 1500, 2, 7)
+    hashes = operator.Polytope(20, operator.IN_BUCKET * 1500, 2, 7)
     assert len(hashes.axes) == 2
     queries = rng.normal(size=(5, 20))
     parts = hashes.penalties(queries, 1)
@@ -82,7 +91,7 @@ def test_probe_order(spark):
 
 def test_rotation_keeps_lengths_and_the_same_vector_its_bucket():
     rng = np.random.default_rng(3)
-    hashes = operator.Polytope(64, 400 * 100, 1, 7)
+    hashes = operator.Polytope(64, operator.IN_BUCKET * 100, 1, 7)
     x = rng.normal(size=(50, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     along = hashes._turned(x, 0)[0]

@@ -16,8 +16,9 @@ Each band is hashed by itself, so one long vector does not spoil the others. Vec
   query that found fewer than ``k`` though more exist is searched again with eight times the probes, up to all buckets.
 * Equal vectors are one class, searched once. Of a class only the ``k`` + 1 smallest identifiers can be among
   the nearest of any query, so only those are listed; this loses nothing.
-* A bucket with more than ``BLOCK`` vectors (or a quarter of it in queries) is dealt in blocks over tasks. Partial results are cut to the best of
-  each query before they are shuffled.
+* Probes go in rounds that grow eightfold: what a query has found bounds what the next round sends on, so a query costs
+  some hundred rows however many buckets it visits.
+* A bucket with more than ``BLOCK`` vectors (or a quarter of it in queries) is dealt in blocks over tasks.
 
 Vectors that are null, empty or zero, or hold null or non-finite components, take no part. Null identifiers are no queries
 and come last among equals; rows that repeat an identifier are rows of their own, and only the query's own
@@ -41,7 +42,7 @@ from tidemark.session import materialise
 from .common import by_group, matrix, uniform_of
 
 BLOCK = 4096
-IN_BUCKET = 400  # wanted vectors in a bucket
+IN_BUCKET = 1024  # wanted vectors in a bucket
 SAMPLE = 256  # queries to fit the probes
 
 
@@ -183,16 +184,18 @@ def by_shape(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple[tuple, pa.R
         yield key, batch.take(pa.array([k for k, own in enumerate(keys) if own == key], pa.int64()))
 
 
-def best_pairs(queries: np.ndarray, others: np.ndarray, names: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query, other, product) of the ``k`` largest products of each query, ties to smaller names."""
+def best_pairs(queries: np.ndarray, others: np.ndarray, names: np.ndarray, k: int,
+               bound: np.ndarray | float = -math.inf) -> tuple[np.ndarray, ...]:
+    """(query, other, product) of the ``k`` largest products of each query from its bound on, ties to smaller names."""
     rough = queries @ others.T
+    least = np.broadcast_to(bound, len(queries))
     if len(others) > k:
-        least = np.partition(rough, len(others) - k, axis=1)[:, len(others) - k]
-        slack = 1e-9 * np.linalg.norm(queries, axis=1) * np.linalg.norm(others, axis=1).max()
-        at, other = np.nonzero(rough >= (least - slack)[:, None])
-    else:
-        at, other = np.divmod(np.arange(rough.size), len(others))
+        least = np.maximum(least, np.partition(rough, len(others) - k, axis=1)[:, len(others) - k])
+    slack = 1e-9 * np.linalg.norm(queries, axis=1) * np.linalg.norm(others, axis=1).max()
+    at, other = np.nonzero(rough >= (least - slack)[:, None])
     score = (queries[at] * others[other]).sum(axis=1)
+    held = score >= np.broadcast_to(bound, len(queries))[at]
+    at, other, score = at[held], other[held], score[held]
     order = np.lexsort((names[other], -score, at))
     at, other, score = at[order], other[order], score[order]
     place = np.arange(len(at)) - np.searchsorted(at, at)
@@ -246,9 +249,9 @@ def fitted_probes(classes: DataFrame, plan: Plan, k: int, recall: float) -> int:
     return sorted(ranks)[min(len(ranks) - 1, math.ceil(recall * len(ranks)))] if ranks else 1
 
 
-def postings(classes: DataFrame, plan: Plan, probes: int | None) -> DataFrame:
-    """Rows (size, band, table, bucket, cls, name, packed) of the index, or of queries with ``probes`` buckets each."""
-    shared = classes.sparkSession.sparkContext.broadcast(plan)
+def postings(rows: DataFrame, plan: Plan, probes: tuple[int, int] | None) -> DataFrame:
+    """Rows (size, band, tab, bucket, cls, bound, packed) of the index, or of queries with some of their probes."""
+    shared = rows.sparkSession.sparkContext.broadcast(plan)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = shared.value
@@ -260,26 +263,37 @@ def postings(classes: DataFrame, plan: Plan, probes: int | None) -> DataFrame:
                         yield placed(rows, band, table, hashes.codes(own, plan.largest[size, band][0], table)[:, None])
                         continue
                     for low in range(0, len(own), 1024):
-                        codes = hashes.probes(own[low:low + 1024], table, probes)
+                        codes = hashes.probes(own[low:low + 1024], table, probes[1])[:, probes[0]:]
                         for other in plan.bands(size):
                             yield placed(rows.slice(low, 1024), other, table, codes)
 
     def placed(rows: pa.RecordBatch, band: int, table: int, codes: np.ndarray) -> pa.RecordBatch:
-        again = rows.take(pa.array(np.repeat(np.arange(rows.num_rows), codes.shape[1])))
+        again = rows.take(pa.array(np.repeat(np.arange(rows.num_rows), codes.shape[1]), pa.int64()))
         n = again.num_rows
         return pa.RecordBatch.from_arrays(
             [again.column("size"), pa.array(np.full(n, band), pa.int32()), pa.array(np.full(n, table), pa.int32()),
-             pa.array(codes.ravel().astype(np.int64)), again.column("cls"), again.column("packed")],
-            ["size", "band", "tab", "bucket", "cls", "packed"])
+             pa.array(codes.ravel().astype(np.int64)), again.column("cls"), again.column("bound"), again.column("packed")],
+            ["size", "band", "tab", "bucket", "cls", "bound", "packed"])
+
+    return rows.select("size", "band", "cls", "bound", "packed").mapInArrow(
+        post, "size int, band int, tab int, bucket bigint, cls bigint, bound double, packed binary")
 
-    return classes.select("size", "band", "cls", "packed").mapInArrow(
-        post, "size int, band int, tab int, bucket bigint, cls bigint, packed binary")
 
+def search_round(classes: DataFrame, asked: DataFrame, plan: Plan, k: int, probes: tuple[int, int],
+                 before: DataFrame | None) -> DataFrame:
+    """The ``k`` + 1 nearest classes (query, cls, score) of each query class in these probes and ``before``; written.
 
-def found_in_buckets(classes: DataFrame, asked: DataFrame, plan: Plan, k: int, probes: int) -> DataFrame:
-    """The ``k`` + 1 nearest classes (query, cls, score) of each query class within its buckets."""
+    What is no nearer than the ``k`` + 1 found before leaves no task.
+    """
     key = ["size", "band", "tab", "bucket"]
-    index, queries = postings(classes, plan, None), postings(asked, plan, probes)
+    index = postings(classes.withColumn("bound", F.lit(None).cast("double")), plan, None)
+    if before is None:
+        bounded = asked.withColumn("bound", F.lit(-math.inf))
+    else:
+        full = (before.groupBy(F.col("query").alias("cls")).agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n"))
+                .where(F.col("n") > k).drop("n"))
+        bounded = asked.join(full, "cls", "left").fillna(-math.inf, ["bound"])
+    queries = postings(bounded, plan, probes)
     blocks = {}
     for name, posted, rows in (("c_blocks", index, BLOCK), ("q_blocks", queries, BLOCK // 4)):
         large = posted.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows)
@@ -291,7 +305,7 @@ def found_in_buckets(classes: DataFrame, asked: DataFrame, plan: Plan, k: int, p
         mine = F.pmod(F.xxhash64("cls"), F.col(own)).cast("int")
         theirs = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         names = ("q_block", "c_block") if asks else ("c_block", "q_block")
-        return both.select(*key, mine.alias(names[0]), theirs.alias(names[1]), F.lit(asks).alias("asks"), "cls", "packed")
+        return both.select(*key, mine.alias(names[0]), theirs.alias(names[1]), F.lit(asks).alias("asks"), "cls", "bound", "packed")
 
     parts = [*key, "c_block", "q_block"]
     met = (dealt(index, "c_blocks", "q_blocks", False).unionByName(dealt(queries, "q_blocks", "c_blocks", True))
@@ -301,7 +315,7 @@ def found_in_buckets(classes: DataFrame, asked: DataFrame, plan: Plan, k: int, p
     def convert(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         packed = np.empty(batch.num_rows, object)
         packed[:] = batch.column("packed").to_pylist()
-        return {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*parts, "asks", "cls")} | {"packed": packed}
+        return {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*parts, "asks", "cls", "bound")} | {"packed": packed}
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in by_group(batches, parts, convert):
@@ -311,15 +325,17 @@ def found_in_buckets(classes: DataFrame, asked: DataFrame, plan: Plan, k: int, p
                     continue
                 q, c = (shared.value.vectors(pa.array(group["packed"][side].tolist(), pa.binary())) for side in (asks, ~asks))
                 q_names, c_names = group["cls"][asks], group["cls"][~asks]
-                at, other, score = best_pairs(q, c, c_names, k + 1)
+                at, other, score = best_pairs(q, c, c_names, k + 1, group["bound"][asks])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q_names[at]), pa.array(c_names[other]), pa.array(score)], ["query", "cls", "score"])
 
+    found = met.mapInArrow(search, "query bigint, cls bigint, score double")
+    if before is not None:
+        found = found.unionByName(before)
     # a class found in several tables has one dense rank, so the cut is right before the repeats go
     nearest = W.partitionBy("query").orderBy(F.desc("score"), "cls")
-    return (met.mapInArrow(search, "query bigint, cls bigint, score double")
-            .withColumn("place", F.dense_rank().over(nearest)).where(F.col("place") <= k + 1)
-            .groupBy("query", "cls").agg(F.max("score").alias("score")))
+    return materialise(found.withColumn("place", F.dense_rank().over(nearest)).where(F.col("place") <= k + 1)
+                       .groupBy("query", "cls").agg(F.max("score").alias("score")), "found")
 
 
 def nearest_vectors(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", vector_column: str = "embedding",
@@ -345,18 +361,21 @@ def nearest_vectors(vectors: DataFrame, is_query: Column, id_column: str = "vec_
     enough = F.lit(0)
     for size, n in of_size.items():
         enough = F.when(F.col("size") == size, F.lit(min(k, n - 1))).otherwise(enough)
-    found = None
-    while True:
-        new = materialise(found_in_buckets(classes, asked, plan, k, probes), "found")
-        found = new if found is None else found.join(asked.select(F.col("cls").alias("query")), "query", "left_anti").unionByName(new)
-        if probes >= most:
-            break
-        held = new.where("query <> cls").groupBy(F.col("query").alias("cls")).agg(F.count(F.lit(1)).alias("held"))
+    levels = [probes]
+    while levels[0] > 8:
+        levels.insert(0, -(-levels[0] // 8))
+    found, low = None, 0
+    for high in levels:
+        found, low = search_round(classes, asked, plan, k, (low, high), found), high
+    while low < most:
+        held = found.where("query <> cls").groupBy(F.col("query").alias("cls")).agg(F.count(F.lit(1)).alias("held"))
         short = asked.join(held, "cls", "left").where(F.coalesce("held", F.lit(0)) < enough).drop("held")
         asked = materialise(short, "short")
         if asked.isEmpty():
             break
-        probes *= 8
+        names = asked.select(F.col("cls").alias("query"))
+        again = search_round(classes, asked, plan, k, (low, 8 * low), found.join(names, "query", "left_semi"))
+        found, low = found.join(names, "query", "left_anti").unionByName(again), 8 * low
     # classes to rows: k + 1 nearest members, then each query row leaves itself out
     member = F.explode("members").alias("member")
     near = found.join(classes.select("cls", member), "cls").select(
