@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.recode import band, band_within
 from tidemark.operators import (bootstrap as R, describe as B, design as D, glmm as G,
-                                impute as I, lmm as L, quality as Q)
+                                impute as I, laplace as P, lmm as L, quality as Q)
 from tidemark.operators.ranking import quantiles, ranked, running_max
+from tidemark.session import materialise
 
 
 @pytest.fixture(scope="module")
@@ -139,47 +140,98 @@ def test_balanced_design_equals_anova(spark):
     assert got["tp"] * got["sigma2"] == pytest.approx(between, rel=1e-3)
 
 
-def dense_laplace(pdf, tp, th):
-    """Laplace deviance with coefficients and effects from penalised least squares."""
-    n = len(pdf)
-    x = np.column_stack([np.ones(n), pdf["x"]])
-    zu = (pdf["unit"].to_numpy()[:, None] == np.arange(30)).astype(float)
-    zs = (pdf["site"].to_numpy()[:, None] == np.arange(5)).astype(float)
-    m = np.column_stack([x, zu, zs])
-    pen = np.diag([0, 0] + [1 / tp] * 30 + [1 / th] * 5)
-    theta = np.zeros(m.shape[1])
-    y = pdf["y"].to_numpy()
-    for _ in range(30):
-        mu = 1 / (1 + np.exp(-m @ theta))
-        w = mu * (1 - mu)
-        theta = np.linalg.solve(m.T @ (w[:, None] * m) + pen,
-                                m.T @ (w * (m @ theta) + y - mu))
-    eta = m @ theta
+def dense_laplace(pdf, x, beta, tp, th):
+    """Half the Laplace deviance at the modes of the effects, with dense matrices."""
+    z, d = [], []
+    for column, variance in (("unit", tp), ("site", th)):
+        if variance > 0:
+            number = pd.factorize(pdf[column])[0]
+            z.append((number[:, None] == np.arange(number.max() + 1)).astype(float))
+            d += [variance] * (number.max() + 1)
+    y, fixed = pdf["y"].to_numpy(), x @ beta
+    if not z:
+        return float((np.logaddexp(0, fixed) - y * fixed).sum())
+    z, d = np.column_stack(z), np.array(d)
+    b = np.zeros(len(d))
+    for _ in range(60):
+        mu = 1 / (1 + np.exp(-(fixed + z @ b)))
+        h = z.T @ ((mu * (1 - mu))[:, None] * z)
+        b += np.linalg.solve(h + np.diag(1 / d), z.T @ (y - mu) - b / d)
+    eta = fixed + z @ b
     mu = 1 / (1 + np.exp(-eta))
-    z = np.column_stack([zu, zs])
-    d = np.diag([tp] * 30 + [th] * 5)
-    det = np.linalg.slogdet(np.eye(35) + d @ (z.T @ ((mu * (1 - mu))[:, None] * z)))[1]
-    u = theta[2:]
-    return (-2 * np.sum(y * eta - np.log1p(np.exp(eta))) + u[:30] @ u[:30] / tp
-            + u[30:] @ u[30:] / th + det), theta[:2]
+    h = z.T @ ((mu * (1 - mu))[:, None] * z)
+    return float((np.logaddexp(0, eta) - y * eta).sum() + (b * b / d).sum() / 2
+                 + np.linalg.slogdet(np.eye(len(d)) + d[:, None] * h)[1] / 2)
+
 
+def binary_rows(seed, n, tp, th, name="m"):
+    rng = np.random.default_rng(seed)
+    unit = rng.integers(0, 30, n)
+    unit[: n // 3] = 0  # one unit with a third of the rows
+    x = rng.normal(size=n)
+    eta = -0.3 + 0.8 * x + rng.normal(0, math.sqrt(tp), 30)[unit] + rng.normal(0, math.sqrt(th), 5)[unit % 5]
+    return pd.DataFrame({"y": (rng.random(n) < 1 / (1 + np.exp(-eta))).astype(float), "x": x, "unit": unit,
+                         "site": unit % 5, "m": name})
 
-def test_glmm_against_dense_laplace(spark):
-    pdf = nested(8, 900, True, 1.5)
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_laplace_gradient_against_dense_differences(spark, monkeypatch, block):
+    monkeypatch.setattr(P, "BLOCK", block)
+    pdf = binary_rows(3, 400, 1.0, 0.5)
     model = D.design(spark.createDataFrame(pdf), "y", ["x"], {}, "site", "unit", "m")
-    solver = G._Solver(model.rows, 2)
-    got = solver.run({"a": [(0.4, 0.3)], "b": [(0.1, 0.9)]}, {"a": "m", "b": "m"})
-    for name, point in (("a", (0.4, 0.3)), ("b", (0.1, 0.9))):
-        dev, beta = dense_laplace(pdf, *point)
-        assert got[name][0] == pytest.approx(dev, abs=1e-5)
-        assert solver.at[name, point]["beta"] == pytest.approx(beta, abs=1e-5)
-    fitted = G.fit_glmm(model).iloc[0]
-    assert fitted["structure"] == L.NESTED
-    for a, b in ((1.15, 1), (0.87, 1), (1, 1.15), (1, 0.87)):
-        assert fitted["deviance"] < dense_laplace(pdf, fitted["tp"] * a, fitted["th"] * b)[0] + 1e-6
+    solver = P.LaplaceSolver(materialise(model.rows), model.xs)
+    place = np.array([0.2, 0.5, 0.64, 0.36])
+    at = {"m": (place[:2], np.sqrt(place[2:]))}
+    effects = solver._start({"m": P.Fit("m", (True, True), *at["m"])})
+    for _ in range(6):
+        sums = solver._unit_sums(effects, {"m": place[:2]})
+        value = solver._values(sums, at)["m"]
+        effects = solver._moved_effects(sums, at, at)
+    solver.close()
+    x = np.column_stack([np.ones(len(pdf)), pdf["x"]])
+    dense = lambda q: dense_laplace(pdf, x, q[:2], *q[2:])
+    assert value[0] == pytest.approx(dense(place), abs=1e-8) and abs(value[1]) < 1e-12
+    slope = [(dense(place + e) - dense(place - e)) / 2e-5 for e in np.eye(4) * 1e-5]
+    assert [*value[6:8], *value[2:4]] == pytest.approx(slope, rel=1e-5, abs=1e-5)
+
+
+def test_logistic_fits_are_joint_optima(spark):
+    truth = {"a": (1.0, 0.5), "b": (12.0, 0.0), "c": (0.01, 0.3)}
+    rows = {m: binary_rows(k, 700, *v, m) for k, (m, v) in enumerate(truth.items())}
+    model = D.design(spark.createDataFrame(pd.concat(rows.values())), "y", ["x"], {}, "site", "unit", "m")
+    model = D.Design(materialise(model.rows), model.names)
+    fitted = G.fit_structures(model, [(m, s) for m in truth for s in (L.NESTED, L.SITE, L.UNIT, G.NONE)])
+    assert len(fitted) == 12 and fitted["converged"].all()
+    for r in fitted.itertuples():
+        x = np.column_stack([np.ones(700), rows[r.fit]["x"]])
+        free = [r.structure in (L.NESTED, L.UNIT) and r.tp > 0, r.structure in (L.NESTED, L.SITE) and r.th > 0]
+        dense = lambda q: dense_laplace(rows[r.fit], x, q[:2], q[2]**2, q[3]**2)  # noqa: B023, E731
+        place = np.array([*r.beta, math.sqrt(r.tp), math.sqrt(r.th)])
+        assert r.deviance / 2 == pytest.approx(dense(place), abs=1e-6)
+        for on, e in zip([True, True, *free], np.eye(4) * 1e-4):
+            assert not on or abs(dense(place + e) - dense(place - e)) / 2e-4 < 2e-2
+        for on, e in zip([True, True, *free], np.eye(4) * 0.05):
+            assert not on or dense(place) < min(dense(place + e), dense(place - e))
+        # with a variance at zero a positive one is no better
+        for k, structures in ((2, (L.NESTED, L.UNIT)), (3, (L.NESTED, L.SITE))):
+            if r.structure in structures and place[k] == 0:
+                assert dense(place) <= dense(place + 0.1 * np.eye(4)[k]) + 1e-6
+    nested = fitted[fitted["structure"] == L.NESTED].set_index("fit")
+    assert nested.loc["b", "tp"] > 5 and not nested.loc["a", "singular"]
     assert G.median_odds_ratio(0) == 1
 
 
+def test_small_and_degenerate_logistic_models(spark):
+    rng = np.random.default_rng(5)
+    one = pd.DataFrame({"y": (rng.random(200) < 0.4).astype(float), "x": 1.0, "unit": np.arange(200) % 7, "site": 0, "m": "one"})
+    model = D.design(spark.createDataFrame(one), "y", ["x"], {}, "site", "unit", "m")  # x equals the intercept
+    fitted = G.fit_structures(D.Design(materialise(model.rows), model.names), [("one", G.NONE)]).iloc[0]
+    mean = one["y"].mean()
+    assert fitted["beta"][0] == pytest.approx(math.log(mean / (1 - mean)), abs=1e-4)
+    assert math.isnan(fitted["beta"][1]) and math.isnan(fitted["se"][1])
+    assert fitted["se"][0] == pytest.approx(1 / math.sqrt(200 * mean * (1 - mean)), rel=1e-4)
+
+
 def test_degrees_of_freedom_in_a_balanced_design(spark):
     # One between-unit and one within-unit covariate, so the exact answers are known.
     rng = np.random.default_rng(6)

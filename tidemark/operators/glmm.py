@@ -1,10 +1,6 @@
-"""Logistic mixed models by penalised reweighted least squares over the rows.
+"""Logistic mixed models at the joint optimum of their Laplace deviance (``laplace.py``).
 
-One iteration reads the rows once: each row gets the current linear predictor of every point
-(unit and site variance) of its model, and its weight and working response are summed per unit.
-The sums have the form of the linear model's, so coefficients and random effects follow from
-the same elimination with residual variance 1. The Laplace deviance of a point comes from the
-same pass. All models, structures and points of a round share the passes.
+All models and structures of a call share the packed rows and the passes over them.
 """
 
 from __future__ import annotations
@@ -18,167 +14,36 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise, spread
 from .design import Design
-from .lmm import (MODEL_TYPES, NESTED, SITE, UNIT, _array_sum, _sums, choose_structures,
-                  first_admissible, independent, small_table, symmetric, triangle)
-from .temporal import spread_join
-from .variance_search import Point, minimise
+from .laplace import LaplaceSolver, fit_laplace
+from .lmm import MODEL_TYPES, NESTED, SITE, UNIT, choose_structures, first_admissible
 
-GRID, SINGLE_GRID = (0.0, 0.03, 0.3), (0.0, 0.003, 0.03, 0.3, 3.0)
 NONE = "none"                  # no random intercept
-COARSE = {NESTED: (GRID, GRID), SITE: ((0.0,), SINGLE_GRID), UNIT: (SINGLE_GRID, (0.0,)),
-          NONE: ((0.0,), (0.0,))}
+FREE = {NESTED: (True, True), SITE: (False, True), UNIT: (True, False), NONE: (False, False)}  # unit, site
 Q75 = 0.6744897501960817       # normal quantile at 0.75
 
 
-class _Solver:
-    """Deviance of points with warm starts from the best point of each model so far.
-
-    The effects table has one row per (point, site, unit); coefficients stay on the driver,
-    a few numbers per point.
-    """
-
-    def __init__(self, rows: DataFrame, p: int, most: int = 50, tolerance: float = 1e-6):
-        self.rows, self.p, self.most, self.tolerance = rows, p, most, tolerance
-        self.spark = rows.sparkSession
-        self.groups = rows.select("fit", "site", "unit").distinct()
-        self.effects: DataFrame | None = None
-        self.at: dict[tuple[str, Point], dict] = {}
-        self.best: dict[str, int] = {}
-        self.betas: list[list[float]] = []
-
-    def _table(self, points, betas):
-        rows = [(fit, i, float(tp), float(th), *map(float, betas[i]))
-                for i, (fit, (tp, th)) in enumerate(points)]
-        terms = ", ".join(f"beta{j} double" for j in range(self.p))
-        return small_table(self.spark, rows,
-                           f"fit string, point int, tp double, th double, {terms}")
-
-    def _start(self, points, origin):
-        """Effects and coefficients to begin with; ``origin`` is the old point of each."""
-        if self.effects is None:
-            listed = small_table(self.spark, [(fit, i) for i, (fit, _) in enumerate(points)],
-                                 "fit string, point int")
-            zero = self.groups.join(listed, "fit").selectExpr(
-                "fit", "point", "site", "unit", "0D AS b_site", "0D AS b_unit")
-            return zero, [[0.0] * self.p for _ in points]
-        listed = small_table(self.spark, [(o, i) for i, o in enumerate(origin)],
-                             "old int, point int")
-        moved = (self.effects.withColumnRenamed("point", "old").join(listed, "old")
-                 .drop("old"))
-        return moved, [self.betas[o] for o in origin]
-
-    def _row_pass(self, effects, table, moments: bool):
-        """Sums per (point, site, unit) at the current effects: weights and loss, or with
-        ``moments`` everything a step needs."""
-        p = self.p
-        eta = " + ".join(["b_site", "b_unit", *[f"beta{i} * x{i}" for i in range(p)]])
-        each = (spread_join(effects, self.rows, ["fit", "site", "unit"],
-                            ["y", *[f"x{i}" for i in range(p)]])
-                .join(table.drop("fit"), "point")
-                .withColumn("eta", F.expr(eta))
-                .withColumn("mu", F.expr("1 / (1 + exp(-eta))"))
-                .withColumn("w", F.expr("mu * (1 - mu)"))
-                .withColumn("z", F.expr("w * eta + y - mu")))
-        # The model name is a key: as an aggregate, text would force a sort of all rows.
-        firsts = [F.first(c).alias(c) for c in ("tp", "th", "b_site", "b_unit")]
-        by_unit = each.groupBy("fit", "point", "site", "unit")
-        if not moments:
-            return by_unit.agg(*firsts, *_sums({
-                "n": "w", "loss": "-2 * (y * eta - greatest(eta, 0D) - log1p(exp(-abs(eta))))"}))
-        return by_unit.agg(*firsts, *_sums({
-            "n": "w", "r": "z", **{f"s{i}": f"w * x{i}" for i in range(p)},
-            **{f"xz{i}": f"z * x{i}" for i in range(p)},
-            **{f"g{i}_{j}": f"w * x{i} * x{j}" for i, j in triangle(p)}}))
-
-    def _deviance(self, points, effects, betas) -> dict[int, float]:
-        """Laplace deviance per point at the effects."""
-        units = self._row_pass(effects, self._table(points, betas), False)
-        sites = units.groupBy("point", "site").agg(
-            F.first("th").alias("th"), F.first("b_site").alias("b_site"), *_sums({
-                "a": "n / (1 + n * tp)",
-                "dev": "loss + if(tp > 0, b_unit * b_unit / tp, 0D) + log1p(n * tp)"}))
-        got = sites.groupBy("point").agg(F.expr(
-            "sum(dev + if(th > 0, b_site * b_site / th, 0D) + log1p(th * a)) AS deviance"))
-        return {r["point"]: r["deviance"] for r in got.collect()}
-
-    def _site_sums(self, units):
-        p = self.p
-        each = units.withColumn("k", F.expr("1 / (1 + n * tp)")).withColumn(
-            "q", F.expr("tp * k"))
-        return each.groupBy("point", "site").agg(F.first("th").alias("th"), *_sums({
-            "a": "n * k", "u": "r * k",
-            **{f"t{i}": f"s{i} * k" for i in range(p)},
-            **{f"b{i}": f"xz{i} - q * s{i} * r" for i in range(p)},
-            **{f"m{i}_{j}": f"g{i}_{j} - q * s{i} * s{j}" for i, j in triangle(p)}}
-        )).withColumn("v", F.expr("th / (1 + th * a)"))
-
-    def _step(self, points, effects, betas):
-        """Next coefficients and effects, and the inverse information at the old ones."""
-        p = self.p
-        units = self._row_pass(effects, self._table(points, betas), True).persist()
-        sites = self._site_sums(units)
-        got = sites.groupBy("point").agg(
-            _array_sum([f"b{i} - v * t{i} * u" for i in range(p)], "b"),
-            _array_sum([f"m{i}_{j} - v * t{i} * t{j}" for i, j in triangle(p)], "a")
-        ).collect()
-        inverse, betas = {}, list(betas)
-        for g in got:
-            i = g["point"]
-            a = symmetric(np.array([g["a"]]), p)[0]
-            keep = independent(a)
-            inverse[i] = np.full((p, p), np.nan)  # stays so for terms that others make up
-            inverse[i][np.ix_(keep, keep)] = np.linalg.inv(a[np.ix_(keep, keep)])
-            betas[i] = np.where(keep, np.nan_to_num(inverse[i]) @ np.array(g["b"]), 0.0).tolist()
-        table = self._table(points, betas).select("point", *[f"beta{i}" for i in range(p)])
-        fitted = lambda name: " + ".join(f"{name}{i} * beta{i}" for i in range(p))
-        site_effect = sites.join(table, "point").selectExpr(
-            "point", "site", f"v * (u - ({fitted('t')})) AS b_site")
-        effects = materialise(
-            units.drop("b_site", "b_unit").join(table, "point")
-            .join(site_effect, ["point", "site"]).selectExpr(
-                "fit", "point", "site", "unit", "b_site",
-                f"tp / (1 + n * tp) * (r - ({fitted('s')}) - n * b_site) AS b_unit"), "effects")
-        units.unpersist()
-        return inverse, betas, effects
-
-    def run(self, models: Mapping[str, Sequence[Point]],
-            fit_of: Mapping[str, str]) -> dict[str, list[float]]:
-        """Deviances; reweighting goes on until no coefficient of any point moves."""
-        points = [(fit_of[m], p) for m, at in models.items() for p in at]
-        owner = [m for m, at in models.items() for _ in at]
-        effects, betas = self._start(points, [self.best.get(m, 0) for m in owner])
-        for _ in range(self.most):
-            old = np.array(betas)
-            inverse, betas, effects = self._step(points, effects, betas)
-            settled = (np.abs(betas - old) <= self.tolerance * (1 + np.abs(old))).all(axis=1)
-            if settled.all():
-                break
-        deviance = self._deviance(points, effects, betas)
-        for i, (m, (_, point)) in enumerate(zip(owner, points)):
-            none = np.isnan(np.diag(inverse[i]))
-            self.at[m, point] = {"deviance": deviance[i],
-                                 "beta": np.where(none, np.nan, betas[i]).tolist(),
-                                 "settled": bool(settled[i]),
-                                 "se": np.sqrt(np.diag(inverse[i])).tolist()}
-        self.best = {m: min((i for i, o in enumerate(owner) if o == m), key=deviance.get)
-                     for m in models}
-        self.effects, self.betas = effects, betas
-        values = iter(range(len(points)))
-        return {m: [deviance[next(values)] for _ in at] for m, at in models.items()}
+def _inverse_diagonal(information: np.ndarray, keep: np.ndarray) -> np.ndarray:
+    out = np.full(len(keep), np.nan)
+    out[keep] = np.diag(np.linalg.inv(information[np.ix_(keep, keep)]))
+    return out
 
 
 def fit_structures(model: Design, wanted: Sequence[tuple[str, str]]) -> pd.DataFrame:
     """One row per wanted (fit, structure): ``tp``/``th`` are the unit and site variances, with
-    ``deviance, beta, se, singular, converged``. ``model.rows`` should be a written table."""
+    ``deviance, beta, se, singular, converged``. ``model.rows`` should be a written table.
+
+    Terms that other terms of a model make up have no coefficient (NaN).
+    """
+    solver = LaplaceSolver(model.rows.select("fit", "site", "unit", "y", *model.xs), model.xs)
     names = {f"{fit}#{structure}": (fit, structure) for fit, structure in wanted}
-    fit_of = {m: fit for m, (fit, _) in names.items()}
-    solver = _Solver(model.rows, len(model.names))
-    best = minimise({m: COARSE[structure] for m, (_, structure) in names.items()},
-                    lambda points: solver.run(points, fit_of), last_step=0.05)
+    fits = fit_laplace(solver, {m: (fit, FREE[structure]) for m, (fit, structure) in names.items()})
+    solver.close()
     out = pd.DataFrame([{
-        "fit": names[m][0], "structure": names[m][1], "tp": f.point[0], "th": f.point[1],
-        **solver.at[m, f.point], "converged": f.converged and solver.at[m, f.point]["settled"]}
-        for m, f in best.items()])
+        "fit": names[m][0], "structure": names[m][1], "tp": f.sd[0]**2, "th": f.sd[1]**2, "deviance": 2 * f.value,
+        "beta": np.where(f.keep, f.beta, np.nan).tolist(),
+        "se": np.sqrt(_inverse_diagonal(f.information, f.keep)).tolist(),
+        "converged": f.converged} for m, f in fits.items()],
+        columns=["fit", "structure", "tp", "th", "deviance", "beta", "se", "converged"])
     least = np.where(out["structure"] == NESTED, out[["tp", "th"]].min(axis=1),
                      np.where(out["structure"] == NONE, 1.0, out[["tp", "th"]].max(axis=1)))
     return out.assign(singular=least < 1e-8)
