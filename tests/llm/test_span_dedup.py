@@ -4,7 +4,7 @@ import random
 import re
 
 from tidemark.llm.dedup_queries import op8_sentence_spans
-from tidemark.llm.span_dedup import span_dedup
+from tidemark.llm.span_dedup import span_dedup, units_of_bytes
 
 
 def sentences(text, long_words=30):
@@ -24,7 +24,7 @@ def sentences(text, long_words=30):
     return out
 
 
-def brute_force(rows, min_sentences=2, min_words=25):
+def brute_force(rows, min_sentences=2, min_words=25, sentences=sentences):
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
     seen, gone = set(), {i: set() for i in order}
     for i in order:
@@ -103,3 +103,50 @@ def test_every_repeated_run_of_fifty_words_is_met(spark, tmp_path):
         end = at[i] + len(" ".join(run))
         assert removed and all(at[i] <= a < b <= end + 1 for a, b in removed)
         assert sum(len(text[a:b].split()) for a, b in removed) >= 25
+
+
+def windowed_sentences(text, width=9):
+    """(begin, words) of each piece of a text, word by word: cut at stops and at the least hash of each window."""
+    text = text or ""
+    found = [m for m in re.finditer(r"[\u3001-\u9fff]|[^\x20\x09-\x0D\u3001-\u9fff]+", text)]
+    plain = [re.sub("[A-Z]", lambda x: x[0].lower(), m[0]) for m in found]
+    hashes = [int(units_of_bytes(w.encode())[2][0]) for w in plain]
+    stop = []
+    for m in found:
+        bare = m[0][:-1] if len(m[0]) > 1 and m[0][-1] in "\"')]}" else m[0]
+        stop.append(bare[-1] in ".!?。")
+    cut = stop.copy()
+    for i in range(len(found) - width + 1):
+        if not any(stop[i:i + width]):
+            least = min(hashes[i:i + width])
+            cut[max(j for j in range(i, i + width) if hashes[j] == least)] = True
+    if cut:
+        cut[-1] = True
+    out, k = [], 0
+    for i, last in enumerate(cut):
+        if last:
+            out.append((found[k].start(), plain[k:i + 1]))
+            k = i + 1
+    return out
+
+
+def test_registered_parameters_against_a_plain_dictionary(spark, tmp_path, monkeypatch):
+    rng = random.Random(11)
+    vocabulary = ["a" + str(k) for k in range(900)] + ["É" + str(k) for k in range(90)] + ["The", "of", "of"] * 9
+    words = lambda n: [rng.choice(vocabulary) + rng.choice(["", "", "", "", "", ".", "!", ",", '."']) for _ in range(n)]
+    han = lambda n: "".join(chr(0x4E00 + rng.randrange(400)) + ("。" if rng.random() < 0.05 else "") for _ in range(n))
+    passages = [" ".join(words(rng.randrange(20, 90))) for _ in range(8)] + [han(rng.randrange(30, 90)) for _ in range(4)]
+    rows = []
+    for i in range(160):
+        parts = [" ".join(words(rng.randrange(0, 60))) for _ in range(3)] + [han(rng.randrange(0, 40))]
+        for _ in range(rng.randrange(0, 3)):
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(passages))
+        rows.append((i, rng.choice(["", " ", "\n"]).join(parts)))
+    rows += [(200, None), (201, ""), (202, " \n"), (203, "of " * 400), (204, "of " * 300), (None, passages[0]), (7, rows[7][1])]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute_force(rows, sentences=windowed_sentences)
+    for bits in (27, 6):  # with room, and with a filter that lets everything pass
+        monkeypatch.setattr("tidemark.llm.span_dedup.FILTER_BITS", bits)
+        got = op8_sentence_spans(spark, str(tmp_path)).collect()
+        assert sorted(((r["doc_id"], r["text"], r["n_sentences"], r["n_removed"]) for r in got), key=str) == want
+    assert sum(r[3] for r in want) > 100

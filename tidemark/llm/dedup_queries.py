@@ -36,4 +36,4 @@ def op3_pivot_vector_dedup(spark, sf_dir):
 @query("op8_sentence_spans")
 def op8_sentence_spans(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return span_dedup(docs, min_sentences=1, cut_window=9, key=parquet_row_key()).drop("key")
+    return span_dedup(docs, min_sentences=2, cut_window=9, key=parquet_row_key()).drop("key")
