@@ -1,6 +1,7 @@
 """Main text of pages: rules, templates counted per host, odd markup."""
 
 import re
+import time
 
 import pytest
 
@@ -73,3 +74,55 @@ def test_copies_of_a_story_are_no_template(spark, story):
 ])
 def test_named_noise_never_takes_the_article(source, text):
     assert Page(source).main_text() == text
+
+
+@pytest.mark.parametrize("source, text", [
+    ('<article><div style="overflow:hidden"><p>story</p></div></article>', "story"),
+    ('<p><a href="/hidden-gems">the hidden gems</a> of <span data-src="a.hidden.b">town</span></p>', "the hidden gems of town"),
+    ('<p title="the hidden cost">cost</p><p data-id="social-1">one</p><a href="/x?id=social">two</a>', "cost\none\ntwo"),
+    ("<p title='class=\"ad\"'>kept</p><p data-role=navigation>too</p><p aria-hidden=false>three</p>", "kept\ntoo\nthree"),
+    ('<p>a</p><svg class="i"/><p>b</p><svg><text>x</text></svg><p>c</p>', "a\nb\nc"),
+    ("<p>a</p><svg><p>never closed</p>", "a\nnever closed"),
+    ("<p>a</p><template-x>b</template-x><svg-icon>c</svg-icon><p>d</p><template>e</template>", "a\nbc\nd"),
+    ("<p>a</p><template-x><p>b</p></template-x>", "a\nb"),
+    ("<main><p>a long story about many things</p><article><p>teaser</p></article><p>and its end</p></main>",
+     "a long story about many things\nteaser\nand its end"),
+    ("<body><p>a long story about many things without main</p><article><p>teaser</p></article>",
+     "a long story about many things without main\nteaser"),
+    ("<article><p>one</p><p class='share-price'>price 5</p><div class='social-history'>past</div><div class='share-buttons'>s</div></article>",
+     "one\nprice 5\npast"),
+    ("<article><p>story told</p><section class='comments-area'><p>first!</p></section><div id=ad-slot-3>buy</div></article>", "story told"),
+    ("<div hidden=''>h</div><div HIDDEN>i</div><div Class=ADVERT>j</div><p>k</p>", "k"),
+    ("<blockquote><p>a<blockquote><p>b</blockquote>c</blockquote>d", "a\nb\nc\nd"),
+    ("<ul><li>a<ul><li>b<li>c</ul><li>d</ul>", "a\nb\nc\nd"),
+])
+def test_nothing_of_the_text_is_lost(source, text):
+    assert Page(source).main_text() == text
+
+
+@pytest.mark.parametrize("source", [
+    "<div>" * 100_000 + "<p>deep</p>", "<div><p>" * 50_000 + "deep", "<blockquote>" * 100_000 + "deep", "<span class=ad>" * 50_000 + "x</i>" * 50_000,
+    "<div class=ad>" * 50_000 + "deep", "<li>" * 100_000 + "deep", "</b>" * 100_000 + "deep", "<article>" * 50_000 + "deep", "<p " * 100_000 + "deep",
+    "<b>" * 100_000 + "<p>deep" * 1000, "<p>" + "word " * 500_000, "<main>" * 30_000 + "<i hidden>" * 30_000])
+def test_deep_and_long_pages_take_linear_time(source):
+    begun = time.process_time()
+    page = Page(source)
+    page.rests()
+    assert "deep" not in source or "deep" in page.main_text() or "<p " in source or "class=ad" in source
+    assert time.process_time() - begun < 3
+
+
+def test_template_of_a_small_host_and_of_a_small_share(spark):
+    story = lambda k: f"<div><p>story number {k}</p><p>told {k} times</p></div>"
+    rows = [(k, "https://small.example/", f"<div>our notice</div>{story(k)}") for k in range(3)]
+    rows += [(10 + k, "https://two.example/", f"<div>our notice</div>{story(k)}") for k in range(2)]
+    rows += [(1000 + k, "https://large.example/", (f"<div>sale today</div>" if k % 100 == 0 else "") + story(k)) for k in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in page_text(pages).collect()}
+    number = {i: i % 1000 % 10 if i < 1000 else i - 1000 for i, _, _ in rows}
+    want = {i: f"story number {k}\ntold {k} times" for i, k in number.items()}
+    for i in (10, 11):  # two pages are no evidence
+        want[i] = "our notice\n" + want[i]
+    assert got == want
+    asked = {r["page_id"]: r["text"] for r in page_text(pages, min_share=0.3).collect()}
+    assert asked[1000].startswith("sale today") and asked[0] == want[0]

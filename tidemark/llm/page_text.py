@@ -3,20 +3,23 @@
 1. Every page is parsed into elements; each block element that may be boilerplate gets a hash of its
    subtree (tags and white-space-folded texts, not attributes).
 2. Spark counts the hashes per host, once per page. A subtree that stands beside at least ``min_pages``
-   different main texts and on ``min_share`` of the host's pages is template. Copies of a page have one
-   rest, however many they are, so a story is no template of its host, whatever elements hold it.
+   different main texts is template, whatever share of the host's pages has it (``min_share`` may ask for more). Copies of
+   a page have one rest, however many they are, so a story is no template of its host, whatever elements hold it.
 3. Each page meets the hashes of its own that are template, and those subtrees are deleted. What
    elements say of themselves (navigation, header, footer, aside, form, advert, notice,
-   comments ..., by tag or role) is deleted in any case, and by a word of class or id unless the
+   comments ..., by tag or role) is deleted in any case. Outside articles a word of class or id deletes an element too, inside
+   articles only if all words of the class or id say so (``share-buttons``, not ``share-price``), and nowhere if the
    element holds more than half of the page's article (or main, or body). The text is that of the
-   outermost ``article`` elements, else of ``main``, else of the body. Headings and
-   paragraphs inside an article are never template: copies of an article keep their text.
+   outermost ``article`` elements if they hold half of the text of ``main`` (or the body), else of ``main``, else of
+   the body. Headings and paragraphs inside an article are never template: copies of an article keep their text.
 
 Blocks are separated by block elements; ``br`` is white space. Character references are decoded once,
 white space in a block becomes one space, empty blocks go, the rest is joined by line breaks.
 
 Null or empty pages give an empty text. Pages without a host count under one empty host. Repeated rows
-are pages of their own. An empty table gives no rows.
+are pages of their own. Equal counts need no order: each subtree is judged by itself. Very long and deeply nested pages
+take time in proportion to their length. An empty table gives no rows. Only the three named columns are read, so other
+columns may have any name.
 """
 
 from __future__ import annotations
@@ -32,14 +35,18 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialise
 
+ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|iframe|noscript|svg|textarea|title|xmp)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?:svg|math|template|noscript|iframe)(?=[\s/]){ATTRIBUTES}(?<=/)>"  # ends itself
+    r"|<(?P<raw>script|style|iframe|textarea|title|xmp)(?=[\s/>]).*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<tree>template|noscript|svg|math)(?=[\s/>]).*?</(?P=tree)\s*>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|</(?P<close>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    rf"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attributes>{ATTRIBUTES})>"
     r"|<(?P<broken>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)", re.DOTALL | re.IGNORECASE)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: one attribute with its value, so that nothing in a value is taken for a name
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]+)))?")
 # element names with a meaning in the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -60,39 +67,55 @@ NOISE = frozenset(
     "social comment comments respond replies disqus discussion".split())
 
 
+LAYOUT = frozenset(
+    "area bar block body bottom box button buttons container count form foot group holder icon icons inline inner item items "
+    "label left link links list module outer panel post primary right row secondary section site slot sticky tools top unit "
+    "wrap wrapper zone".split())  # words that say where noise stands
+
+
 class Element:
-    __slots__ = ("tag", "gone", "in_article", "parts", "hash", "first_block", "marks", "article")
+    __slots__ = ("tag", "gone", "scope", "in_article", "parts", "first_block", "mark", "article", "block")
 
-    def __init__(self, tag: str, gone: bool, in_article: bool, first_block: int) -> None:
-        self.tag, self.gone, self.in_article, self.first_block = tag, gone, in_article, first_block
+    def __init__(self, tag: str, gone: bool, first_block: int, above: Element | None, place: int) -> None:
+        self.tag, self.gone, self.first_block = tag, gone, first_block
+        #: text and hashes of what is inside
         self.parts: list[bytes] = []
-        #: numbers of the elements around with a class or id of noise; (number, marks) of the outermost article
-        self.marks: tuple[int, ...] = ()
-        self.article: tuple[int, tuple[int, ...]] | None = None
+        self.in_article = tag == "article" or (above is not None and above.in_article)
+        self.scope = 2 if self.in_article else 1 if tag == "main" or (above is not None and above.scope) else 0
+        #: innermost mark around (0: none); mark around the outermost article (None: in no article)
+        self.mark: int = above.mark if above is not None else 0
+        self.article: int | None = above.article if above is not None else None
+        #: place of the nearest block element in the stack, itself included
+        self.block: int = place if above is None or tag in BLOCK else above.block
+
+
+def attributes_of(attributes: str) -> dict[str, str]:
+    """Values by lower-case name; the first of equal names counts."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        found.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+    return found
 
 
-def noisy(tag: str, attributes: str, in_article: bool) -> bool:
+def noisy(tag: str, own: dict[str, str], in_article: bool) -> bool:
     """Whether an element is no main text by its tag, role or hiding."""
     if tag in GONE or (tag == "header" and not in_article):
         return True
-    if not attributes or tag in ("html", "body", "main"):
+    if not own or tag in ("html", "body", "main"):
         return False
-    for m in ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "role" and value in ROLES:
-            return True
-    return False
+    return "hidden" in own or own.get("aria-hidden") == "true" or own.get("role") in ROLES
 
 
-def named_noise(tag: str, attributes: str) -> bool:
-    """Whether a class or id has a part that names noise; this holds unless most of the text is inside."""
-    if not attributes or tag in ("html", "body", "main"):
+def named_noise(tag: str, own: dict[str, str], in_article: bool) -> bool:
+    """Whether a class or id names noise; this holds unless most of the text is inside."""
+    if not own or tag in ("html", "body", "main"):
         return False
-    return any(m[1].lower() in ("class", "id")
-               and not NOISE.isdisjoint(re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower()))
-               for m in ATTRIBUTE.finditer(attributes))
+    for name in (*own.get("class", "").split(), *own.get("id", "").split()):
+        words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+        noise = [w in NOISE for w in words]
+        if any(noise) and (not in_article or all(n or w in LAYOUT or w.isdigit() for n, w in zip(noise, words, strict=True))):
+            return True
+    return False
 
 
 class Page:
@@ -104,10 +127,11 @@ class Page:
         self.subtrees: list[tuple[int, int, int]] = []
         #: (scope, text); scope 0 body, 1 main, 2 article
         self.blocks: list[tuple[int, str]] = []
-        #: of each block the marks around it and its outermost article
-        self.around: list[tuple] = []
-        self.marked = self.articles = 0
-        self.stack = [Element("", False, False, 0)]
+        #: of each block the innermost mark around it and the one around its outermost article
+        self.around: list[tuple[int, int | None]] = []
+        self.outer_mark = [0]  # the mark around each mark; marks are numbered from 1 in page order
+        self.stack = [Element("", False, 0, None, 0)]
+        self.open_tags: dict[str, int] = {}
         self.text: list[str] = []
         self._read(source or "")
 
@@ -128,14 +152,6 @@ class Page:
         while len(self.stack) > 1:
             self._pop()
 
-    def _scope(self) -> int:
-        scope = 0
-        for e in self.stack:
-            if e.tag == "article":
-                return 2
-            scope = max(scope, e.tag == "main")
-        return int(scope)
-
     def _flush(self) -> None:
         if not self.text:
             return
@@ -145,63 +161,64 @@ class Page:
             top = self.stack[-1]
             top.parts.append(text.encode("utf-8", "surrogatepass"))
             if not top.gone:
-                self.blocks.append((self._scope(), text))
-                self.around.append((top.marks, top.article))
+                self.blocks.append((top.scope, text))
+                self.around.append((top.mark, top.article))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag == "br":
             self.text.append(" ")
             return
+        top = self.stack[-1]
+        own = attributes_of(attributes) if attributes else {}
         if tag not in BLOCK:
-            if tag not in VOID and noisy(tag, attributes, False) and not self.stack[-1].gone:
+            if tag in VOID:
+                return
+            if not top.gone and noisy(tag, own, False):
                 self._flush()
                 self._push(tag, True)
-            elif tag not in VOID and not self.stack[-1].gone and named_noise(tag, attributes):
+            elif not top.gone and named_noise(tag, own, top.in_article):
                 self._flush()
                 self._push(tag, False, True)
-            elif tag not in VOID and (self.stack[-1].gone or (self.stack[-1].marks and self.stack[-1].tag not in BLOCK)):
-                self._push(tag, self.stack[-1].gone)
+            elif top.gone or (top.mark and top.tag not in BLOCK):
+                self._push(tag, top.gone)
             return
         self._flush()
-        for k in range(len(self.stack) - 1, 0, -1):  # elements that end here without an end tag
-            own = self.stack[k].tag
-            if own == "p" or own in ENDS_ITSELF.get(tag, ()):
-                while len(self.stack) > k:
-                    self._pop()
-            elif own in HOLDS_ITEMS or own in ("div", "section", "article", "main", "body", "aside", "nav"):
-                break
+        ends = ENDS_ITSELF.get(tag, ())
+        while (k := self.stack[-1].block) and (self.stack[k].tag == "p" or self.stack[k].tag in ends):
+            while len(self.stack) > k:  # an element that ends here without an end tag
+                self._pop()
         if tag not in VOID:
-            inside = any(e.tag == "article" for e in self.stack)
-            gone = self.stack[-1].gone or noisy(tag, attributes, inside)
-            self._push(tag, gone, not gone and named_noise(tag, attributes))
+            top = self.stack[-1]
+            gone = top.gone or noisy(tag, own, top.in_article)
+            self._push(tag, gone, not gone and named_noise(tag, own, top.in_article))
 
     def _push(self, tag: str, gone: bool, marked: bool = False) -> None:
-        top = self.stack[-1]
-        e = Element(tag, gone, tag == "article" or top.in_article, len(self.blocks))
-        e.marks, e.article = top.marks, top.article
+        e = Element(tag, gone, len(self.blocks), self.stack[-1], len(self.stack))
         if marked:
-            self.marked += 1
-            e.marks += (self.marked,)
+            self.outer_mark.append(e.mark)
+            e.mark = len(self.outer_mark) - 1
         if tag == "article" and e.article is None:
-            self.articles += 1
-            e.article = (self.articles, e.marks)
+            e.article = e.mark
         self.stack.append(e)
+        self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
 
     def _close(self, tag: str) -> None:
         if tag in BLOCK:
             self._flush()
-        for k in range(len(self.stack) - 1, 0, -1):
+        if not self.open_tags.get(tag):
+            return
+        lowest = 0 if tag in BLOCK else self.stack[-1].block
+        for k in range(len(self.stack) - 1, lowest, -1):
             if self.stack[k].tag == tag:
                 self._flush()
                 while len(self.stack) > k:
                     self._pop()
                 return
-            if tag not in BLOCK and self.stack[k].tag in BLOCK:
-                return
 
     def _pop(self) -> None:
         self._flush()
         e = self.stack.pop()
+        self.open_tags[e.tag] -= 1
         own = blake2b(e.tag.encode() + b"<" + b"|".join(e.parts) + b">", digest_size=8).digest()
         self.stack[-1].parts.append(own)
         if e.tag in BLOCK and e.tag not in NEVER and e.parts and not (e.in_article and e.tag in PROSE):
@@ -217,23 +234,39 @@ class Page:
         The article is the text of the articles without a mark on or around them, else of all
         articles, else of main, else of the body.
         """
-        pools = (lambda k: self.around[k][1] and not self.around[k][1][1], lambda k: self.around[k][1],
+        if len(self.outer_mark) == 1:
+            return [True] * len(self.blocks)
+        pools = (lambda k: self.around[k][1] == 0, lambda k: self.around[k][1] is not None,
                  lambda k: self.blocks[k][0] == 1, lambda k: True)
         pool = next((p for p in ([k for k in range(len(self.blocks)) if test(k)] for test in pools) if p), [])
-        inside: dict[int, int] = {}
+        inside = [0] * len(self.outer_mark)
         for k in pool:
-            for mark in self.around[k][0]:
-                inside[mark] = inside.get(mark, 0) + len(self.blocks[k][1])
-        half = sum(len(self.blocks[k][1]) for k in pool) / 2
-        return [all(inside.get(mark, 0) > half for mark in marks) for marks, _ in self.around]
+            inside[self.around[k][0]] += len(self.blocks[k][1])
+        half = sum(inside) / 2
+        for mark in range(len(inside) - 1, 0, -1):  # marks inside come after those around them
+            inside[self.outer_mark[mark]] += inside[mark] if self.outer_mark[mark] else 0
+        stays = [True]
+        for mark in range(1, len(inside)):
+            stays.append(inside[mark] > half and stays[self.outer_mark[mark]])
+        return [stays[mark] for mark, _ in self.around]
+
+    def chosen(self, held: list[bool]) -> int:
+        """The scope whose blocks are the main text: 2 articles, 1 main, 0 body."""
+        sizes = [0, 0, 0]
+        for (scope, text), stays in zip(self.blocks, held, strict=True):
+            sizes[scope] += len(text) if stays else 0
+        article, main, body = sizes[2], sizes[1] + sizes[2], sum(sizes)
+        if article and 2 * article >= (main if sizes[1] else body):
+            return 2
+        return 1 if sizes[1] else 0
 
     def rests(self) -> dict[int, int]:
         """For each subtree a hash of the main text outside it (order of blocks aside)."""
         held = self.held()
-        best = max((scope for (scope, _), stays in zip(self.blocks, held, strict=True) if stays), default=0)
+        least = self.chosen(held)
         total = [0]
         for (scope, text), stays in zip(self.blocks, held, strict=True):
-            own = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest() if stays and scope == best else b""
+            own = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest() if stays and scope >= least else b""
             total.append(total[-1] + int.from_bytes(own, "little"))
         out: dict[int, int] = {}
         for value, a, b in self.subtrees:
@@ -241,9 +274,9 @@ class Page:
         return {value: (rest & (2**64 - 1)) - 2**63 for value, rest in out.items()}
 
     def main_text(self) -> str:
-        left = [block for block, stays in zip(self.blocks, self.held(), strict=True) if stays]
-        best = max((scope for scope, _ in left), default=0)
-        return "\n".join(text for scope, text in left if scope == best)
+        held = self.held()
+        least = self.chosen(held)
+        return "\n".join(text for (scope, text), stays in zip(self.blocks, held, strict=True) if stays and scope >= least)
 
 
 def page_subtrees(rows: DataFrame) -> DataFrame:
@@ -263,17 +296,19 @@ def page_subtrees(rows: DataFrame) -> DataFrame:
 
 def template_subtrees(subtrees: DataFrame, min_pages: int, min_share: float) -> DataFrame:
     """host and subtree of what recurs beside different main texts on the pages of a host."""
-    pages = subtrees.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     counts = (subtrees.select("host", F.explode(F.arrays_zip("subtrees", "rests")).alias("one"))
               .groupBy("host", F.col("one.subtrees").alias("subtree"), F.col("one.rests").alias("rest"))
               .agg(F.count(F.lit(1)).alias("n"))
               .groupBy("host", "subtree").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("different"))
               .where(F.col("different") >= min_pages))
-    return counts.join(pages, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
+    if min_share > 0:
+        pages = subtrees.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+        counts = counts.join(pages, "host").where(F.col("n") >= min_share * F.col("pages"))
+    return counts.select("host", "subtree")
 
 
 def page_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
-              min_pages: int = 10, min_share: float = 0.3, key: Column | None = None) -> DataFrame:
+              min_pages: int = 3, min_share: float = 0.0, key: Column | None = None) -> DataFrame:
     """page_id, url and text of every page.
 
     ``key`` names each row again in a second scan (``parquet_row_key``); without it the
