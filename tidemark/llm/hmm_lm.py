@@ -1,36 +1,38 @@
 """Scoring texts with a hidden Markov language model.
 
-Tokens are words (A-Z lower-cased) and one end per text. The model emits classes: each of the
-``own_classes`` most frequent words is a class, the end is one, and the other words fall
+Tokens are words (A-Z lower-cased) and one end per text. The model emits classes: each of at most
+``own_classes`` words that are most frequent in training texts is a class, the end is one, and the other words fall
 into ``suffix_classes`` by a hash of their last three bytes. Within a suffix class a word has
 probability (c + 1) / (N_class + V_class + 1) from its training count, so that any unseen
 word has a share. So
 
     log10 P(text) = log10 P_hmm(classes) + sum over suffix words of log10 P(word | class).
 
-* Counting: one pass counts every word of all texts (in partial dictionaries of bounded
-  size), and Spark sums them: the table grows with the corpus.
-* Words are looked up in a broadcast dictionary of at most ``known_words`` frequent ones; every
-  other occurrence is joined with the table of counts. As frequent words are all in the
-  dictionary, no key of that join is hot.
+* Counting: one pass counts every word of all texts (batch by batch), and Spark sums them: the table grows with the corpus.
+* Words are looked up in a broadcast dictionary of at most ``known_words`` frequent ones, counted over all texts, and the own
+  classes; every other occurrence is joined with the table of counts. As frequent words are all in the
+  dictionary, no key of that join is hot. What the dictionary holds has no part in the scores: these depend on
+  training counts alone.
 * Baum-Welch: each round every partition runs scaled forward and backward recursions over its
-  training texts in windows of ``window`` tokens, many windows at a time, and emits expected
-  counts; Spark sums them per class. Only sums of fixed size come to the driver.
+  whole training texts, many at a time, and emits expected counts; Spark sums them per class. Long texts
+  are taken in blocks of tokens, and the state is carried over their edges both ways. Only sums of fixed size come to the driver.
 * Scoring runs the scaled forward recursion exactly over each whole text.
 
-Null texts are empty: the end alone. Rows with a null fold count as training. Repeated rows are
-scored one by one. Without training rows every class is equally likely. An empty table gives no rows.
+Null texts are empty: the end alone. Very long texts need memory for one block of states. Rows with a null fold count as
+training. Repeated rows are scored one by one. Words of equal counts are all own classes or none. Without
+training rows every class is equally likely. An empty table gives no rows. Only the named columns are read, so other columns
+may have any name.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,43 +42,46 @@ END = 0  # class of the end of a text
 SUFFIX = 3  # bytes
 
 
-def words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def words_of(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """(words of each text, different words with A-Z in lower case, which of these each word is); some may be equal or empty."""
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    found = split.flatten().dictionary_encode()
+    different = [w.lower() for w in found.dictionary.cast(pa.binary()).to_pylist()]
+    number = found.indices.to_numpy()
+    n_words = pc.list_value_length(split).to_numpy()
+    blank = np.array([not w for w in different], bool)
+    if blank.any():  # what white space at an end of a text leaves
+        kept = ~blank[number]
+        before = np.concatenate(([0], np.cumsum(kept)))
+        ends = np.cumsum(n_words)
+        n_words, number = before[ends] - before[ends - n_words], number[kept]
+    return n_words, different, number
 
 
-def count_words(rows: DataFrame, flush: int = 300_000) -> DataFrame:
+def count_words(rows: DataFrame) -> DataFrame:
     """word, c (in training texts), c_all of every word; written."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = {False: Counter(), True: Counter()}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for held_out, own in seen.items():
-                if own:
-                    n = pa.array(own.values(), pa.int64())
-                    train = pa.array(np.zeros(len(own), np.int64)) if held_out else n
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own.keys(), pa.binary()), train, n], ["word", "c", "c_all"])
-                own.clear()
-
         for batch in batches:
-            for held_out, text in zip(batch.column("held_out").to_pylist(), batch.column("text"), strict=True):
-                seen[held_out].update(words(text.as_py()))
-                if len(seen[held_out]) > flush:
-                    yield from out()
-        yield from out()
+            n_words, different, number = words_of(batch.column("text"))
+            training = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool), n_words)
+            both = [np.bincount(x, minlength=len(different)) for x in (number[training], number)]
+            some = np.flatnonzero(both[1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([different[k] for k in some], pa.binary()), *(pa.array(x[some]) for x in both)], ["word", "c", "c_all"])
 
     return materialise(
         rows.mapInArrow(count, "word binary, c bigint, c_all bigint")
         .groupBy("word").agg(F.sum("c").alias("c"), F.sum("c_all").alias("c_all")), "words")
 
 
-def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
-    """The words above the lowest count (in steps of 2 percent) that at most ``limit`` words reach.
+def most_frequent(counts: DataFrame, limit: int, by: str) -> DataFrame:
+    """The words whose count ``by`` is above the lowest (in steps of 2 percent) that at most ``limit`` words reach.
 
     The threshold comes from a histogram of some hundred rows, so no task sends its own
     ``limit`` words anywhere.
     """
-    level = F.floor(F.log("c_all") / math.log(1.02))
+    counts = counts.where(F.col(by) > 0)
+    level = F.floor(F.log(by) / math.log(1.02))
     levels = sorted(counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
     total, lowest = 0, None
     for row in levels:
@@ -97,7 +102,10 @@ class Vocabulary:
         self.distinct = whole["v"] + (train_texts > 0)
         self.train_texts = train_texts
         self.own, self.suffixes = own_classes, suffix_classes
-        known = sorted(most_frequent(counts, known_words).collect(), key=lambda r: (-r["c_all"], bytes(r["word"])))
+        if 1 + own_classes + suffix_classes > 1 << 16:
+            raise ValueError("class numbers have 16 bits")
+        own = {bytes(r["word"]): r["c"] for r in most_frequent(counts, own_classes, "c").collect()}
+        known = {bytes(r["word"]): r["c"] for r in most_frequent(counts, known_words, "c_all").collect()}
         by_suffix = {r["suffix"]: (r["n"], r["v"]) for r in counts.groupBy(
             F.pmod(F.crc32(F.substring("word", -SUFFIX, SUFFIX)), F.lit(suffix_classes)).alias("suffix"))
             .agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).collect()}
@@ -108,13 +116,11 @@ class Vocabulary:
         self.unigram = np.zeros(self.classes)
         self.unigram[END] = train_texts
         #: word: class (0 for words of a suffix class), training count
-        self.known: dict[bytes, tuple[int, int]] = {}
-        for k, r in enumerate(known):
-            word, c = bytes(r["word"]), r["c"]
-            self.known[word] = (k + 1 if k < own_classes else 0, c)
-            if k < own_classes:
-                room[self.suffix(word)] -= c + (c > 0)
-                self.unigram[k + 1] = c
+        self.known: dict[bytes, tuple[int, int]] = {word: (0, c) for word, c in known.items()}
+        for k, (word, c) in enumerate(sorted(own.items(), key=lambda x: (-x[1], x[0]))):
+            self.known[word] = (k + 1, c)
+            room[self.suffix(word)] -= c + 1
+            self.unigram[k + 1] = c
         self.unigram[1 + own_classes:] = room - 1
         self.log_room = np.log10(room)
 
@@ -137,27 +143,31 @@ def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 1 + v.own + suffix, log_c, int(c > 0), log_c - float(v.log_room[suffix]))
         end = (END, math.log10(v.train_texts + 1), int(v.train_texts > 0), 0.0)
         for batch in batches:
-            columns: list[list] = [[] for _ in range(6)]
-            for text in batch.column("text"):
-                tokens = words(text.as_py())
-                rare, found = [], []
-                for w in tokens:
-                    hit = table.get(w)
-                    if hit is None:
-                        rare.append(w)
-                        suffix = v.suffix(w)
-                        hit = (1 + v.own + suffix, 0.0, 0, -float(v.log_room[suffix]))
-                    found.append(hit)
-                found.append(end)
-                ids, logs, seen, inner = zip(*found, strict=True)
-                for column, value in zip(columns, (
-                        np.array(ids, np.uint16).tobytes(), len(ids), sum(seen), math.fsum(logs),
-                        math.fsum(inner), rare), strict=True):
-                    column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()))
+            n_words, different, number = words_of(batch.column("text"))
+            hits = []
+            for w in different:
+                hit = table.get(w)
+                if hit is None:
+                    suffix = v.suffix(w)
+                    hit = (1 + v.own + suffix, 0.0, 0, -float(v.log_room[suffix]))
+                hits.append(hit)
+            rare = np.array([w not in table for w in different], bool)
+            ids, logs, seen, inner = (np.array(x) for x in zip(*hits, end, strict=True))
+            after = np.cumsum(n_words)
+            tokens = np.insert(number, after, len(different))  # the end behind each text
+            n_tokens = n_words + 1
+            begin = np.cumsum(n_tokens) - n_tokens
+            flat = ids[tokens].astype(np.uint16)
+            bounds = np.append(begin, len(flat)).astype(np.int32)
+            odd = rare[number]
+            of_text = np.concatenate(([0], np.cumsum(odd)))[np.concatenate(([0], after))].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("doc_id", "held_out", "row")),
-                 *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                 pa.Array.from_buffers(pa.binary(), len(n_tokens), [None, pa.py_buffer(2 * bounds), pa.py_buffer(flat)]),
+                 pa.array(n_tokens.astype(np.int64)),
+                 *(pa.array(np.add.reduceat(x[tokens], begin).astype(kind) if len(begin) else np.zeros(0, kind))
+                   for x, kind in ((seen, np.int64), (logs, np.float64), (inner, np.float64))),
+                 pa.ListArray.from_arrays(pa.array(of_text), pa.array(different, pa.binary()).take(pa.array(number[odd])))],
                 ["doc_id", "held_out", "row", "classes", "n_tokens", "n_known", "log_counts", "log_inner", "rare"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -189,57 +199,65 @@ class Model:
         return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def expected_counts(model: Model, texts: list[np.ndarray], window: int, block: int = 4096):
-    """Baum-Welch counts (start, move, emit) and log-likelihood over windows of the texts."""
+def expected_counts(model: Model, texts: list[np.ndarray], steps: int = 1024, width: int = 512):
+    """Baum-Welch counts (start, move, emit) and log-likelihood of whole texts.
+
+    ``width`` texts of about one length go side by side. Longer ones than ``steps`` tokens are run forward once to
+    keep the state before each block of so many tokens, and then block by block from the last, forward and back.
+    """
     states = len(model.start)
-    emit = model.emit.astype(np.float32)
-    move = model.move.astype(np.float32)
-    starts, moves = np.zeros(states), np.zeros((states, states))
-    emits = np.zeros((len(model.emit), states))
-    lengths = np.array([len(t) for t in texts])
-    if not len(texts):
-        return starts, moves, emits, 0.0
-    flat = np.concatenate(texts).astype(np.int64)
-    per_text = -(-lengths // window)
-    first = np.repeat(np.cumsum(lengths) - lengths, per_text)
-    order = np.arange(len(first)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-    begin = first + order * window
-    size = np.minimum(window, np.repeat(lengths, per_text) - order * window)
-    by_size = np.argsort(-size, kind="stable")
-    begin, size = begin[by_size], size[by_size]
+    start, move, emit = (x.astype(np.float32) for x in (model.start, model.move, model.emit))
+    starts, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((len(emit), states))
     likelihood = 0.0
-    for k in range(0, len(begin), block):
-        b, n = begin[k:k + block], size[k:k + block]
-        steps = int(n[0])
-        active = np.searchsorted(-n, -np.arange(steps), "left")  # windows longer than t
-        at = np.minimum(b[None, :] + np.arange(steps)[:, None], len(flat) - 1)
-        seen = flat[at]
-        p = emit[seen]  # steps x windows x states
-        alpha = np.zeros_like(p)
-        scales = np.ones((steps, len(b)), np.float32)
-        for t in range(steps):
-            m = active[t]
-            own = p[t, :m] * (model.start.astype(np.float32) if t == 0 else alpha[t - 1, :m] @ move)
-            total = own.sum(axis=1)
-            scales[t, :m] = total
-            alpha[t, :m] = own / total[:, None]
-        beta = np.ones((len(b), states), np.float32)
-        posterior = alpha  # becomes alpha * beta
-        for t in range(steps - 1, 0, -1):
-            m = active[t]
-            onward = p[t, :m] * beta[:m] / scales[t, :m, None]
-            moves += alpha[t - 1, :m].T @ onward
-            posterior[t, :m] *= beta[:m]
-            beta[:m] = onward @ move.T
-        posterior[0] *= beta
-        starts += posterior[0].sum(axis=0)
-        for s in range(states):
-            emits[:, s] += np.bincount(seen.ravel(), posterior[:, :, s].ravel(), len(emits))
-        likelihood += float(np.log10(scales).sum(dtype=np.float64))
+    texts = sorted(texts, key=len, reverse=True)
+    for k in range(0, len(texts), width):
+        own = texts[k:k + width]
+        n = np.array([len(t) for t in own])
+        flat = np.concatenate(own).astype(np.int64)
+        begin = np.cumsum(n) - n
+
+        def forward(first: int, alpha: np.ndarray, keep: bool, n=n, flat=flat, begin=begin):
+            """A block from the state before it: tokens, active texts, scales and states of every step."""
+            last = min(first + steps, int(n[0]))
+            m = int((n > first).sum())
+            active = np.searchsorted(-n, -np.arange(first, last), "left")
+            seen = flat[np.minimum(begin[:m] + np.arange(first, last)[:, None], len(flat) - 1)]
+            p = emit[seen]
+            held = np.zeros_like(p) if keep else None
+            scales = np.ones((last - first, m), np.float32)
+            for t, a in enumerate(active.tolist()):
+                state = p[t, :a] * (start if first + t == 0 else alpha[:a] @ move)
+                scales[t, :a] = state.sum(axis=1)
+                state /= scales[t, :a, None]
+                alpha = state
+                if keep:
+                    held[t, :a] = state
+            return seen, active, p, scales, held, alpha
+
+        before = [np.zeros((len(own), states), np.float32)]
+        for first in range(0, int(n[0]) - steps, steps):
+            before.append(forward(first, before[-1], False)[-1])
+        beta = np.ones((len(own), states), np.float32)
+        for first in range((len(before) - 1) * steps, -1, -steps):
+            earlier = before.pop()
+            seen, active, p, scales, held, _ = forward(first, earlier, True)
+            posterior = np.zeros_like(held)
+            for t in range(len(active) - 1, -1, -1):
+                a = active[t]
+                posterior[t, :a] = held[t, :a] * beta[:a]
+                if first + t:
+                    onward = p[t, :a] * beta[:a] / scales[t, :a, None]
+                    moves += (held[t - 1] if t else earlier)[:a].T @ onward
+                    beta[:a] = onward @ move.T
+            if first == 0:
+                starts += posterior[0].sum(axis=0)
+            for s in range(states):
+                emits[:, s] += np.bincount(seen.ravel(), posterior[:, :, s].ravel(), len(emits))
+            likelihood += float(np.log10(scales).sum(dtype=np.float64))
     return starts, moves * model.move, emits, likelihood
 
 
-def train(encoded: DataFrame, vocabulary: Vocabulary, states: int, rounds: int, window: int, seed: int
+def train(encoded: DataFrame, vocabulary: Vocabulary, states: int, rounds: int, seed: int
           ) -> tuple[Model, list[float]]:
     """The model after ``rounds`` of Baum-Welch over all training texts, and its likelihoods."""
     spark = encoded.sparkSession
@@ -254,7 +272,7 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, states: int, rounds: int,
             total = None
             for batch in batches:
                 texts = [np.frombuffer(x, np.uint16) for x in batch.column("classes").to_pylist()]
-                own = expected_counts(shared.value, texts, window)
+                own = expected_counts(shared.value, texts)
                 total = own if total is None else tuple(a + b for a, b in zip(total, own, strict=True))
             if total is None:
                 return
@@ -307,7 +325,7 @@ def log_likelihoods(model: Model, texts: list[np.ndarray], block: int = 512) ->
 
 
 def score_texts(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text",
-                states: int = 8, rounds: int = 6, window: int = 64, own_classes: int = 1 << 14,
+                states: int = 8, rounds: int = 6, own_classes: int = 1 << 14,
                 suffix_classes: int = 1 << 10, known_words: int = 1 << 17, seed: int = 17) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text.
 
@@ -319,7 +337,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_column: str = "doc_id", te
     train_texts = plain.where("NOT held_out").count()
     vocabulary = Vocabulary(counts, train_texts, own_classes, suffix_classes, known_words)
     encoded = encode(plain.withColumn("row", F.monotonically_increasing_id()), vocabulary)
-    model, _ = train(encoded, vocabulary, states, rounds, window, seed)
+    model, _ = train(encoded, vocabulary, states, rounds, seed)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
