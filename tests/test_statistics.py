@@ -127,6 +127,72 @@ def test_lmm_against_dense_likelihood(spark):
     assert test["lrt_df"] == 29 and 0 <= test["lrt_p"] < 0.05
 
 
+def replicate_rows(model, keys, replicates, seed):
+    """(fit, replicate, site, n) sums and products as plain rows."""
+    folded, totals = R.replicate_sums(model, keys, replicates, seed)
+    sums = sorted((r["fit"], r["replicate"], r["site"], r["n"], tuple(np.round(r["u"], 8))) for r in folded.collect())
+    return sums, sorted((r["fit"], r["replicate"], tuple(np.round(r["products"], 8))) for r in totals.collect())
+
+
+@pytest.mark.parametrize("block", [4096, 20])
+def test_bootstrap_draws_exactly_n_rows_however_they_lie(spark, monkeypatch, block):
+    monkeypatch.setattr(R, "BLOCK", block)
+    pdf = nested()
+    pdf.loc[: len(pdf) // 3, "unit"] = 0
+    pdf.loc[: len(pdf) // 3, "site"] = 0
+    frame = spark.createDataFrame(pdf)
+    got = []
+    for rows in (frame.coalesce(1), frame.repartition(7, "y")):
+        model = D.design(rows, "y", ["x"], {}, "site", "unit", "m", ("i",))
+        got.append(replicate_rows(model, ["i"], 25, 7))
+    assert got[0] == got[1]
+    drawn = {}
+    for _, replicate, _, n, u in got[0][0]:
+        drawn[replicate] = drawn.get(replicate, 0) + n * u[0]
+    assert drawn == {k: len(pdf) for k in range(1, 26)}
+    assert len({p for _, _, p in got[0][1]}) == 25
+    # products have the mean and spread of n draws with replacement
+    z = np.column_stack((pdf["y"], np.ones(len(pdf)), pdf["x"]))
+    names = R.totals_of(2)
+    products = np.array([p for _, _, p in replicate_rows(D.design(frame, "y", ["x"], {}, "site", "unit", "m", ("i",)), ["i"], 400, 3)[1]])
+    for k, (i, j) in enumerate(names):
+        own = z[:, i] * z[:, j]
+        spread_of = math.sqrt(len(own)) * own.std()
+        assert products[:, k].mean() == pytest.approx(own.sum(), abs=5 * spread_of / 20 + 1e-6)
+        assert products[:, k].std() == pytest.approx(spread_of, rel=0.2, abs=1e-6)
+
+
+def test_folded_replicate_is_fitted_like_its_rows(spark):
+    pdf = nested()
+    model = D.design(spark.createDataFrame(pdf), "y", ["x"], {}, "site", "unit", "m", ("i",))
+    folded, totals = R.replicate_sums(model, ["i"], 3, 11)
+    sums = folded.where("replicate = 2").toPandas()
+    products = np.array(totals.where("replicate = 2").first()["products"])
+    fitted = R.fit_folded(sums, products, 2, L.NESTED, L.COARSE[L.NESTED])
+    # the drawn rows themselves, from the same generators
+    blocks = {r["name"]: r for r in R.packed_blocks(model, ["i"], R.RANGES).collect()}
+    drawn = {r["name"]: np.frombuffer(r["draws"], "<i4") for r in R.drawn_blocks(
+        R.packed_blocks(model, ["i"], R.RANGES), 3, 11).collect()}
+    rows = []
+    for name, b in blocks.items():
+        times = R.row_draws(drawn[name], b["rows"], 11, 1 << 41, name)[1]
+        for k, n in enumerate(times):
+            rows += [{"y": b["y"][k], "x": b["x"][1][k], "unit": int(b["unit"]), "site": int(b["site"])}] * int(n)
+    again = pd.DataFrame(rows).assign(m="m")
+    assert len(again) == len(pdf)
+    direct = L.fit_structures(L.sufficient_sums(D.design(spark.createDataFrame(again), "y", ["x"], {}, "site", "unit", "m")),
+                              [("m", L.NESTED)]).iloc[0]
+    assert fitted["sigma2"] == pytest.approx(direct["sigma2"], rel=1e-3)
+    assert fitted["tp"] == pytest.approx(direct["tp"], rel=0.02) and fitted["th"] == pytest.approx(direct["th"], rel=0.02, abs=1e-3)
+
+
+def test_percentile_limits():
+    values = np.arange(1.0, 1001.0)
+    assert R.percentile_limit(values, 0.025) == pytest.approx(25.0250, abs=5e-3)
+    assert R.percentile_limit(values[:999], 0.025) == 25.0
+    assert R.percentile_limit(values[:10], 0.025) == 1.0 and R.percentile_limit(values[:10], 0.975) == 10.0
+
+
 def test_balanced_design_equals_anova(spark):
     rng = np.random.default_rng(4)
     y = rng.normal(size=(12, 8)) + rng.normal(0, 1.5, 12)[:, None]

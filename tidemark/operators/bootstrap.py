@@ -1,107 +1,197 @@
-"""Case bootstrap of variance shares.
-
-Each row draws its multiplicity in every replicate from Poisson(1), the large-sample form of
-drawing rows with replacement: rows need no shared index, so the draw is local to the row and
-is repeated identically when a task is run again. Rows are never multiplied: the rows of a
-unit times the draws of all replicates are one matrix product per block of rows, which
-leaves one row of sums per unit and replicate. A replicate is then fitted from its unit sums
-(one row per unit, whatever the rows) in one task, all replicates side by side.
+"""Case bootstrap of variance shares, with exactly as many draws as rows in every replicate.
+
+The draws of a replicate go down a tree. Rows lie in blocks of a unit (parts of it by a hash of the row key, so
+the same rows are together however the table is partitioned), and blocks in a bounded number of ranges by a hash of
+their name. The draws of each model are split over its ranges on the driver, over the blocks of a range in
+the task that lists them, and over the rows of a block in the task that holds it; each
+split is multinomial with a generator seeded by the name of its node. So a replicate has n draws, and a task that is
+run again draws the same. Rows are never multiplied: the draws of all replicates times the rows of a block
+are one matrix product, which leaves one row of sums per unit and replicate.
+
+The likelihood takes a unit's sums only through its number of drawn rows, so units of a site that drew equally many rows
+are added up: a replicate is fitted from rows (site, drawn n), whose number grows with the square root of the
+rows at most, all replicates side by side.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialise, spread
 from .design import Design
+from .laplace import array_sum
 from .lmm import COARSE, solve_system, symmetric, triangle, variance_components
 from .variance_search import minimise
 
+BLOCK = 4096  # rows of a block, about
+RANGES = 1024  # of blocks, over all models
+NODE = ["fit", "site", "unit", "block"]
+
 
 def hash_uniform(*parts: Column) -> Column:
     """A number in [0, 1) fixed by its parts."""
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / float(2**53)
 
 
-def draws(keys: np.ndarray, replicates: int, seed: int) -> np.ndarray:
-    """Poisson(1) counts of each row (by its 64-bit key) in each replicate."""
-    x = keys.astype(np.uint64)[:, None] + np.arange(1, replicates + 1, dtype=np.uint64) * np.uint64(
-        0x9E3779B97F4A7C15) + np.uint64(seed)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    uniform = (x ^ (x >> np.uint64(31))) >> np.uint64(11)
-    cumulative = np.cumsum(np.exp(-1) / np.cumprod([1.0, *range(1, 16)]))
-    return np.searchsorted((cumulative * 2.0**53).astype(np.uint64), uniform, "right")
-
-
-def moment_names(p: int) -> list[str]:
-    return ["n", "r", "yy", *[f"s{i}" for i in range(p)], *[f"xy{i}" for i in range(p)],
-            *[f"g{i}_{j}" for i, j in triangle(p)]]
-
-
-def resampled_sums(model: Design, row_key: list[str], replicates: int, seed: int) -> DataFrame:
-    """Sums per (fit, replicate, site, unit) over the drawn rows."""
-    p, xs, names = len(model.names), model.xs, moment_names(len(model.names))
-    rows = model.rows.select("fit", "site", "unit", "y", *model.xs,
-                             F.xxhash64(*row_key).alias("_key"))
+def split_draws(draws: np.ndarray, sizes: np.ndarray, *node: int) -> np.ndarray:
+    """Draws (one number per replicate) split over parts of the given sizes: replicates x parts."""
+    rng = np.random.default_rng([x & (2**63 - 1) for x in node])
+    sizes = np.asarray(sizes, float)
+    return rng.multinomial(draws, sizes / sizes.sum())
+
+
+def row_draws(draws: np.ndarray, rows: int, *node: int) -> np.ndarray:
+    """How often each of ``rows`` rows is drawn in each replicate: replicates x rows."""
+    rng = np.random.default_rng([x & (2**63 - 1) for x in node])
+    of_replicate = np.repeat(np.arange(len(draws)), draws)
+    drawn = of_replicate * rows + rng.integers(0, rows, len(of_replicate))
+    return np.bincount(drawn, minlength=len(draws) * rows).reshape(len(draws), rows)
+
+
+def packed_blocks(model: Design, row_key: list[str], ranges: int) -> DataFrame:
+    """Rows of each block as matrices in the order of their keys: NODE, range, name, rows, x, y; written."""
+    xs = model.xs
+    keyed = model.rows.select("fit", "site", "unit", "y", *xs, F.xxhash64(*row_key).alias("_key"))
+    units = keyed.groupBy("fit", "site", "unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    large = units.where("_blocks > 1")
+    rows = (keyed.join(large, ["fit", "site", "unit"], "left")
+            .withColumn("block", F.pmod("_key", F.coalesce("_blocks", F.lit(1))).cast("int")).drop("_blocks"))
+    fields = F.struct("_key", "y", *xs)
+    blocks = rows.groupBy(*NODE).agg(F.sort_array(F.collect_list(fields)).alias("_rows"))
+    name = F.xxhash64(*NODE)
+    listed = blocks.select(
+        *NODE, name.alias("name"), F.pmod(F.shiftright(name, 20), F.lit(ranges)).cast("int").alias("range"),
+        F.size("_rows").alias("rows"), F.col("_rows.y").alias("y"),
+        F.array(*[F.col(f"_rows.{x}") for x in xs]).alias("x"))
+    return materialise(listed, "blocks")
+
+
+def drawn_blocks(blocks: DataFrame, replicates: int, seed: int) -> DataFrame:
+    """fit, name and the draws of each block in every replicate (32-bit, one behind the other)."""
+    sizes = blocks.groupBy("fit", "range").agg(F.sum("rows").alias("n")).toPandas().sort_values(["fit", "range"])
+    of_range = {}
+    for number, (fit, own) in enumerate(sizes.groupby("fit")):
+        whole = np.full(replicates, own["n"].sum(), np.int64)
+        parts = split_draws(whole, own["n"].to_numpy(), seed, number)
+        of_range |= {(fit, r): parts[:, k] for k, r in enumerate(own["range"])}
+    shared = blocks.sparkSession.sparkContext.broadcast(of_range)  # RANGES (or one a model) x replicates numbers at most
+
+    def split(listed: pd.DataFrame) -> pd.DataFrame:
+        listed = listed.sort_values("name")
+        fit, part = listed["fit"].iloc[0], int(listed["range"].iloc[0])
+        names = listed["name"].to_numpy()
+        parts = split_draws(shared.value[fit, part], listed["rows"].to_numpy(), seed, 1 << 40, part, int(names[0]))
+        return pd.DataFrame({"fit": fit, "name": names,
+                             "draws": [parts[:, k].astype("<i4").tobytes() for k in range(len(names))]})
+
+    return (blocks.select("fit", "range", "name", "rows").groupBy("fit", "range")
+            .applyInPandas(split, "fit string, name bigint, draws binary"))
+
+
+def totals_of(p: int) -> list[tuple[int, int]]:
+    """Pairs of (y, x0, x1, ...) whose products are added over all drawn rows."""
+    return triangle(p + 1)
+
+
+def replicate_sums(model: Design, row_key: list[str], replicates: int, seed: int, models: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(sums per fit, replicate, site and drawn n; products per fit and replicate).
+
+    Sums: m units, r, rr, s (p), rs (p), ss (p x p). Products: n and those of ``totals_of``.
+    """
+    p = len(model.names)
+    blocks = packed_blocks(model, row_key, max(1, RANGES // models))
+    met = blocks.join(drawn_blocks(blocks, replicates, seed), ["fit", "name"])
+    pairs = np.array(totals_of(p))
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: dict[str, np.ndarray] = {}
+        for batch in batches:
+            out = []
+            for fit, name, y, x, drawn in zip(*(batch.column(c) for c in ("fit", "name", "y", "x", "draws")), strict=True):
+                z = np.column_stack((np.array(y.as_py()), np.array(x.as_py()).T))
+                counts = row_draws(np.frombuffer(drawn.as_py(), "<i4"), len(z), seed, 1 << 41, name.as_py()).astype(float)
+                fit = fit.as_py()
+                whole[fit] = whole.get(fit, 0) + counts @ (z[:, pairs[:, 0]] * z[:, pairs[:, 1]])
+                out.append(np.column_stack((counts.sum(axis=1), counts @ z)).ravel())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("fit", "site", "unit")), pa.array(out, pa.list_(pa.float64()))], ["fit", "site", "unit", "v"])
+        if whole:
+            numbers = [str(k + 1) for k in range(replicates)] * len(whole)  # rows without unit have the replicate as site
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(list(whole), replicates), pa.string()), pa.array(numbers), pa.array([None] * len(numbers), pa.string()),
+                 pa.array([x for own in whole.values() for x in own], pa.list_(pa.float64()))], ["fit", "site", "unit", "v"])
+
+    sums = materialise(met.select("fit", "site", "unit", "name", "y", "x", "draws")
+                       .mapInArrow(multiply, "fit string, site string, unit string, v array<double>")
+                       .groupBy("fit", "site", "unit").agg(array_sum("v")), "unit-sums")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for (fit, site, unit), own in batch.groupby(["fit", "site", "unit"], sort=False):
-                y, x = own["y"].to_numpy(), own[xs].to_numpy().reshape(len(own), p)
-                moments = np.column_stack(
-                    [np.ones(len(y)), y, y * y, x, x * y[:, None],
-                     *[x[:, i] * x[:, j] for i, j in triangle(p)]])
-                total = draws(own["_key"].to_numpy(), replicates, seed).T @ moments
-                drawn = np.flatnonzero(total[:, 0])
-                out = pd.DataFrame(total[drawn], columns=names)
-                out.insert(0, "unit", unit)
-                out.insert(0, "site", site)
-                out.insert(0, "replicate", drawn + 1)
-                out.insert(0, "fit", fit)
-                yield out
-
-    schema = "fit string, replicate int, site string, unit string, " + ", ".join(
-        f"{n} double" for n in names)
-    # rows of a unit lie together, so a batch leaves few partial sums per unit
-    near = rows.repartition("fit", "site", "unit", F.pmod("_key", F.lit(64))).sortWithinPartitions(
-        "fit", "site", "unit")
-    return (near.mapInPandas(sums, schema).groupBy("fit", "replicate", "site", "unit")
-            .agg(*[F.sum(n).alias(n) for n in names]))
-
-
-def fit_units(units: pd.DataFrame, p: int, structure: str, grids) -> dict:
-    """Best (tp, th) and residual variance of one replicate from its unit sums, by REML."""
-    units = units.sort_values("site", kind="stable")
-    cut = np.flatnonzero(np.r_[True, units["site"].to_numpy()[1:] != units["site"].to_numpy()[:-1]])
-    n, r = units["n"].to_numpy(), units["r"].to_numpy()
-    s = units[[f"s{i}" for i in range(p)]].to_numpy()
-    total = units[moment_names(p)].sum()
-    xx = symmetric(np.array([[total[f"g{i}_{j}"] for i, j in triangle(p)]]), p)[0]
-    xy = np.array([total[f"xy{i}"] for i in range(p)])
+            for fit, site, v in zip(*(batch.column(c) for c in ("fit", "site", "v")), strict=True):
+                v = v.values.to_numpy().reshape(replicates, p + 2)
+                at = np.flatnonzero(v[:, 0])
+                n, r, s = v[at, 0], v[at, 1], v[at, 2:]
+                wide = np.column_stack((np.ones(len(at)), r, r * r, s, r[:, None] * s, (s[:, :, None] * s[:, None, :]).reshape(len(at), p * p)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([fit.as_py()] * len(at), pa.string()), pa.array([site.as_py()] * len(at), pa.string()),
+                     pa.array(at + 1, pa.int32()), pa.array(n), pa.array(list(wide), pa.list_(pa.float64()))],
+                    ["fit", "site", "replicate", "n", "u"])
+
+    folded = (sums.where("unit IS NOT NULL").mapInArrow(fold, "fit string, site string, replicate int, n double, u array<double>")
+              .groupBy("fit", "replicate", "site", "n").agg(array_sum("u")))
+    totals = sums.where("unit IS NULL").select("fit", F.col("site").cast("int").alias("replicate"), F.col("v").alias("products"))
+    return folded, totals
+
+
+def fit_folded(sums: pd.DataFrame, products: np.ndarray, p: int, structure: str, grids) -> dict:
+    """Best (tp, th) and residual variance of one replicate from its folded sums, by REML."""
+    sums = sums.sort_values(["site", "n"], kind="stable")
+    site = sums["site"].to_numpy()
+    cut = np.flatnonzero(np.append(True, site[1:] != site[:-1]))
+    n, u = sums["n"].to_numpy(), np.vstack(sums["u"].to_numpy())
+    m, r, rr, s, rs = u[:, 0], u[:, 1], u[:, 2], u[:, 3:3 + p], u[:, 3 + p:3 + 2 * p]
+    ss = u[:, 3 + 2 * p:]
+    whole = symmetric(products[None], p + 1)[0]
+    yy, xy, xx, rows = whole[0, 0], whole[0, 1:], whole[1:, 1:], float(m @ n)
     found = {}
 
     def deviance(point):
         tp, th = point
         k = 1 / (1 + n * tp)
         w = tp * k
-        a = np.add.reduceat(n * k, cut)
-        u = np.add.reduceat(r * k, cut)
+        a, e = np.add.reduceat(m * n * k, cut), np.add.reduceat(r * k, cut)
         t = np.add.reduceat(s * k[:, None], cut, axis=0)
         v = th / (1 + th * a)
         found[point] = solve_system(
-            xx - (s * w[:, None]).T @ s - (t * v[:, None]).T @ t, xy - s.T @ (w * r) - t.T @ (v * u),
-            total["yy"] - w @ (r * r) - v @ (u * u), np.log1p(n * tp).sum() + np.log1p(th * a).sum(),
-            total["n"], True)
+            xx - (w @ ss).reshape(p, p) - (t * v[:, None]).T @ t, xy - w @ rs - t.T @ (v * e),
+            yy - w @ rr - v @ (e * e), m @ np.log1p(n * tp) + np.log1p(th * a).sum(), rows, True)
         return found[point][0]
 
-    best = minimise({"": grids}, lambda points: {m: [deviance(x) for x in at] for m, at in points.items()})[""]
+    best = minimise({"": grids}, lambda points: {f: [deviance(x) for x in at] for f, at in points.items()})[""]
     return {"tp": best.point[0], "th": best.point[1], "sigma2": found[best.point][1],
-            "structure": structure, "converged": best.converged}
+            "structure": structure, "converged": best.converged, "n_rows": rows}
+
+
+def percentile_limit(values: np.ndarray, share: float) -> float:
+    """Order statistic (R + 1) share of R values, between two of them along the normal quantile scale."""
+    values, count = np.sort(values), len(values)
+    place = (count + 1) * share
+    low = math.floor(place)
+    if low <= 0 or low >= count:
+        return float(values[0] if low <= 0 else values[-1])
+    if place == low:
+        return float(values[low - 1])
+    quantile = NormalDist().inv_cdf
+    first, after = quantile(low / (count + 1)), quantile((low + 1) / (count + 1))
+    along = (quantile(share) - first) / (after - first)
+    return float(values[low - 1] + along * (values[low] - values[low - 1]))
 
 
 def with_row_number(rows: DataFrame, name: str = "row_key") -> DataFrame:
@@ -113,24 +203,28 @@ def bootstrap_shares(model: Design, fitted: pd.DataFrame, row_key: list[str], re
                      seed: int, level: float = 0.95) -> pd.DataFrame:
     """Percentile intervals of ``pct_variance`` per model and component.
 
-    Every replicate keeps the structure chosen for the original rows.
+    Every replicate keeps the structure chosen for the original rows. ``row_key`` names the rows; rows of
+    equal keys are told apart by their values.
     """
     p, plan = len(model.names), {}
     for m in fitted.itertuples():
         # a start near the estimate; the search goes on past any edge
         near = tuple((0.0,) if v == 0 else (0.0, v / 8, v, v * 8) for v in (m.tp, m.th))
         plan[m.fit] = m.structure, COARSE[m.structure] if m.singular else near
+    wanted = Design(model.rows.where(F.col("fit").isin(list(plan))), model.names)
+    folded, totals = replicate_sums(wanted, row_key, replicates, seed, max(1, len(plan)))
 
-    def fit(units: pd.DataFrame) -> pd.DataFrame:
-        name = units["fit"].iloc[0]
-        return pd.DataFrame([{"fit": name, **fit_units(units, p, *plan[name])}])
+    def fit(key: tuple, sums: pd.DataFrame, products: pd.DataFrame) -> pd.DataFrame:
+        own = fit_folded(sums, np.asarray(products["products"].iloc[0]), p, *plan[key[0]])
+        return pd.DataFrame([{"fit": key[0], **own}])
 
-    each = (resampled_sums(model, row_key, replicates, seed).where(F.col("fit").isin(list(plan)))
-            .groupBy("fit", "replicate")
+    each = (folded.groupBy("fit", "replicate").cogroup(totals.groupBy("fit", "replicate"))
             .applyInPandas(fit, "fit string, tp double, th double, sigma2 double, structure string, "
-                           "converged boolean").toPandas())
+                           "converged boolean, n_rows double").toPandas())
     shares = variance_components(each.assign(singular=False))
     tail = (1 - level) / 2
-    grouped = shares.groupby(["fit", "component"])["pct_variance"]
-    return pd.DataFrame({"ci_lo": grouped.quantile(tail), "ci_hi": grouped.quantile(1 - tail),
-                         "n_replicates": grouped.size()}).reset_index()
+    return pd.DataFrame([
+        {"fit": name, "component": component, "ci_lo": percentile_limit(own["pct_variance"].to_numpy(), tail),
+         "ci_hi": percentile_limit(own["pct_variance"].to_numpy(), 1 - tail), "n_replicates": len(own)}
+        for (name, component), own in shares.groupby(["fit", "component"])],
+        columns=["fit", "component", "ci_lo", "ci_hi", "n_replicates"])

@@ -59,9 +59,8 @@ def lmm_raw(spark, sf):
     return _out(spark, L.variance_components(L.fit_lmm(sums)))
 
 
-@query("lmm_bootstrap")
-def lmm_bootstrap(spark, sf, replicates: int = 1000):
-    model = _design(_rows(spark, sf), "price")
+def _bootstrap(spark, sf, outcome: str, replicates: int):
+    model = _design(_rows(spark, sf), outcome)
     model = D.Design(R.with_row_number(model.rows), model.names)
     fitted = L.fit_lmm(L.sufficient_sums(model))
     shares = L.variance_components(fitted)
@@ -69,6 +68,16 @@ def lmm_bootstrap(spark, sf, replicates: int = 1000):
     return _out(spark, shares.merge(spans, on=["fit", "component"]))
 
 
+@query("lmm_bootstrap")
+def lmm_bootstrap(spark, sf, replicates: int = 1000):
+    return _bootstrap(spark, sf, "price", replicates)
+
+
+@query("lmm_raw_bootstrap")
+def lmm_raw_bootstrap(spark, sf, replicates: int = 500):
+    return _bootstrap(spark, sf, "dose", replicates)
+
+
 @query("group_fixed_lrt")
 def group_fixed_lrt(spark, sf):
     return _out(spark, L.unit_fixed_test(L.sufficient_sums(_design(_rows(spark, sf), "price"))))
