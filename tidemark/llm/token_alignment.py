@@ -31,6 +31,7 @@ import os
 import re
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -132,15 +133,18 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str) -> None:
         self.tokens = Tokens(a_path, b_path)
-        self._forget()
-
-    def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.groups: list[bytes | None] = []  # None: the chunk does not give back its bytes
         self.sizes = np.zeros((1 << 16, 4), np.int64)
         self.starts = np.zeros(1, np.int64)
         self.codes = np.zeros(1 << 20, np.int64)
 
+    def _forget(self, kept: int) -> None:
+        """Keep the chunks that came first: frequent ones came early."""
+        self.place = dict(islice(self.place.items(), kept))
+        self.groups = self.groups[:kept]
+        self.starts = self.starts[:kept + 1].copy()
+
     def _keep(self, chunks: list[str], found: Alignment | None) -> None:
         """Add chunks whose links are consecutive in ``found``; without it chunks that cannot be aligned."""
         n, held, end = len(chunks), len(self.groups), int(self.starts[-1])
@@ -199,7 +203,7 @@ class Aligner:
             return [self._whole(t) if t else None for t in texts]
         split = [(CUT.split if OTHER_SPACE.search(t) else PLAIN.findall)(" " + t) if t else [] for t in texts]
         if len(self.groups) > CACHED_CHUNKS:
-            self._forget()
+            self._forget(CACHED_CHUNKS // 2)
         if new := set().union(*split).difference(self.place):
             self._learn(list(new))
         out: list[tuple | None] = []
