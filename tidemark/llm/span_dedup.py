@@ -160,6 +160,13 @@ class Sentences:
         return k, after, *hashes
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, so that few spans are held and sent at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def spans_of(batch: pa.RecordBatch, *cuts: int | None) -> Iterator[tuple[np.ndarray, ...]]:
     """(first sentence, sentence behind the last, two hashes) of the spans of each text."""
     min_sentences, min_words, long_words, cut_window = cuts
@@ -167,7 +174,7 @@ def spans_of(batch: pa.RecordBatch, *cuts: int | None) -> Iterator[tuple[np.ndar
         yield Sentences(text.as_py(), long_words, cut_window).spans(min_sentences, min_words)
 
 
-def repeated_hashes(texts: DataFrame, cuts: tuple, flush: int = 4_000_000) -> DataFrame:
+def repeated_hashes(texts: DataFrame, cuts: tuple, flush: int = 1_000_000) -> DataFrame:
     """h of every 64-bit span hash that occurs twice; written."""
     ranges = 1 << max(0, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
     edges = (np.arange(1, ranges, dtype=np.uint64) * np.uint64(2**64 // ranges))
@@ -184,7 +191,7 @@ def repeated_hashes(texts: DataFrame, cuts: tuple, flush: int = 4_000_000) -> Da
                 [pa.array(np.arange(ranges), pa.int32()), pa.array(packed(hashes[times == 1]), pa.binary()),
                  pa.array(packed(hashes[times > 1]), pa.binary())], ["part", "once", "twice"])
 
-        for batch in batches:
+        for batch in pieces(batches):
             own = [h for _, _, h, _ in spans_of(batch, *cuts)]
             held += [h.view(np.uint64) for h in own]
             waiting += sum(map(len, own))
@@ -249,14 +256,14 @@ def passing_spans(rows: DataFrame, cuts: tuple, wanted: HashFilter) -> DataFrame
     shared = rows.sparkSession.sparkContext.broadcast(wanted)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             found = list(spans_of(batch, *cuts))
             k, after, one, two = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 4
             held = np.flatnonzero(shared.value.may_hold(one))
             of_row = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])[held] if found else held
-            again = batch.take(pa.array(of_row, pa.int64()))
+            again = batch.select(["doc_id", "key", "row"]).take(pa.array(of_row, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*(again.column(c) for c in ("doc_id", "key", "row")), pa.array(k[held], pa.int32()), pa.array(after[held], pa.int32()),
+                [*again.columns, pa.array(k[held], pa.int32()), pa.array(after[held], pa.int32()),
                  pa.array(one[held]), pa.array(two[held])], ["doc_id", "key", "row", "k", "after", "h1", "h2"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
@@ -265,7 +272,7 @@ def passing_spans(rows: DataFrame, cuts: tuple, wanted: HashFilter) -> DataFrame
 
 
 def repeated_sentences(spans: DataFrame) -> DataFrame:
-    """key and the [k, after) ranges of sentences that repeat an earlier span; written."""
+    """key and the [k, after) ranges, as k << 32 | after, of sentences that repeat an earlier span; written."""
     place = F.struct(id_order(), F.col("k"))
     repeated = (spans.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
                 .where("n > 1").select("h1", "h2", F.col("first.k").alias("first_k"),
@@ -273,7 +280,7 @@ def repeated_sentences(spans: DataFrame) -> DataFrame:
     return materialise(
         spans.select("key", "row", "k", "after", "h1", "h2").join(repeated, ["h1", "h2"])
         .where("row <> first_row OR k <> first_k")
-        .groupBy("key").agg(F.collect_set(F.struct("k", "after")).alias("ranges")), "ranges")
+        .groupBy("key").agg(F.collect_set(F.shiftleft(F.col("k").cast("long"), 32) + F.col("after")).alias("ranges")), "ranges")
 
 
 def span_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -308,15 +315,16 @@ def span_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         "ranges", F.lit(None).cast(ranges.schema["ranges"].dataType))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             out: list[list] = [[], [], [], []]
-            for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
+            for text, ranges in zip(batch.column("text"), batch.column("ranges"), strict=True):
+                text = text.as_py()
                 own = Sentences(text, long_words, cut_window)
                 n = len(own.first)
                 gone = np.zeros(n + 1, np.int64)
-                for r in ranges or ():
-                    gone[r["k"]] += 1
-                    gone[r["after"]] -= 1
+                if ranges.is_valid:
+                    code = ranges.values.to_numpy()
+                    gone += np.bincount(code >> 32, minlength=n + 1) - np.bincount(code & 0xFFFFFFFF, minlength=n + 1)
                 gone = np.cumsum(gone)[:n] > 0
                 left, removed = _without(own, gone) if gone.any() else (text, [])
                 for column, value in zip(out, (left, n, int(gone.sum()), removed), strict=True):
