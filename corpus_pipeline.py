@@ -12,7 +12,9 @@ the last keep the columns of ``documents``.
   twice is there twice);
 * pack: the place of each document's tokens (words and one end) in training sequences.
 
-Null texts have no language and leave in the first stage. An empty table gives no rows.
+Null texts have no language and leave in the first stage. Very long texts are read whole, each in one task. Repeated rows
+are exact copies. An empty table gives no rows. Further columns of ``documents`` go along, whatever their names (but
+for those that start with two underscores).
 """
 
 from __future__ import annotations
@@ -30,7 +32,10 @@ from tidemark.session import materialise
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return identify_language(docs, docs, fits=True).where("fits").select(*docs.columns)
+    names = {c: f"__{k}" for k, c in enumerate(docs.columns)}  # no column of the table meets the verdict's columns
+    plain = docs.toDF(*names.values())
+    judged = identify_language(plain, plain, names["doc_id"], names["text"], names["lang"], fits=True)
+    return judged.where("fits").select(*names.values()).toDF(*docs.columns)
 
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
