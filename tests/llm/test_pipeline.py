@@ -87,3 +87,24 @@ def test_language_rejects_what_was_not_learned(spark, tmp_path, unlearned):
     learned = [d for d, lang in before.items() if lang not in (None, unlearned)]
     assert len(kept & set(without)) <= 0.3 * len(without)
     assert len(kept & set(learned)) >= 0.995 * len(learned)
+
+
+def test_columns_with_the_names_of_the_operators(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    more = {"Score": F.lit(0.5), "fits": F.lit("no"), "lang_pred": F.col("doc_id"), "key": F.lit(b"k"), "row": F.lit(1),
+            "copies": F.lit(9), "size": F.col("doc_id") * 2, "members": F.lit("m")}
+    docs.withColumns(more).union(docs.withColumns(more).limit(30)).write.parquet(f"{tmp_path}/0")
+    frame = spark.read.parquet(f"{tmp_path}/0")
+    for k, (_, stage) in enumerate(P.STAGES[:-1], 1):
+        stage(spark, frame, SF).write.parquet(f"{tmp_path}/{k}")
+        after = spark.read.parquet(f"{tmp_path}/{k}")
+        assert after.dtypes == frame.dtypes
+        assert after.where("Score <> 0.5 OR fits <> 'no' OR lang_pred <> doc_id OR key <> X'6B' OR size <> 2 * doc_id").count() == 0
+        frame = after
+    assert 0 < frame.select("doc_id").distinct().count() <= docs.count()
+    assert P.packed(spark, frame, SF).count() > 0
+
+
+def test_empty_table(spark, tmp_path):
+    spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert P.run(spark, str(tmp_path)).count() == 0
