@@ -303,41 +303,40 @@ def span_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     losing = plain.sparkSession.sparkContext.broadcast(HashFilter(ranges.select(F.xxhash64("key").alias("h"))))
     named = plain.withColumn("h", F.xxhash64("key"))
 
-    def only(lose: bool):
-        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                held = losing.value.may_hold(batch.column("h").to_numpy())
-                yield batch.drop_columns(["h"]).filter(pa.array(held == lose))
-        return choose
-
-    met = named.mapInArrow(only(True), plain.schema).join(ranges, "key", "left").select(*plain.columns, "ranges")
-    alone = named.mapInArrow(only(False), plain.schema).withColumn(
-        "ranges", F.lit(None).cast(ranges.schema["ranges"].dataType))
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = losing.value.may_hold(batch.column("h").to_numpy())
+            yield batch.drop_columns(["h"]).filter(pa.array(held))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
+            if "h" in batch.schema.names:  # the texts that lose nothing
+                batch = batch.filter(pa.array(~losing.value.may_hold(batch.column("h").to_numpy())))
+                found: list = [None] * batch.num_rows
+            else:
+                found = [r.values.to_numpy() if r.is_valid else None for r in batch.column("ranges")]
             out: list[list] = [[], [], [], []]
-            for text, ranges in zip(batch.column("text"), batch.column("ranges"), strict=True):
+            for text, ranges in zip(batch.column("text"), found, strict=True):
                 text = text.as_py()
                 own = Sentences(text, long_words, cut_window)
                 n = len(own.first)
                 gone = np.zeros(n + 1, np.int64)
-                if ranges.is_valid:
-                    code = ranges.values.to_numpy()
-                    gone += np.bincount(code >> 32, minlength=n + 1) - np.bincount(code & 0xFFFFFFFF, minlength=n + 1)
+                if ranges is not None:
+                    gone += np.bincount(ranges >> 32, minlength=n + 1) - np.bincount(ranges & 0xFFFFFFFF, minlength=n + 1)
                 gone = np.cumsum(gone)[:n] > 0
                 left, removed = _without(own, gone) if gone.any() else (text, [])
                 for column, value in zip(out, (left, n, int(gone.sum()), removed), strict=True):
                     column.append(value)
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())))
+            types = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, kinds, strict=True)), batch.column("key")],
+                [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, types, strict=True)), batch.column("key")],
                 ["doc_id", "text", "n_sentences", "n_removed", "removed", "key"])
 
+    met = named.mapInArrow(choose, plain.schema).join(ranges, "key", "left").select(*plain.columns, "ranges")
     kinds = {f.name: f.dataType.simpleString() for f in plain.schema}
     schema = (f"doc_id {kinds['doc_id']}, text string, n_sentences bigint, n_removed bigint, "
               f"removed array<array<bigint>>, key {kinds['key']}")
-    return met.mapInArrow(cut, schema).unionByName(alone.mapInArrow(cut, schema))
+    return met.mapInArrow(cut, schema).unionByName(named.mapInArrow(cut, schema))
 
 
 def _without(own: Sentences, gone: np.ndarray) -> tuple[str, list[list[int]]]:
