@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pandas as pd
 import pytest
@@ -109,9 +110,11 @@ def test_cohort_outputs_and_analysis(spark, study):
     tables = {**A.quality_tables(prepared), **A.descriptive_tables(prepared)}
     sizes = {name: t.count() for name, t in tables.items()}
     assert sizes["tables/dose_tier_counts"] == 8
-    assert sizes["02_derived_variable_checks"] == 5
     checks = tables["02_derived_variable_checks"].toPandas()
     assert (checks["verdict"] == "PASS").all(), checks
+    first = checks[checks["check_name"] == "dose_tier below threshold == dose_reduced 1"]
+    assert len(checks) == 6 and sorted(first["drug"]) == ["etomidate", "ketamine"]
+    assert checks["max_discrepancy"].notna().sum() == 1 and checks["max_discrepancy"].max() <= 0.01
     may_be_empty = {"01_duplicates", "tables/provider_dose_summary",
                     "tables/03_provider_drug_choice_summary"}
     assert not [name for name, n in sizes.items() if n == 0 and name not in may_be_empty]
@@ -121,3 +124,21 @@ def test_cohort_outputs_and_analysis(spark, study):
     assert set(fitted["fit"]) == {"etomidate", "ketamine"}
     shares = L.variance_components(fitted).groupby("fit")["pct_variance"].sum()
     assert shares.round(6).eq(100).all()
+    begun = time.time()
+    models = A.model_tables(spark, prepared, replicates=40, raw_replicates=20)
+    assert time.time() - begun < 300
+    assert set(models) >= {
+        "variance_components", "fixed_effects", "icc_results", "sa_rawmg_variance_components", "sa_provider_fixed_lrt",
+        "sa_drug_choice_mor_icc", "sa_drug_choice_fixed_effects", "aim4_mor_icc_results", "aim4_fixed_effects",
+        "time_trend_model_results"}
+    parts = models["variance_components"].toPandas()
+    assert (parts["n_replicates"] == 40).all() and (parts["ci_lo"] <= parts["ci_hi"]).all()
+    odds = models["aim4_mor_icc_results"].toPandas()
+    assert set(odds["outcome"]) == {"dose_reduced", "dose_low_25pct"} and set(odds["fit"]) == {"etomidate", "ketamine"}
+    trend = models["time_trend_model_results"].toPandas()
+    assert (trend["model"] == "drug_choice_time_trend").all()
+    assert set(trend["model_type"]) <= set(A.TREND_MODELS.values())
+    metadata = A.site_metadata(prepared, models["variance_components"]).first()
+    assert metadata["date_range_years"] == f"{metadata['year_min']}-{metadata['year_max']}"
+    assert metadata["lmm_etomidate_model_type"] in L.MODEL_TYPES.values() and metadata["lmm_ketamine_no_interval"] is False
+    assert len(metadata["run_datetime"]) == 19

@@ -39,6 +39,8 @@ from .lmm import independent
 
 BLOCK = 4096
 PASSES = 80
+FAR = 50.0  # a standard deviation that gets here has no inner optimum
+TOLERANCE = 1e-6  # fall of half the deviance that is still expected
 KEYS = ["fit", "site", "unit", "block"]
 SCALARS = 18  # of the sums of a site, before the vectors
 VECTORS = 7
@@ -162,6 +164,7 @@ class Fit:
                 bend = d @ g
             curvature = b - np.outer(bd, bd) / (d @ bd) + np.outer(g, g) / bend if d @ bd > 0 and bend > 0 else b
         self.beta, self.sd, self.value, self.gradient, self.rise = beta, sd, value, gradient, rise
+        self.done = bool((sd > FAR).any())
         self.curvature, self.information, self.scale = curvature, information, 1.0
         step = np.zeros(p + 2)
         step[on] = -np.linalg.solve(curvature[np.ix_(on, on)], gradient[on])
@@ -171,7 +174,7 @@ class Fit:
         longest = np.abs(step[p:]) / np.maximum(0.5, sd)
         self.scale = 1 / max(1.0, 2 * longest.max(), np.abs(step[:p]).max() / 4)
         self.step = step
-        if -(gradient @ step) < 1e-8 and left < 1e-8:
+        if -(gradient @ step) < TOLERANCE and left < TOLERANCE:
             low = (sd < 0.05) & (rise < -0.5) & self.free
             if low.any():  # a standard deviation near zero has no slope, though its variance wants to grow
                 self.step, self.scale = np.zeros(p + 2), 1.0
@@ -188,6 +191,7 @@ class LaplaceSolver:
         self.spark: SparkSession = rows.sparkSession
         self.p = len(xs)
         self.blocks, self.units = packed_rows(rows, xs)
+        self.split = not self.units.where("blocks > 1").isEmpty()  # else a block has all rows of its unit
         self.passes = 0
 
     def close(self) -> None:
@@ -262,10 +266,12 @@ class LaplaceSolver:
 
         sent = effects.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         met = self.blocks.join(sent, KEYS).select("model", "fit", "site", "unit", "blocks", "b_site", "b_unit", "x", "y")
-        return materialise(
-            met.mapInArrow(sums, "model string, fit string, site string, unit string, blocks int, b_site double, b_unit double, "
-                           "v array<double>")
-            .groupBy("model", "fit", "site", "unit").agg(*(F.first(c).alias(c) for c in ("blocks", "b_site", "b_unit")), array_sum("v")), "sums")
+        found = met.mapInArrow(sums, "model string, fit string, site string, unit string, blocks int, b_site double, b_unit double, "
+                               "v array<double>")
+        if self.split:
+            found = found.groupBy("model", "fit", "site", "unit").agg(
+                *(F.first(c).alias(c) for c in ("blocks", "b_site", "b_unit")), array_sum("v"))
+        return materialise(found, "sums")
 
     def _values(self, sums: DataFrame, at: Mapping[str, tuple]) -> dict[str, np.ndarray]:
         """Per model: F, left, dF/d(tp, th), information of (tp, th), dF/dbeta, information of beta (p x p)."""

@@ -332,7 +332,8 @@ def fixed_effects(fitted: pd.DataFrame, names: Sequence[str], exponentiate: bool
             p = math.erfc(abs(stat) / math.sqrt(2)) if math.isinf(df) else student_tails(stat, df)
             lo, hi = b - z * se, b + z * se
             if exponentiate:
-                b, se, lo, hi = math.exp(b), se * math.exp(b), math.exp(lo), math.exp(hi)
+                with np.errstate(over="ignore"):  # a term that separates the outcome has no upper limit
+                    b, se, lo, hi = (float(x) for x in (np.exp(b), se * np.exp(b), np.exp(lo), np.exp(hi)))
             rows.append((r.fit, term, b, se, stat, df, p, lo, hi))
     out = pd.DataFrame(rows, columns=["fit", "term", "estimate", "std_error", "statistic", "df",
                                       "p_value", "conf_low", "conf_high"])

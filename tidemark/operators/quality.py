@@ -142,26 +142,35 @@ def volume_chart(units: DataFrame, unit: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Consistency:
-    """Two conditions that must agree on every row where both are known."""
+    """Two conditions that must agree on every row where both are known.
+
+    ``distance`` is how far off a row is; its largest value is reported. ``failed`` is the verdict on a mismatch.
+    """
 
     name: str
     left: Column
     right: Column
+    distance: Column | None = None
+    failed: str = "MISMATCH"
 
 
 def derived_checks(df: DataFrame, checks: Sequence[Consistency],
                    by: Sequence[str] = ()) -> DataFrame:
     """Mismatch counts of derived variables with a verdict, all checks in one scan."""
     sums, cells = [], []
+    measured = any(check.distance is not None for check in checks)
     for i, check in enumerate(checks):
         sums += [F.count_if(check.left).alias(f"l{i}"), F.count_if(check.right).alias(f"r{i}"),
                  F.count_if(check.left != check.right).alias(f"d{i}")]
-        cells.append(F.struct(F.lit(check.name).alias("check_name"),
-                              F.col(f"l{i}").alias("n_left"), F.col(f"r{i}").alias("n_right"),
-                              F.col(f"d{i}").alias("n_mismatch")))
-    return (df.groupBy(*by).agg(*sums).select(*by, F.inline(F.array(*cells)))
-            .withColumn("verdict", F.when(F.col("n_mismatch") == 0, "PASS")
-                        .otherwise("MISMATCH")))
+        cell = [F.lit(check.name).alias("check_name"), F.col(f"l{i}").alias("n_left"), F.col(f"r{i}").alias("n_right"),
+                F.col(f"d{i}").alias("n_mismatch"),
+                F.when(F.col(f"d{i}") == 0, "PASS").otherwise(check.failed).alias("verdict")]
+        if measured:
+            sums.append((F.lit(None).cast("double") if check.distance is None
+                         else F.round(F.max(check.distance), 4)).alias(f"m{i}"))
+            cell.append(F.col(f"m{i}").alias("max_discrepancy"))
+        cells.append(F.struct(*cell))
+    return df.groupBy(*by).agg(*sums).select(*by, F.inline(F.array(*cells)))
 
 
 def collapse_levels(df: DataFrame, level: str, min_n: int, other: str) -> DataFrame:

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -57,6 +58,9 @@ NUMERIC_TERMS = ["age_s", "cci_s", "sbp_s", "hr_s", "spo2_s", "any_vasopressor_6
                  "presumed_infection_7d_prior", "ASE_7d_prior", "calendar_year_c"]
 FACTOR_TERMS = {"sex_category": None, "race_eth": "NH White",
                 "location_group": "Medical/Mixed ICU", "hospital_type": None}
+TREND_MODELS = {  # (several hospitals, several hospital types): label
+    (True, True): "multi-hosp + hospital_type", (True, False): "multi-hosp, no hospital_type",
+    (False, True): "single-hosp + hospital_type (glm)", (False, False): "single-hosp, year only (glm)"}
 
 
 @dataclass(frozen=True)
@@ -104,6 +108,7 @@ def prepare(frame: DataFrame, impute_iterations: int = 10) -> Prepared:
 def quality_tables(p: Prepared) -> dict[str, DataFrame]:
     clean, tier = p.clean, F.col("dose_tier")
     is_missing_dose = tier.isNull()
+    off = F.abs(F.col("dose_mg_kg") - F.col("induction_dose_mg") / F.col("weight_kg"))
     checks = [
         Q.Consistency("dose_tier below threshold == dose_reduced 1",
                       tier.isin(TIER_NAMES[:2]), F.col("dose_reduced") == 1),
@@ -114,9 +119,7 @@ def quality_tables(p: Prepared) -> dict[str, DataFrame]:
                       F.lower("ethnicity_category") == "hispanic",
                       F.col("race_eth") == "Hispanic"),
         Q.Consistency("dose_mg_kg vs induction_dose_mg/weight_kg (tol=0.01)",
-                      F.col("dose_mg_kg").isNotNull(), F.abs(
-                          F.col("dose_mg_kg") - F.col("induction_dose_mg") / F.col("weight_kg"))
-                      <= 0.01),
+                      F.col("dose_mg_kg").isNotNull(), off <= 0.01, off, "DISCREPANCY"),
         Q.Consistency("dose variable NAs match missing weight", is_missing_dose,
                       F.col("weight_kg").isNull())]
     # every place that occurs: the study does not limit them
@@ -145,7 +148,9 @@ def quality_tables(p: Prepared) -> dict[str, DataFrame]:
                 "pct_ase": F.col("ASE_7d_prior") == 1,
                 "pct_ed": F.col("location_group") == "ED",
                 "pct_etomidate": F.col("drug") == "etomidate"}),
-        "02_derived_variable_checks": Q.derived_checks(clean, checks),
+        "02_derived_variable_checks": Q.derived_checks(
+            clean.where(F.col("dose_mg_kg").isNotNull()), checks[:1], ["drug"]).unionByName(
+            Q.derived_checks(clean, checks[1:]), allowMissingColumns=True),
         "02_missingness_analytic": Q.missingness(
             clean, [c for c in clean.columns if c not in SCALED.values() and c != "site_id"],
             EXPECTED_MISSING),
@@ -273,18 +278,20 @@ def model_tables(spark: SparkSession, p: Prepared, replicates: int = 1000,
         table(f"{prefix}icc_results", L.icc_table(fitted))
         if not prefix:
             table("sa_provider_fixed_lrt", L.unit_fixed_test(sums))
-    choice = study_design(df, "drug_ketamine", fit=None)
-    fitted = G.fit_glmm(choice)
-    table("sa_drug_choice_mor_icc", G.odds_summary(fitted))
-    table("sa_drug_choice_fixed_effects", L.fixed_effects(fitted, choice.names, True))
-    summaries, effects = [], []
-    for outcome in ("dose_reduced", "dose_low_25pct"):
-        model = study_design(df, outcome)
-        fitted = G.fit_glmm(model)
-        summaries.append(G.odds_summary(fitted).assign(outcome=outcome))
-        effects.append(L.fixed_effects(fitted, model.names, True).assign(outcome=outcome))
-    table("aim4_mor_icc_results", pd.concat(summaries))
-    table("aim4_fixed_effects", pd.concat(effects))
+    # one search for all logistic models of the same terms
+    designs = {outcome: study_design(df, outcome, fit) for outcome, fit in
+               (("drug_ketamine", None), ("dose_reduced", "drug"), ("dose_low_25pct", "drug"))}
+    names = designs["drug_ketamine"].names
+    rows = [d.rows.withColumn("fit", F.concat_ws("|", F.lit(outcome), "fit")) for outcome, d in designs.items()]
+    fitted = G.fit_glmm(D.Design(reduce(DataFrame.unionByName, rows), names))
+    parts = fitted["fit"].str.split("|", n=1, expand=True)
+    fitted, outcomes = fitted.assign(fit=parts[1]), parts[0]
+    choice = fitted[outcomes == "drug_ketamine"]
+    table("sa_drug_choice_mor_icc", G.odds_summary(choice))
+    table("sa_drug_choice_fixed_effects", L.fixed_effects(choice, names, True))
+    aim4 = {o: fitted[outcomes == o] for o in ("dose_reduced", "dose_low_25pct")}
+    table("aim4_mor_icc_results", pd.concat(G.odds_summary(f).assign(outcome=o) for o, f in aim4.items()))
+    table("aim4_fixed_effects", pd.concat(L.fixed_effects(f, names, True).assign(outcome=o) for o, f in aim4.items()))
     groups = ("hospital_type", "location_group", "ASE_7d_prior")
     table("aim4_subgroup_mor_results", G.fit_subgroups(
         study_design(df, "dose_reduced", keep=groups), {g: g for g in groups}))
@@ -292,8 +299,27 @@ def model_tables(spark: SparkSession, p: Prepared, replicates: int = 1000,
                      D.varying_terms(df, [], ["hospital_type"])[1]}
     trend = D.design(df, "drug_ketamine", ["calendar_year_c"], trend_factors, "hospital_id",
                      "provider_id")
-    table("time_trend_model_results",
-          L.fixed_effects(G.fit_trend(trend), trend.names, exponentiate=True))
+    fitted = G.fit_trend(trend)
+    several = bool((fitted["n_sites"] > 1).any())
+    table("time_trend_model_results", L.fixed_effects(fitted, trend.names, exponentiate=True).assign(
+        model="drug_choice_time_trend", model_type=TREND_MODELS[several, bool(trend_factors)]))
+    return out
+
+
+def site_metadata(p: Prepared, components: DataFrame) -> DataFrame:
+    """One row of what was run: sizes, years, time, and the dose model of each drug."""
+    facts = {r["fit"]: r for r in components.groupBy("fit").agg(
+        F.first("model_type").alias("model_type"), F.max("singular").alias("singular"),
+        F.min("converged").alias("converged"),
+        *([F.max(F.col("ci_lo").isNull()).alias("no_interval")] if "ci_lo" in components.columns else [])).collect()}
+    out = _summary(p).withColumns({
+        "date_range_years": F.concat_ws("-", "year_min", "year_max"), "version": F.lit("0.1.0"),
+        "run_datetime": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")})
+    for drug in DRUGS:
+        own = facts[drug].asDict() if drug in facts else {}
+        out = out.withColumns({
+            f"lmm_{drug}_{name}": F.lit(own.get(name)).cast("string" if name == "model_type" else "boolean")
+            for name in ("model_type", "singular", "converged", "no_interval")})
     return out
 
 
@@ -309,12 +335,6 @@ def write_analysis(spark: SparkSession, site: Site, frame: DataFrame, replicates
     models = model_tables(spark, prepared, replicates, raw_replicates)
     for name, table in models.items():
         write_shared(table, site, "models", f"{name}.csv")
-    parts = models["variance_components"].agg(
-        F.array_join(F.array_sort(F.collect_set(F.concat_ws(": ", "fit", "model_type"))), "; ").alias("types"),
-        F.max("singular").alias("singular"), F.min("converged").alias("converged")).first()
-    metadata = (_summary(prepared).withColumn("version", F.lit("0.1.0"))
-                .withColumn("dose_model_types", F.lit(parts["types"]))
-                .withColumn("dose_model_singular", F.lit(parts["singular"]))
-                .withColumn("dose_model_converged", F.lit(parts["converged"])))
+    metadata = site_metadata(prepared, models["variance_components"])
     write_shared(metadata, site, "diagnostics", "site_metadata.csv")
     return prepared
