@@ -179,7 +179,8 @@ class Fit:
             if low.any():  # a standard deviation near zero has no slope, though its variance wants to grow
                 self.step, self.scale = np.zeros(p + 2), 1.0
                 self.step[p:][low] = 0.2
-            else:
+            else:  # the last step is taken without a pass: it moves the value by less than the tolerance
+                self.beta, self.sd = self.moved()
                 self.converged = self.done = True
         return True
 
