@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.measures import n_missing, pct_where
 from ..functions.recode import band_within, chain
+from ..session import materialise
 from .ranking import QUARTILES, quantile_columns, quantiles, ranked
 
 # Probability and rule of the statistics in the stacked tables.
@@ -37,13 +38,14 @@ def stacked_stats(df: DataFrame, metrics: Sequence[str], groupings: Mapping[str,
     """Long table ``group_by, group_value, metric, n, median, mean, p25, p75, min, max``.
 
     One block over everything and one per grouping; rows with a missing metric or a missing
-    group are left out of the block.
+    group are left out of the block. The input is computed once and its measured columns are written.
     """
+    df = materialise(df.select(*[F.col(m).cast("double").alias(m) for m in metrics],
+                               *[value.cast("string").alias(f"_g{i}") for i, value in enumerate(groupings.values())]), "measured")
     kinds = [F.struct(F.lit(overall).alias("group_by"), F.lit(overall_value).alias("group_value"))]
-    kinds += [F.struct(F.lit(name).alias("group_by"), value.cast("string").alias("group_value"))
-              for name, value in groupings.items()]
-    cells = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x"))
-             for m in metrics]
+    kinds += [F.struct(F.lit(name).alias("group_by"), F.col(f"_g{i}").alias("group_value"))
+              for i, name in enumerate(groupings)]
+    cells = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("x")) for m in metrics]
     long = (df.select(F.explode(F.array(*kinds)).alias("g"), F.array(*cells).alias("cells"))
             .select("g.*", F.explode("cells").alias("c")).select("group_by", "group_value", "c.*")
             .where(F.col("x").isNotNull() & F.col("group_value").isNotNull()))
