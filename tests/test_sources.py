@@ -40,6 +40,34 @@ def test_ids_missing_columns_and_optional_tables(spark, site):
     assert [r[0] for r in kept.collect()] == ["p2"]
 
 
+def test_spellings_are_scanned_once_for_each_state_of_the_files(spark, site, monkeypatch):
+    rows = spark.sql("""SELECT concat('h', id) hospitalization_id, element_at(array('HR', 'hr', 'Hr', 'SBP'), cast(id % 4 + 1 AS INT))
+                        vital_category, CAST(id AS DOUBLE) vital_value, timestamp_ntz'2024-07-01 12:00:00' recorded_dttm FROM range(40)""")
+    path = f"{site.data_directory}/vitals.parquet"
+    rows.write.parquet(path)
+    context = spark.sparkContext
+
+    def load(group):
+        context.setJobGroup(group, group)
+        found = load_table(spark, site, "vitals", {"vital_category": ["hr"]})
+        jobs = len(context.statusTracker().getJobIdsForGroup(group))
+        context.setJobGroup("other", "other")
+        return found, jobs
+
+    first, jobs = load("first")
+    assert first.count() == 30 and jobs > 0
+    again, jobs = load("again")
+    assert jobs == 0 and again.count() == 30 and again.schema == first.schema
+    assert "In(vital_category, [HR,Hr,hr]" in again._jdf.queryExecution().toString()
+    spark.sql("""SELECT 'x' hospitalization_id, 'hR' vital_category, 1D vital_value,
+                 timestamp_ntz'2024-07-01 12:00:00' recorded_dttm""").write.mode("append").parquet(path)
+    grown, jobs = load("grown")
+    assert grown.count() == 31 and jobs > 0
+    monkeypatch.setattr("tidemark.sources.catalogue.MOST_SPELLINGS", 2)
+    other = Site("s2", site.data_directory, "parquet", site.timezone, f"{site.data_directory}/other", "x")
+    assert load_table(spark, other, "vitals", {"vital_category": ["hr"]}).count() == 31
+
+
 @pytest.mark.parametrize("kind", ["csv", "json"])
 def test_other_formats(spark, tmp_path, kind):
     site = Site("s1", str(tmp_path), kind, "UTC", "x", "y")

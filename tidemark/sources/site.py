@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.elapsed import to_site_clock
+from .catalogue import TableCatalogue
 from .schemas import OPTIONAL, SCHEMAS
 
 
@@ -67,7 +68,8 @@ def load_table(spark: SparkSession, site: Site, name: str,
                ids: DataFrame | None = None) -> DataFrame:
     """One input table by its schema.
 
-    ``filters`` are short literal lists matched without regard to case; ``ids`` keeps the rows
+    ``filters`` are short literal lists matched without regard to case (the spellings in use are kept in a catalogue of
+    the table's files, so only the first load of a state scans the column); ``ids`` keeps the rows
     whose shared columns appear in another frame (a semi join, never a collected list).
     Optional tables that do not exist are empty.
     """
@@ -76,19 +78,22 @@ def load_table(spark: SparkSession, site: Site, name: str,
     reader = spark.read.format(site.filetype)
     if site.filetype == "csv":
         reader = reader.option("header", "true")
+    known = TableCatalogue(spark, path, site.output_directory) if site.filetype == "parquet" else None
+    if known is not None and known.schema is not None:
+        reader = reader.schema(known.schema)
     try:
         raw = reader.load(path)
     except AnalysisException as error:
         if name in OPTIONAL and "PATH_NOT_FOUND" in str(error):
             return spark.createDataFrame([], schema)
         raise
+    if known is not None and known.schema is None:
+        known.keep_schema(raw.schema)
     out = conform(raw, schema, site.timezone)
     for column, values in (filters or {}).items():
-        asked = F.lower(column).isin([v.lower() for v in values])
-        if site.filetype == "parquet":
-            # the spellings in use, so that the reader can prune by the stored values
-            asked = F.col(column).isin([r[0] for r in out.select(column).where(asked).distinct().collect()])
-        out = out.where(asked)
+        # the spellings in use, so that the reader can prune by the stored values
+        stored = known.spellings(out, column, values) if known is not None else None
+        out = out.where(F.lower(column).isin([v.lower() for v in values]) if stored is None else F.col(column).isin(stored))
     if ids is not None:
         out = out.join(ids, [c for c in ids.columns if c in out.columns], "left_semi")
     return out
