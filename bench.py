@@ -17,7 +17,7 @@ HEADLINE = [
     "window_flags_dose", "assemble_wide", "pre_post_change_stats", "missingness",
     "volume_summary", "table1", "percentile_ladder", "band_counts", "group_dose_summary",
     "provider_summary", "annual_trends", "choice_by_quarter", "zscore", "charlson", "sofa",
-    "sepsis_event", "lmm_variance",
+    "sepsis_event", "lmm_variance", "lmm_bootstrap", "glmm_mor", "impute_pmm",
 ]
 
 
@@ -31,7 +31,7 @@ def main() -> None:
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": "16g",
-        "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH", tempfile.mkdtemp(prefix="bench-"))})
+        "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()
     seconds = {}
