@@ -7,7 +7,8 @@ run is never one task, and a text that fills a third of the table sends one row
 The result goes back down the same way: root to runs, runs to rows.
 
 Null text counts as empty. Null identifiers come last; rows with equal identifiers and
-texts are told apart by their place, and one of them stays. An empty table gives no rows.
+texts are told apart by their place, and one of them stays. Texts of any length are read whole and travel as digests. Other
+columns are not read, unless carried. An empty table gives no rows.
 """
 
 from __future__ import annotations

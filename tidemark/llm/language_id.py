@@ -13,6 +13,8 @@ not as texts. Scoring: presence matrix times landmark matrix times dual weights;
 two do not depend on the text, their product is formed once.
 
 Null texts and texts without a letter get ``und`` and score 0. Ties go to the smaller language.
+Texts of any length are read whole. Repeated rows are predicted alike. Columns that are called like the added ones (lang_pred, score,
+fits) are replaced by them; a caller that needs them renames them before, as the pipeline does.
 Without labelled rows every text is ``und``. An empty table gives no rows.
 """
 

@@ -14,8 +14,9 @@ sums come to the driver. Positions within a pattern are prefix sums over cells o
 levels of 1024, so that a pattern with most of the rows is never one task.
 
 Null and empty membership is a pattern of its own that no quota reaches; a null source is a
-source like any other, ordered last. Documents of size 0 or null are taken no times. An
-empty table gives no rows.
+source like any other, ordered last. Documents of size 0 or null are taken no times. Repeated rows are
+documents of their own; ties in the seeded order go by row. A text is only measured, however long. Columns other
+than the named and carried ones are not read, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

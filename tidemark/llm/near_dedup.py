@@ -16,7 +16,8 @@ With 40 bands of 5 rows a pair at similarity 0.75 shares no band with probabilit
 Shingles are compared by 64-bit hashes. No bucket, partner list or text is capped.
 
 Null, empty or blank texts have no shingles and link with nothing. Null identifiers come
-last. Rows that repeat an identifier and text are one class, and one of them stays. An
+last. Rows that repeat an identifier and text are one class, and one of them stays. Very long
+texts are whole sets in one task. Only the two named columns are read, so other columns may have any name. An
 empty table gives no rows.
 """
 

@@ -15,7 +15,8 @@ from .token_files import read_documents, write_token_files
 
 @query("op10_token_files")
 def op10_token_files(spark, sf_dir):
-    folder = f"{scratch_root(spark)}/token-files/{uuid.uuid4().hex}"
+    # beside the written stages, so that release_scratch frees it too
+    folder = f"{scratch_root(spark)}/tidemark/{spark.sparkContext.applicationId}/token-files-{uuid.uuid4().hex}"
     write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder,
                       public_tokenizers.path("word_bpe_49k.json"), end_id=1,
                       separator="~")

@@ -9,7 +9,8 @@ many of the shorter pieces still to come as fit. At the end each bin shrinks to
 permitted capacity that holds its contents.
 
 A document without tokens (null or 0) gives one row without a bin. Rows that repeat an
-identifier are packed one by one. An empty table gives no rows.
+identifier are packed one by one; equal lengths go in the order of their rows. Only the identifier is kept beside the lengths,
+so other columns may have any name. An empty table gives no rows.
 """
 
 from __future__ import annotations

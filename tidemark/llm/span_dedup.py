@@ -274,9 +274,10 @@ def passing_spans(rows: DataFrame, cuts: tuple, wanted: HashFilter) -> DataFrame
 def repeated_sentences(spans: DataFrame) -> DataFrame:
     """key and the [k, after) ranges, as k << 32 | after, of sentences that repeat an earlier span; written."""
     place = F.struct(id_order(), F.col("k"))
-    repeated = (spans.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-                .where("n > 1").select("h1", "h2", F.col("first.k").alias("first_k"),
-                                       F.col("first.col1.row").alias("first_row")))
+    # written, so that the join has two plain sides and Spark can split a hash with many spans
+    repeated = materialise(
+        spans.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+        .where("n > 1").select("h1", "h2", F.col("first.k").alias("first_k"), F.col("first.col1.row").alias("first_row")), "firsts")
     return materialise(
         spans.select("key", "row", "k", "after", "h1", "h2").join(repeated, ["h1", "h2"])
         .where("row <> first_row OR k <> first_k")

@@ -13,7 +13,8 @@ of the table is one entry. Every vector is indexed; only the reference points ar
 
 Vectors with a null label, null, empty or zero vectors and those with null or non-finite components
 link with nothing. Vectors of different lengths never link. Null identifiers come last;
-rows that repeat an identifier are rows of their own. An empty table gives no rows.
+rows that repeat an identifier are rows of their own. Only the three named columns are read, so other columns may have any
+name. An empty table gives no rows.
 """
 
 from __future__ import annotations
