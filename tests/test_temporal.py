@@ -189,3 +189,19 @@ def test_outcomes(spark):
     got = {r["k"]: (r["los_days"], r["died"], r["died_in_unit"]) for r in X.outcomes(
         index, stays, "k", "b", "f", "s", "a", "z", "c", "icu", "expired|death").collect()}
     assert got == {"icu": (1.0, 1, 1), "ward": (1.0, 1, 0), "null": (1.0, None, 0)}
+
+
+def test_heavy_keys_come_from_sketches(spark, monkeypatch):
+    monkeypatch.setattr(T, "HEAVY_ROWS", 1000)
+    events = spark.range(300_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 100 = 1 THEN 8 ELSE id END AS k", "id AS v").repartition(6)
+    heavy = {r["_heavy"]: r["_salts"] for r in T.heavy_keys(events, F.xxhash64("k")).collect()}
+    hashes = {r["h"]: r["k"] for r in spark.createDataFrame([(7,), (8,)], "k long").select("k", F.xxhash64("k").alias("h")).collect()}
+    assert {hashes.get(h) for h in heavy} == {7, 8}
+    salts = {hashes[h]: n for h, n in heavy.items()}
+    assert 100 <= salts[7] <= 102 and salts[8] in (2, 3)  # shares are 1,000 rows of 100,000 and 2,000
+    index = spark.createDataFrame([(7, "a"), (7, "b"), (8, "c"), (10, "d"), (999_999, "e"), (None, "f")], "k long, w string")
+    found = T.spread_join(index, events, "k", ["v"])
+    plain = index.join(events, "k")
+    assert found.groupBy("k", "w").count().exceptAll(plain.groupBy("k", "w").count()).count() == 0
+    assert found.count() == plain.count()
+    assert T.spread_join(index, events.limit(0), "k", ["v"]).count() == 0
