@@ -390,3 +390,24 @@ def test_term_that_is_constant_in_one_model_only(spark):
     assert got[got["fit"] == "b"]["term"].tolist() == ["(Intercept)", "z"]
     mean = pdf[pdf["m"] == "a"]["y"].mean()
     assert got[got["fit"] == "a"]["estimate"].iloc[0] == pytest.approx(mean, abs=0.1)
+
+
+def test_bootstrap_broadcasts_no_draws_and_holds_sums_of_bounded_parts(spark, monkeypatch, capsys):
+    pdf = nested()
+    model = D.design(spark.createDataFrame(pdf), "y", ["x"], {}, "site", "unit", "m", ("i",))
+    whole = replicate_rows(model, ["i"], 25, 7)
+    # draws and sums must not grow a plan's broadcast or a written row with the number of units
+    written = []
+    monkeypatch.setattr(R, "materialise", lambda df, label="stage": written.append((label, df)) or materialise(df, label))
+    monkeypatch.setattr(R, "PART_ROWS", 60)
+    monkeypatch.setattr(R, "PART_PAIRS", 100)
+    monkeypatch.setattr(R, "CHUNK_PAIRS", 50)
+    again = replicate_rows(model, ["i"], 25, 7)
+    assert [x[:4] for x in again[0]] == [x[:4] for x in whole[0]]
+    assert np.vstack([x[4] for x in again[0]]) == pytest.approx(np.vstack([x[4] for x in whole[0]]), abs=1e-6)
+    sums = dict(written)["replicate-sums"]
+    sums.explain()
+    plan = capsys.readouterr().out
+    assert "FlatMapCoGroups" in plan and "draws" not in "".join(
+        line for line in plan.splitlines() if "BroadcastHashJoin" in line or "BroadcastExchange" in line)
+    assert sums.where("unit is not null").isEmpty()  # units of one block are added up where they are drawn

@@ -10,7 +10,8 @@ are one matrix product, which leaves one row of sums per unit and replicate.
 
 The likelihood takes a unit's sums only through its number of drawn rows, so units of a site that drew equally many rows
 are added up: a replicate is fitted from rows (site, drawn n), whose number grows with the square root of the
-rows at most, all replicates side by side.
+rows at most, all replicates side by side. Blocks of a site meet their draws in parts of bounded size, and a part adds up its
+units before anything is written; only units that lie in several blocks are written with a sum per replicate.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialise, spread
+from ..session import materialise, spread, spread_count
 from .design import Design
 from .laplace import array_sum
 from .lmm import COARSE, solve_system, symmetric, triangle, variance_components
@@ -32,7 +33,11 @@ from .variance_search import minimise
 
 BLOCK = 4096  # rows of a block, about
 RANGES = 1024  # of blocks, over all models
+PART_ROWS = 1 << 19  # rows of a part of a site, about
+PART_PAIRS = 1 << 21  # (unit, replicate) of a part, about
+CHUNK_PAIRS = 1 << 18  # of them held at once before they are added up
 NODE = ["fit", "site", "unit", "block"]
+PART = ["fit", "site", "part"]
 
 
 def hash_uniform(*parts: Column) -> Column:
@@ -56,25 +61,32 @@ def row_draws(draws: np.ndarray, rows: int, *node: int) -> np.ndarray:
 
 
 def packed_blocks(model: Design, row_key: list[str], ranges: int) -> DataFrame:
-    """Rows of each block as matrices in the order of their keys: NODE, range, name, rows, x, y; written."""
+    """Rows of each block as matrices in the order of their keys: NODE, blocks (of the unit), range, name, rows, x, y; written."""
     xs = model.xs
     keyed = model.rows.select("fit", "site", "unit", "y", *xs, F.xxhash64(*row_key).alias("_key"))
     units = keyed.groupBy("fit", "site", "unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
     large = units.where("_blocks > 1")
-    rows = (keyed.join(large, ["fit", "site", "unit"], "left")
-            .withColumn("block", F.pmod("_key", F.coalesce("_blocks", F.lit(1))).cast("int")).drop("_blocks"))
+    rows = (keyed.join(large, ["fit", "site", "unit"], "left").withColumn("blocks", F.coalesce("_blocks", F.lit(1)))
+            .withColumn("block", F.pmod("_key", F.col("blocks")).cast("int")).drop("_blocks"))
     fields = F.struct("_key", "y", *xs)
-    blocks = rows.groupBy(*NODE).agg(F.sort_array(F.collect_list(fields)).alias("_rows"))
+    blocks = rows.groupBy(*NODE, "blocks").agg(F.sort_array(F.collect_list(fields)).alias("_rows"))
     name = F.xxhash64(*NODE)
     listed = blocks.select(
-        *NODE, name.alias("name"), F.pmod(F.shiftright(name, 20), F.lit(ranges)).cast("int").alias("range"),
+        *NODE, "blocks", name.alias("name"), F.pmod(F.shiftright(name, 20), F.lit(ranges)).cast("int").alias("range"),
         F.size("_rows").alias("rows"), F.col("_rows.y").alias("y"),
         F.array(*[F.col(f"_rows.{x}") for x in xs]).alias("x"))
     return materialise(listed, "blocks")
 
 
-def drawn_blocks(blocks: DataFrame, replicates: int, seed: int) -> DataFrame:
-    """fit, name and the draws of each block in every replicate (32-bit, one behind the other)."""
+def in_parts(blocks: DataFrame, replicates: int) -> DataFrame:
+    """Blocks with the part of their site: a bounded number of rows and of (unit, replicate)."""
+    sites = materialise(blocks.groupBy("fit", "site").agg(F.ceil(F.greatest(
+        F.sum("rows") / PART_ROWS, F.count(F.lit(1)) * replicates / PART_PAIRS)).cast("int").alias("parts")), "parts")
+    return blocks.join(sites, ["fit", "site"]).withColumn("part", F.pmod(F.shiftright("name", 7), "parts").cast("int"))
+
+
+def drawn_blocks(blocks: DataFrame, replicates: int, seed: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """fit, name and the draws of each block in every replicate (32-bit, one behind the other); and ``keep``."""
     sizes = blocks.groupBy("fit", "range").agg(F.sum("rows").alias("n")).toPandas().sort_values(["fit", "range"])
     of_range = {}
     for number, (fit, own) in enumerate(sizes.groupby("fit")):
@@ -88,11 +100,11 @@ def drawn_blocks(blocks: DataFrame, replicates: int, seed: int) -> DataFrame:
         fit, part = listed["fit"].iloc[0], int(listed["range"].iloc[0])
         names = listed["name"].to_numpy()
         parts = split_draws(shared.value[fit, part], listed["rows"].to_numpy(), seed, 1 << 40, part, int(names[0]))
-        return pd.DataFrame({"fit": fit, "name": names,
-                             "draws": [parts[:, k].astype("<i4").tobytes() for k in range(len(names))]})
+        return listed[["fit", "name", *keep]].assign(draws=[parts[:, k].astype("<i4").tobytes() for k in range(len(names))])
 
-    return (blocks.select("fit", "range", "name", "rows").groupBy("fit", "range")
-            .applyInPandas(split, "fit string, name bigint, draws binary"))
+    kinds = dict(blocks.dtypes)
+    return (blocks.select("fit", "range", "name", "rows", *keep).groupBy("fit", "range")
+            .applyInPandas(split, ", ".join([f"{c} {kinds[c]}" for c in ("fit", "name", *keep)] + ["draws binary"])))
 
 
 def totals_of(p: int) -> list[tuple[int, int]]:
@@ -100,53 +112,103 @@ def totals_of(p: int) -> list[tuple[int, int]]:
     return triangle(p + 1)
 
 
+def added_up(key: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different keys in order, their values summed)."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[begin], np.add.reduceat(values[order], begin, axis=0)
+
+
+N_BITS = 40  # of a key (replicate, drawn n)
+
+
+def folded_units(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys (replicate, drawn n), sums) of units x replicates x (n, r, s): units that drew equally many rows together."""
+    units, replicates, width = v.shape
+    flat = v.reshape(-1, width)
+    key = (np.tile(np.arange(1, replicates + 1), units) << N_BITS) + flat[:, 0].astype(np.int64)
+    at = np.flatnonzero(flat[:, 0])
+    r, s = flat[at, 1], flat[at, 2:]
+    first, second = np.array(triangle(width - 2)).reshape(-1, 2).T
+    wide = np.column_stack((np.ones(len(at)), r, r * r, s, r[:, None] * s, s[:, first] * s[:, second]))
+    return added_up(key[at], wide) if len(at) else (key[at], wide)
+
+
+SUMS = ["fit", "site", "unit", "replicate", "n", "v"]
+SUMS_SCHEMA = "fit string, site string, unit string, replicate int, n double, v array<double>"
+
+
+def sum_rows(fit: str, site: str | None, unit: list | None, key: np.ndarray | None, values: np.ndarray) -> pa.Table:
+    """Rows of ``SUMS``: ``values`` by unit, or by key (replicate, n)."""
+    rows, width = values.shape
+    empty = lambda kind: pa.nulls(rows, kind)
+    named = lambda x: pa.repeat(pa.scalar(x, pa.string()), rows)
+    offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * width)
+    return pa.table([
+        named(fit), named(site), empty(pa.string()) if unit is None else pa.array(unit, pa.string()),
+        empty(pa.int32()) if key is None else pa.array((key >> N_BITS).astype(np.int32)),
+        empty(pa.float64()) if key is None else pa.array((key & ((1 << N_BITS) - 1)).astype(float)),
+        pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(values).ravel()))], names=SUMS)
+
+
 def replicate_sums(model: Design, row_key: list[str], replicates: int, seed: int, models: int = 1) -> tuple[DataFrame, DataFrame]:
     """(sums per fit, replicate, site and drawn n; products per fit and replicate).
 
-    Sums: m units, r, rr, s (p), rs (p), ss (p x p). Products: n and those of ``totals_of``.
+    Sums: m units, r, rr, s (p), rs (p), ss (``triangle``). Products: n and those of ``totals_of``.
     """
     p = len(model.names)
-    blocks = packed_blocks(model, row_key, max(1, RANGES // models))
-    met = blocks.join(drawn_blocks(blocks, replicates, seed), ["fit", "name"])
+    blocks = in_parts(packed_blocks(model, row_key, max(1, RANGES // models)), replicates)
+    drawn = drawn_blocks(blocks, replicates, seed, ("site", "part"))
     pairs = np.array(totals_of(p))
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole: dict[str, np.ndarray] = {}
-        for batch in batches:
-            out = []
-            for fit, name, y, x, drawn in zip(*(batch.column(c) for c in ("fit", "name", "y", "x", "draws")), strict=True):
-                z = np.column_stack((np.array(y.as_py()), np.array(x.as_py()).T))
-                counts = row_draws(np.frombuffer(drawn.as_py(), "<i4"), len(z), seed, 1 << 41, name.as_py()).astype(float)
-                fit = fit.as_py()
-                whole[fit] = whole.get(fit, 0) + counts @ (z[:, pairs[:, 0]] * z[:, pairs[:, 1]])
-                out.append(np.column_stack((counts.sum(axis=1), counts @ z)).ravel())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("fit", "site", "unit")), pa.array(out, pa.list_(pa.float64()))], ["fit", "site", "unit", "v"])
-        if whole:
-            numbers = [str(k + 1) for k in range(replicates)] * len(whole)  # rows without unit have the replicate as site
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(list(whole), replicates), pa.string()), pa.array(numbers), pa.array([None] * len(numbers), pa.string()),
-                 pa.array([x for own in whole.values() for x in own], pa.list_(pa.float64()))], ["fit", "site", "unit", "v"])
-
-    sums = materialise(met.select("fit", "site", "unit", "name", "y", "x", "draws")
-                       .mapInArrow(multiply, "fit string, site string, unit string, v array<double>")
-                       .groupBy("fit", "site", "unit").agg(array_sum("v")), "unit-sums")
+    held = max(1, CHUNK_PAIRS // replicates)
+
+    def multiply(key: tuple, listed: pa.Table, draws: pa.Table) -> pa.Table:
+        fit, site = key[0].as_py(), key[1].as_py()
+        drawn_of = dict(zip(draws["name"].to_pylist(), draws["draws"].to_pylist(), strict=True))
+        names, rows = listed["name"].to_numpy(), listed["rows"].to_numpy()
+        units, alone = listed["unit"].to_pylist(), listed["blocks"].to_numpy() == 1
+        y = listed["y"].combine_chunks().flatten().to_numpy()
+        x = listed["x"].combine_chunks().flatten().flatten().to_numpy()
+        end = np.cumsum(rows)
+        whole, found, large = np.zeros((replicates, len(pairs))), None, []
+        order = np.argsort(names)
+        for at in range(0, len(order), held):
+            some = order[at:at + held]
+            v = np.empty((len(some), replicates, p + 2))
+            for place, k in enumerate(some):
+                begin = end[k] - rows[k]
+                z = np.column_stack((y[begin:end[k]], x[begin * p:end[k] * p].reshape(p, -1).T))
+                counts = row_draws(np.frombuffer(drawn_of[names[k]], "<i4"), len(z), seed, 1 << 41, int(names[k])).astype(float)
+                whole += counts @ (z[:, pairs[:, 0]] * z[:, pairs[:, 1]])
+                v[place, :, 0] = counts.sum(axis=1)
+                v[place, :, 1:] = counts @ z
+            own = alone[some]
+            if own.any():
+                new = folded_units(v[own])
+                found = new if found is None else added_up(*(np.concatenate(x) for x in zip(found, new, strict=True)))
+            if not own.all():
+                large.append(sum_rows(fit, site, [units[k] for k in some[~own]], None, v[~own].reshape(-1, replicates * (p + 2))))
+        numbers = np.arange(1, replicates + 1, dtype=np.int64) << N_BITS
+        return pa.concat_tables([sum_rows(fit, None, None, numbers, whole), *large,
+                                 *([] if found is None else [sum_rows(fit, site, None, *found)])])
+
+    near = lambda df: df.repartition(spread_count(df.sparkSession), *PART).groupBy(*PART)
+    sums = materialise(near(blocks.select(*PART, "unit", "blocks", "name", "rows", "y", "x"))
+                       .cogroup(near(drawn.select(*PART, "name", "draws"))).applyInArrow(multiply, SUMS_SCHEMA), "replicate-sums")
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for fit, site, v in zip(*(batch.column(c) for c in ("fit", "site", "v")), strict=True):
-                v = v.values.to_numpy().reshape(replicates, p + 2)
-                at = np.flatnonzero(v[:, 0])
-                n, r, s = v[at, 0], v[at, 1], v[at, 2:]
-                wide = np.column_stack((np.ones(len(at)), r, r * r, s, r[:, None] * s, (s[:, :, None] * s[:, None, :]).reshape(len(at), p * p)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([fit.as_py()] * len(at), pa.string()), pa.array([site.as_py()] * len(at), pa.string()),
-                     pa.array(at + 1, pa.int32()), pa.array(n), pa.array(list(wide), pa.list_(pa.float64()))],
-                    ["fit", "site", "replicate", "n", "u"])
-
-    folded = (sums.where("unit IS NOT NULL").mapInArrow(fold, "fit string, site string, replicate int, n double, u array<double>")
-              .groupBy("fit", "replicate", "site", "n").agg(array_sum("u")))
-    totals = sums.where("unit IS NULL").select("fit", F.col("site").cast("int").alias("replicate"), F.col("v").alias("products"))
+                yield from sum_rows(fit.as_py(), site.as_py(), None, *folded_units(
+                    v.values.to_numpy().reshape(1, replicates, p + 2))).to_batches()
+
+    added = lambda count: F.array(*[F.sum(F.col("v")[k]) for k in range(count)])
+    large = (sums.where("unit IS NOT NULL").groupBy("fit", "site", "unit").agg(array_sum("v"))
+             .select("fit", "site", "v").mapInArrow(fold, SUMS_SCHEMA))
+    folded = (sums.where("unit IS NULL AND site IS NOT NULL").unionByName(large).repartition("fit", "replicate")
+              .groupBy("fit", "replicate", "site", "n").agg(added(3 + 2 * p + p * (p + 1) // 2).alias("u")))
+    totals = sums.where("site IS NULL").groupBy("fit", "replicate").agg(added(len(pairs)).alias("products"))
     return folded, totals
 
 
@@ -170,7 +232,7 @@ def fit_folded(sums: pd.DataFrame, products: np.ndarray, p: int, structure: str,
         t = np.add.reduceat(s * k[:, None], cut, axis=0)
         v = th / (1 + th * a)
         found[point] = solve_system(
-            xx - (w @ ss).reshape(p, p) - (t * v[:, None]).T @ t, xy - w @ rs - t.T @ (v * e),
+            xx - symmetric((w @ ss)[None], p)[0] - (t * v[:, None]).T @ t, xy - w @ rs - t.T @ (v * e),
             yy - w @ rr - v @ (e * e), m @ np.log1p(n * tp) + np.log1p(th * a).sum(), rows, True)
         return found[point][0]
 

@@ -57,14 +57,16 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_count(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over at least as many partitions as the session shuffles into.
 
     For row sets that are read many times by heavy work, before ``materialise``.
     """
-    spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              spark.sparkContext.defaultParallelism))
+    return df.repartition(spread_count(df.sparkSession))
 
 
 def release_scratch(spark: SparkSession) -> None:
