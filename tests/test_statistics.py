@@ -411,3 +411,34 @@ def test_bootstrap_broadcasts_no_draws_and_holds_sums_of_bounded_parts(spark, mo
     assert "FlatMapCoGroups" in plan and "draws" not in "".join(
         line for line in plan.splitlines() if "BroadcastHashJoin" in line or "BroadcastExchange" in line)
     assert sums.where("unit is not null").isEmpty()  # units of one block are added up where they are drawn
+
+
+def test_equal_rows_are_packed_once_and_count_as_often(spark, monkeypatch):
+    packed = []
+    plain = P.packed_rows
+    monkeypatch.setattr(P, "packed_rows", lambda rows, xs: packed.append(rows.count()) or plain(rows, xs))
+    pdf = binary_rows(5, 300, 1.0, 0.5)
+    pdf["x"] = pdf["x"].round()
+    frame = spark.createDataFrame(pd.concat([pdf] * 6))
+    model = D.design(frame, "y", ["x"], {}, "site", "unit", "m")
+    fitted = G.fit_structures(D.Design(materialise(model.rows), model.names), [("m", L.SITE), ("m", L.NESTED)])
+    distinct = [len(pdf.drop_duplicates(keys)) for keys in (["site", "x", "y"], ["unit", "site", "x", "y"])]
+    assert packed == distinct and distinct[0] < distinct[1] < len(pdf)
+    six = pd.concat([pdf] * 6)
+    for r in fitted.itertuples():
+        dense = dense_laplace(six, np.column_stack([np.ones(len(six)), six["x"]]), np.array(r.beta), r.tp, r.th)
+        assert r.deviance / 2 == pytest.approx(dense, abs=1e-6)
+
+
+def test_a_unit_that_goes_over_an_arrow_batch_stays_one_block(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        pdf = binary_rows(3, 200, 1.0, 0.5)
+        model = D.design(spark.createDataFrame(pdf), "y", ["x"], {}, "site", "unit", "m")
+        blocks, _ = P.packed_rows(materialise(model.rows), model.xs)
+        assert blocks.count() == pdf["unit"].nunique() == blocks.select("unit").distinct().count()
+        blocks.unpersist()
+    finally:
+        spark.conf.set(name, before)

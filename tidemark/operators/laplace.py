@@ -11,9 +11,10 @@ h_u = tp k + v k^2 (v = th / (1 + th A)), a change of eta moves the log determin
 the modes by the solution of a system that has an arrow for each site. All of that is sums over units and then over
 sites, so one pass over the rows gives value, gradient and information of every model.
 
-* Rows of a unit are packed once as matrices of at most ``BLOCK`` rows and stay where they are, keyed by unit and
-  block; a unit with more rows lies in several tasks. A pass sends one row of effects per unit and
-  block to them, and they give back sums per unit by matrix products, for all models of the same rows.
+* Equal rows of a unit are one row with a number of times. Rows of a unit are packed once as matrices of at most ``BLOCK``
+  rows and stay where they are, keyed and sorted by unit and block; a unit with more rows lies in several tasks. A pass sends
+  one row of effects per unit and block to them, and they give back sums per unit by matrix products, for all models of the
+  same rows.
 * Modes are not iterated by themselves: each pass moves them by the Newton step for the new coefficients and variances, and
   the value and gradient are corrected for what is left of that step.
 * The driver holds some p x p numbers per model and takes quasi-Newton steps in the coefficients and the two standard
@@ -41,11 +42,18 @@ BLOCK = 4096
 PASSES = 80
 FAR = 50.0  # a standard deviation that gets here has no inner optimum
 TOLERANCE = 1e-6  # fall of half the deviance that is still expected
+CHUNK = 1 << 16  # rows worked on at once
 KEYS = ["fit", "site", "unit", "block"]
 SCALARS = 18  # of the sums of a site, before the vectors
 VECTORS = 7
 
 
+def equal_rows(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row for all that agree in ``by``, with their number as ``times``; written."""
+    times = F.sum("times") if "times" in rows.columns else F.count(F.lit(1))
+    return materialise(rows.groupBy(*by).agg(times.cast("double").alias("times")), "equal-rows")
+
+
 def packed_rows(rows: DataFrame, xs: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(blocks with the rows of a unit as matrices, units with their number of blocks).
 
@@ -56,25 +64,38 @@ def packed_rows(rows: DataFrame, xs: Sequence[str]) -> tuple[DataFrame, DataFram
     large = units.where("blocks > 1")
     salted = (rows.join(large, ["fit", "site", "unit"], "left")
               .withColumn("block", F.pmod(F.monotonically_increasing_id(), F.coalesce("blocks", F.lit(1))).cast("int"))
-              .select(*KEYS, "y", *xs))
+              .select(*KEYS, "y", *xs, "times" if "times" in rows.columns else F.lit(1.0).alias("times")))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
+        rest = None  # rows of the last block, which may go on in the next batch
+        for batch in _then_none(batches):
+            if batch is not None and not batch.num_rows:
+                continue
+            parts = [t for t in (rest, batch and pa.Table.from_batches([batch])) if t is not None]
+            if not parts:
                 continue
-            names = pd.MultiIndex.from_arrays([batch.column(c).to_pandas() for c in KEYS]).factorize()[0]
+            held = pa.concat_tables(parts).combine_chunks()
+            names = pd.MultiIndex.from_arrays([held.column(c).to_pandas() for c in KEYS]).factorize()[0]
             begin = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
             end = np.append(begin[1:], len(names))
-            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in xs])
-            y = batch.column("y").to_numpy(zero_copy_only=False)
+            if batch is not None:
+                rest = held.slice(begin[-1])
+                begin, end = begin[:-1], end[:-1]
+            x = np.column_stack([held.column(c).to_numpy() for c in xs])
+            y, times = held.column("y").to_numpy(), held.column("times").to_numpy()
+            cut = lambda v: pa.array([v[a:b].tobytes() for a, b in zip(begin, end, strict=True)], pa.binary())  # noqa: E731,B023
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(pa.array(begin)) for c in KEYS),
-                 pa.array([x[a:b].tobytes() for a, b in zip(begin, end, strict=True)], pa.binary()),
-                 pa.array([y[a:b].tobytes() for a, b in zip(begin, end, strict=True)], pa.binary())], [*KEYS, "x", "y"])
+                [*(held.column(c).combine_chunks().take(pa.array(begin)) for c in KEYS), cut(x), cut(y), cut(times)],
+                [*KEYS, "x", "y", "times"])
 
     near = salted.repartition(*KEYS).sortWithinPartitions(*KEYS)
-    packed = near.mapInArrow(pack, "fit string, site string, unit string, block int, x binary, y binary")
-    return packed.repartition(*KEYS).persist(StorageLevel.MEMORY_AND_DISK), units
+    packed = near.mapInArrow(pack, "fit string, site string, unit string, block int, x binary, y binary, times binary")
+    return packed.repartition(*KEYS).sortWithinPartitions(*KEYS).persist(StorageLevel.MEMORY_AND_DISK), units
+
+
+def _then_none(batches: Iterator) -> Iterator:
+    yield from batches
+    yield None
 
 
 def grouped(batch: pa.RecordBatch, *keys: str) -> tuple[pd.DataFrame, np.ndarray]:
@@ -235,26 +256,33 @@ class LaplaceSolver:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                keys, number = grouped(batch, "model", "fit", "site", "unit", "blocks", "b_site", "b_unit")
-                lengths = np.array([len(y) // 8 for y in batch.column("y").to_pylist()])
-                x = np.frombuffer(b"".join(batch.column("x").to_pylist())).reshape(-1, p)
-                y = np.frombuffer(b"".join(batch.column("y").to_pylist()))
-                of_row = np.repeat(number, lengths)
-                eta = np.einsum("ij,ij->i", x, np.array([betas[m] for m in keys["model"]])[of_row])
-                eta = eta + (keys["b_site"] + keys["b_unit"]).to_numpy()[of_row]
-                mu = 1 / (1 + np.exp(-np.clip(eta, -700, 700)))
-                w = mu * (1 - mu)
-                bend, rest = w * (1 - 2 * mu), y - mu
-                loss = np.logaddexp(0, eta) - y * eta
-                v = summed_by(of_row, np.column_stack((w, rest, bend, loss, w[:, None] * x, bend[:, None] * x, rest[:, None] * x)))
-                model = pd.factorize(keys["model"])
-                for k, m in enumerate(model[1]):
-                    at = (model[0] == k)[of_row]
-                    whole[m] = whole.get(m, 0) + x[at].T @ (w[at][:, None] * x[at])
+                effect = batch.column("b_site").to_numpy() + batch.column("b_unit").to_numpy()
+                xs, ys, ts = (batch.column(c) for c in ("x", "y", "times"))
+                rows = np.array([len(y) // 8 for y in ys.to_pylist()])
+                v = np.empty((len(rows), 4 + 3 * p))
+                models, number = np.unique(batch.column("model").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+                for k, m in enumerate(models):
+                    own = np.flatnonzero(number == k)
+                    chunk = np.cumsum(rows[own]) // CHUNK
+                    for at in np.split(own, np.flatnonzero(np.diff(chunk)) + 1):
+                        taken = pa.array(at)
+                        x = np.frombuffer(b"".join(xs.take(taken).to_pylist())).reshape(-1, p)
+                        y, times = (np.frombuffer(b"".join(c.take(taken).to_pylist())) for c in (ys, ts))
+                        eta = x @ betas[m] + np.repeat(effect[at], rows[at])
+                        e = np.exp(-np.abs(eta))
+                        one = 1 / (1 + e)
+                        mu = np.where(eta >= 0, one, e * one)
+                        w = times * e * one * one
+                        rest, bend = times * (y - mu), w * (1 - 2 * mu)
+                        loss = times * (np.log1p(e) + np.maximum(eta, 0) - y * eta)
+                        begin = np.append(0, np.cumsum(rows[at])[:-1])
+                        turned = np.ascontiguousarray(x.T)
+                        wx = turned * w
+                        v[at] = np.vstack([*(np.add.reduceat(c, begin)[None] for c in (w, rest, bend, loss)),
+                                           *(np.add.reduceat(c, begin, axis=1) for c in (wx, turned * bend, turned * rest))]).T
+                        whole[m] = whole.get(m, 0) + wx @ x
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(keys[c], t) for c, t in (("model", pa.string()), ("fit", pa.string()), ("site", pa.string()),
-                                                         ("unit", pa.string()), ("blocks", pa.int32()),
-                                                         ("b_site", pa.float64()), ("b_unit", pa.float64()))),
+                    [*(batch.column(c) for c in ("model", "fit", "site", "unit", "blocks", "b_site", "b_unit")),
                      pa.array(list(v), pa.list_(pa.float64()))],
                     ["model", "fit", "site", "unit", "blocks", "b_site", "b_unit", "v"])
             if whole:
@@ -266,7 +294,7 @@ class LaplaceSolver:
                     ["model", "fit", "site", "unit", "blocks", "b_site", "b_unit", "v"])
 
         sent = effects.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        met = self.blocks.join(sent, KEYS).select("model", "fit", "site", "unit", "blocks", "b_site", "b_unit", "x", "y")
+        met = self.blocks.join(sent, KEYS).select("model", "fit", "site", "unit", "blocks", "b_site", "b_unit", "x", "y", "times")
         found = met.mapInArrow(sums, "model string, fit string, site string, unit string, blocks int, b_site double, b_unit double, "
                                "v array<double>")
         if self.split:
@@ -373,12 +401,16 @@ class LaplaceSolver:
                     f.state, at[m] = step, trial[m]
 
 
-def fit_laplace(solver: LaplaceSolver, wanted: Mapping[str, tuple[str, tuple[bool, bool]]]) -> dict[str, Fit]:
-    """The optimum of each model (rows, which of unit and site vary).
+def fit_laplace(solver: LaplaceSolver, wanted: Mapping[str, tuple[str, tuple[bool, bool]]],
+                near: Mapping[str, Fit] | None = None) -> dict[str, Fit]:
+    """The optimum of each model (rows, which of unit and site vary), from the place of a simpler model in ``near``.
 
     A small variance is also tried at zero, and zero is taken where the deviance is no higher.
     """
-    fits = {m: Fit(fit, free, np.zeros(solver.p), np.where(free, 0.7, 0.0)) for m, (fit, free) in wanted.items()}
+    fits = {}
+    for m, (fit, free) in wanted.items():
+        start = (near or {}).get(m)
+        fits[m] = Fit(fit, free, np.zeros(solver.p) if start is None else start.beta.copy(), np.where(free, 0.7, 0.0))
     solver.run(fits)
     pinned = {}
     for m, f in fits.items():
