@@ -442,3 +442,28 @@ def test_a_unit_that_goes_over_an_arrow_batch_stays_one_block(spark):
         blocks.unpersist()
     finally:
         spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("levels", [2, 400])
+def test_matching_shuffles_rows_once_and_picks_as_brute_force(spark, capsys, monkeypatch, levels):
+    written = []
+    monkeypatch.setattr(I, "materialise", lambda df, label="stage": written.append((label, df)) or materialise(df, label))
+    rng = np.random.default_rng(17)
+    pdf = pd.DataFrame({"k": np.arange(300), "x": rng.integers(0, levels, 300) / 7, "t": rng.normal(size=300).round(6)})
+    pdf["_miss_t"] = rng.random(300) < 0.3
+    pdf["y"] = pdf["k"] * 0.5
+    frame, terms = spark.createDataFrame(pdf), [F.col("x")]
+    fitted, drawn, _ = I._draw(frame, "t", terms, np.random.default_rng(3))
+    got = I._matched(frame, "k", "t", terms, np.random.default_rng(3), 5, 1, 4, ["y"]).toPandas().set_index("k")
+    u = frame.where("_miss_t").select("k", I.hash_uniform(F.lit(1), F.lit(4), F.col("k")).alias("u")).toPandas().set_index("k")["u"]
+    known = pdf[~pdf["_miss_t"]].assign(p=lambda d: fitted[0] + fitted[1] * d["x"]).sort_values(["p", "k"])
+    p, values = known["p"].to_numpy(), known["t"].to_numpy()
+    assert len(got) == pdf["_miss_t"].sum()
+    for k in got.index:
+        at = drawn[0] + drawn[1] * pdf["x"][k]
+        n = np.searchsorted(p, at, side="right")
+        near = np.arange(max(0, n - 5), min(len(p), n + 5))
+        near = near[np.argsort(np.abs(p[near] - at), kind="stable")][:5]
+        assert got["_pick"][k] == values[near[int(u[k] * len(near))]] and got["y"][k] == k * 0.5
+    assert [label for label, _ in written] == ["matched", "matched-at-ends"]  # only the filled rows are written
+    assert dict(written)["matched"].where("_kind <> 2").count() == len(got)

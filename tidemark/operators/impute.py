@@ -1,21 +1,24 @@
 """Chained-equation imputation with predictive mean matching.
 
 A regression needs one cross-product per target; donors are found by sorting donors and
-recipients together over the cluster: with the count of donors before it, a recipient knows
-the donor numbers around its place and joins just those.
+recipients together over the cluster once: a recipient's donors lie just before and after it in its
+range of the order, or at the ends of the ranges beside it. Recipients carry their row along, so a turn
+writes the rows it fills and nothing else; complete rows are written once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import materialise
+from ..session import materialise, spread_count
 from .bootstrap import hash_uniform
+from .laplace import then_none
 from .lmm import symmetric, triangle
-from .ranking import ranked
 
 
 def missing_shares(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
@@ -50,27 +53,107 @@ def _draw(frame: DataFrame, target: str, terms: Sequence[Column], rng: np.random
     return beta, beta + np.sqrt(sigma2) * noise, row["n"]
 
 
-def _matched(frame: DataFrame, key: str, target: str, terms: Sequence[Column],
-             rng: np.random.Generator, donors: int, seed: int, turn: int) -> DataFrame:
-    """``key, _pick``: a value for each missing row, from its nearest observed rows."""
-    fitted, drawn, n_obs = _draw(frame, target, terms, rng)
+FOUND, OPEN, EDGE = 0, 1, 2  # a recipient with its value, one that needs donors of other ranges, the donors at the ends of a range
+LISTS = ["_before", "_before_value", "_after", "_after_value"]
+
+
+def _picked(before: Sequence, before_value: Sequence, after: Sequence, after_value: Sequence, at: float, u: float, donors: int) -> float:
+    """Value of one of the nearest donors of a recipient at ``at``; the first in order of equally near ones."""
+    near = np.array([*before, *after], float)
+    order = np.argsort(np.abs(near - at), kind="stable")[:donors]
+    return [*before_value, *after_value][order[int(u * len(order))]]
+
+
+def _matched(frame: DataFrame, key: str, target: str, terms: Sequence[Column], rng: np.random.Generator,
+             donors: int, seed: int, turn: int, carry: Sequence[str] = ()) -> DataFrame:
+    """``key, _pick`` and the row (``carry``): a value for each missing row, from its nearest observed rows."""
+    fitted, drawn, _ = _draw(frame, target, terms, rng)
     missing = F.col(f"_miss_{target}")
+    carried = F.struct(*[F.col(c) for c in carry]) if carry else F.struct(F.lit(True).alias("_none"))
+    order = ["_pred", "_missing", key]
     scored = frame.select(
-        key, missing.alias("_missing"), F.col(target).alias("_value"),
+        key, missing.alias("_missing"), F.when(~missing, F.col(target)).alias("_value"), F.when(missing, carried).alias("_row"),
         F.when(missing, _linear(drawn, terms)).otherwise(_linear(fitted, terms)).alias("_pred"))
-    placed = ranked(scored, ["_pred", "_missing", key], (), "_donors_upto",
-                    (~F.col("_missing")).cast("int"))
-    pool = placed.where(~F.col("_missing")).select(
-        F.col("_donors_upto").alias("_no"), F.col("_pred").alias("_donor_pred"), "_value")
-    low = F.greatest(F.col("_donors_upto") - (donors - 1), F.lit(1))
-    high = F.least(F.col("_donors_upto") + donors, F.lit(n_obs))
-    asked = (placed.where(F.col("_missing")).select(key, "_pred", "_donors_upto")
-             .withColumn("_no", F.explode(F.sequence(low, high))))
-    near = asked.join(pool, "_no").groupBy(key).agg(F.slice(F.sort_array(F.collect_list(F.struct(
-        F.abs(F.col("_donor_pred") - F.col("_pred")).alias("d"), "_no", "_value"))), 1, donors)
-        .alias("near"))
-    pick = F.floor(hash_uniform(F.lit(seed), F.lit(turn), F.col(key)) * F.size("near"))
-    return near.select(key, F.element_at("near", pick.cast("int") + 1)["_value"].alias("_pick"))
+    placed = (scored.repartitionByRange(spread_count(frame.sparkSession), *order).sortWithinPartitions(*order)
+              .withColumn("_u", F.when(F.col("_missing"), hash_uniform(F.lit(seed), F.lit(turn), F.col(key))))
+              .withColumn("_part", F.spark_partition_id()))
+    names = [key, "_row", "_pred", "_u", "_part"]
+    kinds = {f.name: f.dataType.simpleString() for f in placed.schema}
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in names), "_kind int", "_pick double", *(f"{c} array<double>" for c in LISTS)])
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, head, tail, part, shape = None, np.zeros((0, 2)), np.zeros((0, 2)), None, None
+        for batch in then_none(batches):
+            if batch is not None and not batch.num_rows:
+                continue
+            parts = [t for t in (rest, None if batch is None else pa.Table.from_batches([batch])) if t is not None]
+            if not parts:
+                continue
+            held = pa.concat_tables(parts).combine_chunks()
+            asked = held["_missing"].to_numpy()
+            pred = held["_pred"].to_numpy()
+            upto = np.cumsum(~asked)
+            count = int(upto[-1])
+            of_donor = np.column_stack((pred[~asked], held["_value"].to_numpy()[~asked]))
+            part, shape = held["_part"][0].as_py(), held.schema
+            if len(head) < donors:  # rows held over begin with the first donors as long as these are too few
+                head = of_donor[:donors]
+            tail = of_donor[-donors:] if count >= donors else of_donor
+            at = np.flatnonzero(asked)
+            ready = at if batch is None else at[count - upto[at] >= donors]
+            n = upto[ready]
+            full = (n >= donors) & (count - n >= donors)
+            some = ready[full]
+            if len(some):
+                places = n[full][:, None] + np.arange(-donors, donors)
+                near = np.argsort(np.abs(of_donor[places, 0] - pred[some][:, None]), axis=1, kind="stable")[:, :donors]
+                u = held["_u"].to_numpy()[some]
+                chosen = near[np.arange(len(some)), (u * donors).astype(int)]
+                yield from filled(held.take(pa.array(some)), FOUND, of_donor[places[np.arange(len(some)), chosen], 1], None)
+            if not full.all():
+                lists = [[of_donor[max(0, k - donors):k], of_donor[k:k + donors]] for k in n[~full]]
+                yield from filled(held.take(pa.array(ready[~full])), OPEN, None, lists)
+            if batch is not None:  # recipients that wait, and from the donors before the first of them on
+                waits = np.zeros(len(asked), bool)
+                waits[at[count - upto[at] < donors]] = True
+                first = max(0, (upto[np.argmax(waits)] if waits.any() else count) - donors)
+                rest = held.filter(pa.array(waits | (~asked & (upto > first))))
+        if part is not None:
+            edge = pa.table([pa.nulls(1, shape.field(c).type) if c != "_part" else pa.array([part], pa.int32()) for c in names], names=names)
+            yield from filled(edge, EDGE, None, [[tail, head]])
+
+    def filled(rows: pa.Table, kind: int, values: np.ndarray | None, lists: list | None) -> list[pa.RecordBatch]:
+        size = rows.num_rows
+        listed = [pa.nulls(size, pa.list_(pa.float64()))] * 4 if lists is None else [
+            pa.array([x[side][:, c].tolist() for x in lists], pa.list_(pa.float64())) for side in (0, 1) for c in (0, 1)]
+        return pa.table([*(rows[c] for c in names), pa.array(np.full(size, kind, np.int32)),
+                         pa.nulls(size, pa.float64()) if values is None else pa.array(values), *listed],
+                        names=[*names, "_kind", "_pick", *LISTS]).to_batches()
+
+    out = materialise(placed.mapInArrow(match, schema), "matched")
+    ends = {r["_part"]: r for r in out.where(F.col("_kind") == EDGE).select("_part", *LISTS).collect()}
+    before, after = {}, {}  # last donors of all earlier ranges, first ones of all later ranges
+    for numbers, beside, first in ((sorted(ends), before, True), (sorted(ends, reverse=True), after, False)):
+        seen: tuple[list, list] = ([], [])
+        for k in numbers:
+            beside[k] = seen
+            own = ends[k]
+            seen = tuple((x + y)[-donors:] if first else (y + x)[:donors] for x, y in zip(
+                seen, (own["_before"], own["_before_value"]) if first else (own["_after"], own["_after_value"]), strict=True))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            picks = []
+            for part, at, u, b, bv, a, av in zip(*(batch.column(c).to_pylist() for c in ("_part", "_pred", "_u", *LISTS)), strict=True):
+                b, bv = ((x + y)[-donors:] for x, y in zip(before[part], (b, bv), strict=True))
+                a, av = ((y + x)[:donors] for x, y in zip(after[part], (a, av), strict=True))
+                picks.append(_picked(b, bv, a, av, at, u, donors))
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("_row"), pa.array(picks, pa.float64())], [key, "_row", "_pick"])
+
+    rest = out.where(F.col("_kind") == OPEN).select(*names, *LISTS).mapInArrow(
+        finish, f"`{key}` {kinds[key]}, _row {kinds['_row']}, _pick double")
+    found = out.where(F.col("_kind") == FOUND).select(key, "_row", "_pick").unionByName(materialise(rest, "matched-at-ends"))
+    return found.select(key, "_pick", *[F.col("_row")[c].alias(c) for c in carry])
 
 
 def impute_pmm(df: DataFrame, key: str, targets: Sequence[str], numeric: Sequence[str],
@@ -101,17 +184,28 @@ def impute_pmm(df: DataFrame, key: str, targets: Sequence[str], numeric: Sequenc
         *[F.col(c).isNull().alias(f"_miss_{c}") for c in chain],
         *[F.col(c).cast("double").alias(c) for c in steady],
         *[c.alias(n) for n, c in dummies.items()]), "chain")
+    miss = [F.col(f"_miss_{c}") for c in chain]
+    filled: dict[str, DataFrame] = {}  # rows as the last turn of a target left them, last turn first
+
+    def incomplete() -> list[DataFrame]:
+        later, parts = F.lit(False), []
+        for c, rows in filled.items():
+            parts.append(rows.where(~later))
+            later = later | F.col(f"_miss_{c}")
+        return parts if len(filled) == len(chain) else [*parts, frame.where(reduce(Column.__or__, miss)).where(~later)]
+
     for iteration in range(iterations):
         for at, target in enumerate(chain):
             terms = [F.col(c) for c in [*[c for c in chain if c != target], *steady, *dummies]]
             rng = np.random.default_rng([seed, imputation, iteration, at])
             turn = (imputation * 1000 + iteration) * 100 + at
-            picks = _matched(frame, key, target, terms, rng, donors, seed, turn)
-            done = frame.join(picks, key, "left").withColumn(
-                target, F.coalesce("_pick", target)).select(*frame.columns)
-            frame = materialise(done, "chain")
-    filled = frame.select(key, *[F.col(t).alias(f"_new_{t}") for t in targets])
-    out = df.join(filled, key, "left")
+            now = reduce(DataFrame.unionByName, incomplete(), frame.where(~reduce(Column.__or__, miss)))
+            done = _matched(now, key, target, terms, rng, donors, seed, turn,
+                            [c for c in frame.columns if c not in (key, target)])
+            filled = {target: done.withColumnRenamed("_pick", target).select(*frame.columns),
+                      **{c: rows for c, rows in filled.items() if c != target}}
+    new = reduce(DataFrame.unionByName, incomplete()).select(key, *[F.col(t).alias(f"_new_{t}") for t in targets])
+    out = df.join(new, key, "left")
     for t in targets:
-        out = out.withColumn(t, F.col(f"_new_{t}"))
+        out = out.withColumn(t, F.coalesce(F.col(t).cast("double"), f"_new_{t}"))
     return out.select(*df.columns), "pmm"

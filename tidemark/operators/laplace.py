@@ -68,7 +68,7 @@ def packed_rows(rows: DataFrame, xs: Sequence[str]) -> tuple[DataFrame, DataFram
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None  # rows of the last block, which may go on in the next batch
-        for batch in _then_none(batches):
+        for batch in then_none(batches):
             if batch is not None and not batch.num_rows:
                 continue
             parts = [t for t in (rest, batch and pa.Table.from_batches([batch])) if t is not None]
@@ -93,7 +93,7 @@ def packed_rows(rows: DataFrame, xs: Sequence[str]) -> tuple[DataFrame, DataFram
     return packed.repartition(*KEYS).sortWithinPartitions(*KEYS).persist(StorageLevel.MEMORY_AND_DISK), units
 
 
-def _then_none(batches: Iterator) -> Iterator:
+def then_none(batches: Iterator) -> Iterator:
     yield from batches
     yield None
 
