@@ -1,6 +1,7 @@
 """Ranks, quantiles, bands, levels and models against direct computation."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -413,6 +414,25 @@ def test_bootstrap_broadcasts_no_draws_and_holds_sums_of_bounded_parts(spark, mo
     assert sums.where("unit is not null").isEmpty()  # units of one block are added up where they are drawn
 
 
+def test_folding_units_holds_little_more_than_their_sums():
+    rng, p, width = np.random.default_rng(3), 5, 7
+    v = rng.normal(size=(400, 300, width))
+    v[:, :, 0] = rng.integers(0, 40, v.shape[:2])
+    tracemalloc.start()
+    key, u = R.folded_units(v)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 3 * v.nbytes  # 28 columns of products for each pair would be 8 times as much
+    for at in (0, len(key) // 2, len(key) - 1):
+        replicate, n = key[at] >> R.N_BITS, key[at] & ((1 << R.N_BITS) - 1)
+        own = v[v[:, replicate - 1, 0] == n, replicate - 1]
+        r, x = own[:, 1], own[:, 2:]
+        want = [len(own), r.sum(), r @ r, *x.sum(axis=0), *(r @ x), *((x.T @ x)[np.triu_indices(p)])]
+        np.testing.assert_allclose(u[at], want, atol=1e-9)
+    nothing = R.folded_units(np.zeros((2, 3, width)))
+    assert len(nothing[0]) == 0 and nothing[1].shape == (0, 28)
+
+
 def test_equal_rows_are_packed_once_and_count_as_often(spark, monkeypatch):
     packed = []
     plain = P.packed_rows

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 from statistics import NormalDist
 
 import numpy as np
@@ -35,7 +36,7 @@ BLOCK = 4096  # rows of a block, about
 RANGES = 1024  # of blocks, over all models
 PART_ROWS = 1 << 19  # rows of a part of a site, about
 PART_PAIRS = 1 << 21  # (unit, replicate) of a part, about
-CHUNK_PAIRS = 1 << 18  # of them held at once before they are added up
+CHUNK_PAIRS = 1 << 17  # of them held at once before they are added up
 NODE = ["fit", "site", "unit", "block"]
 PART = ["fit", "site", "part"]
 
@@ -129,10 +130,19 @@ def folded_units(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     flat = v.reshape(-1, width)
     key = (np.tile(np.arange(1, replicates + 1), units) << N_BITS) + flat[:, 0].astype(np.int64)
     at = np.flatnonzero(flat[:, 0])
-    r, s = flat[at, 1], flat[at, 2:]
-    first, second = np.array(triangle(width - 2)).reshape(-1, 2).T
-    wide = np.column_stack((np.ones(len(at)), r, r * r, s, r[:, None] * s, s[:, first] * s[:, second]))
-    return added_up(key[at], wide) if len(at) else (key[at], wide)
+    at = at[np.argsort(key[at], kind="stable")]
+    key = key[at]
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(at) else at
+    r, s = flat[at, 1], [flat[at, k] for k in range(2, width)]
+    out = np.empty((len(begin), 3 + 2 * len(s) + len(triangle(len(s)))))
+    if not len(at):
+        return key, out
+    out[:, 0] = np.diff(np.append(begin, len(at)))
+    # a column at a time: the products of all pairs side by side would be several times the sums
+    columns = chain([r, r * r], s, (r * x for x in s), (s[i] * s[j] for i, j in triangle(len(s))))
+    for place, column in enumerate(columns, 1):
+        out[:, place] = np.add.reduceat(column, begin)
+    return key[begin], out
 
 
 SUMS = ["fit", "site", "unit", "replicate", "n", "v"]
