@@ -450,6 +450,38 @@ def test_equal_rows_are_packed_once_and_count_as_often(spark, monkeypatch):
         assert r.deviance / 2 == pytest.approx(dense, abs=1e-6)
 
 
+def _drawn_choices(spark, n=6000, units=300):
+    rng = np.random.default_rng(11)
+    site = rng.integers(0, 6, n)
+    year = rng.integers(0, 4, n)
+    chosen = rng.random(n) < 1 / (1 + np.exp(0.5 - 0.3 * year - 0.8 * (site % 3)))
+    return spark.createDataFrame(pd.DataFrame({
+        "site": site, "unit": rng.integers(0, units, n), "year": year, "chosen": chosen.astype(int),
+        "ward": rng.choice(["a", "b"], n)}))
+
+
+def _written(monkeypatch):
+    sizes = []
+
+    def count(df, label="stage"):
+        out = materialise(df, label)
+        sizes.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr("tidemark.operators.laplace.materialise", count)
+    return sizes
+
+
+def test_trend_models_write_no_rows_by_unit(spark, monkeypatch):
+    model = D.design(_drawn_choices(spark), "chosen", ["year"], {}, "site", "unit")
+    sizes = _written(monkeypatch)
+    got = G.fit_trend(model)
+    assert max(n for label, n in sizes if label == "equal-rows") <= 6 * 4 * 2  # sites, years, outcomes
+    whole = G.fit_structures(model, [("all", G.SITE)])
+    assert (got["n"].item(), got["n_sites"].item(), got["structure"].item()) == (6000, 6, G.SITE)
+    np.testing.assert_allclose(got["beta"].item(), whole["beta"].item(), rtol=1e-9)
+
+
 def test_a_unit_that_goes_over_an_arrow_batch_stays_one_block(spark):
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)

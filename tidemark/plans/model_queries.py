@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..operators import bootstrap as R, design as D, glmm as G, impute as I, lmm as L
+from ..operators.laplace import equal_rows
 from ..operators.quality import z_scores
 from .registry import query
 from .standins import encounters, events
@@ -97,11 +98,11 @@ def glmm_subgroups(spark, sf):
 
 @query("time_trend")
 def time_trend(spark, sf):
-    enc = encounters(spark, sf)
+    enc = equal_rows(encounters(spark, sf), ["site", "year", "place", "drug"])
     first = enc.agg(F.min("year")).first()[0]
     rows = enc.withColumn("year_c", (F.col("year") - first).cast("double")).withColumn(
         "chosen", (F.col("drug") == "O").cast("int"))
-    model = D.design(rows, "chosen", ["year_c"], {"place": ["A", "N", "R"]}, "site", "provider")
+    model = D.design(rows, "chosen", ["year_c"], {"place": ["A", "N", "R"]}, "site", "site", keep=("times",))
     fitted = G.fit_trend(model)
     return _out(spark, L.fixed_effects(fitted, model.names, exponentiate=True))
 
