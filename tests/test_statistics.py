@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.recode import band, band_within
 from tidemark.operators import (bootstrap as R, describe as B, design as D, glmm as G,
                                 impute as I, laplace as P, lmm as L, quality as Q)
+from tidemark.operators.quality import z_scores
 from tidemark.operators.ranking import quantiles, ranked, running_max
 from tidemark.session import materialise
 
@@ -482,6 +483,29 @@ def test_trend_models_write_no_rows_by_unit(spark, monkeypatch):
     np.testing.assert_allclose(got["beta"].item(), whole["beta"].item(), rtol=1e-9)
 
 
+def test_subgroups_are_formed_from_equal_rows(spark, monkeypatch):
+    model = D.design(_drawn_choices(spark), "chosen", ["year"], {}, "site", "unit", keep=("ward",))
+    seen, by_site = [], G._by_site
+    monkeypatch.setattr(G, "_by_site", lambda m: (seen.append(m.rows.count()), by_site(m))[1])
+    got = G.fit_subgroups(model, {"ward": "ward"}).sort_values("subgroup_value")
+    assert seen[0] <= 6 * 4 * 2 * 2  # sites, years, outcomes, wards
+    for value, n, icc in zip(got["subgroup_value"], got["n"], got["icc"], strict=True):
+        own = D.Design(model.rows.where(F.col("ward") == value), model.names)
+        alone = G.fit_structures(own, [("all", G.SITE)])["th"].item()
+        assert n == own.rows.count()
+        assert icc == pytest.approx(alone / (alone + math.pi**2 / 3), rel=1e-6)
+
+
+def test_z_scores_scan_their_input_once(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (6.0, 2.0)], "x double, same double")
+    scaled = z_scores(df, {"x": "xs", "same": "ss"})
+    assert "subquery" not in scaled._jdf.queryExecution().toString().lower()
+    rows = scaled.orderBy("x").collect()
+    assert [r["xs"] for r in rows] == pytest.approx([-2 / 7**0.5, -1 / 7**0.5, 3 / 7**0.5])
+    assert [r["ss"] for r in rows] == [None] * 3
+    assert z_scores(df.where("x > 10"), {"x": "xs"}).collect() == []
+
+
 def test_a_unit_that_goes_over_an_arrow_batch_stays_one_block(spark):
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)

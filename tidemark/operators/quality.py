@@ -215,9 +215,10 @@ def cohort_summary(df: DataFrame, measures: Mapping[str, Column],
 
 
 def z_scores(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """``(x - mean) / sd`` for each ``source -> name``; one extra scan for all columns."""
-    stats = df.agg(F.struct(*[c for x in columns for c in (
-        F.avg(x).alias(f"m_{x}"), F.stddev_samp(x).alias(f"s_{x}"))])).scalar()
-    return df.withColumn("_stats", stats).select(*df.columns, *[
-        F.try_divide(F.col(x) - F.col(f"_stats.m_{x}"), F.col(f"_stats.s_{x}")).alias(name)
+    """``(x - mean) / sd`` for each ``source -> name``; one extra scan for all columns, made at once."""
+    stats = df.agg(*[c for x in columns for c in (
+        F.avg(x).alias(f"m_{x}"), F.stddev_samp(x).alias(f"s_{x}"))]).first()
+    known = lambda name: F.lit(stats[name]) if stats[name] is not None else F.lit(None).cast("double")
+    return df.select(*df.columns, *[
+        F.try_divide(F.col(x) - known(f"m_{x}"), known(f"s_{x}")).alias(name)
         for x, name in columns.items()])
