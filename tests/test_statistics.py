@@ -51,6 +51,30 @@ def test_quantiles(skewed, p):
         assert (got[got["g"] == g]["n_values"] == len(x)).all()
 
 
+def test_quantiles_sort_only_the_bins_they_fall_into(spark, monkeypatch):
+    x = np.random.default_rng(5).lognormal(3, 1, 20000)
+    x[:8] = [0.0, -0.0, 5e-324, -5e-324, np.inf, -np.inf, -1e300, 1e300]
+    x[8:4000] *= -1
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "g": np.arange(len(x)) % 2})).withColumn(
+        "g", F.when(F.col("g") == 1, "a"))  # a missing group is a group
+    sizes = {}
+
+    def count(rows, label="stage"):
+        out = materialise(rows, label)
+        sizes[label] = out.count()
+        return out
+
+    monkeypatch.setattr("tidemark.operators.ranking.materialise", count)
+    probs = (0.0, 0.1, 0.5, 0.999, 1.0)
+    got = quantiles(df, "x", [(p, "nearest") for p in probs], ["g"]).toPandas()
+    assert sizes["counted"] < 500 and sizes["sorted"] < 500
+    for g, own in ((None, np.sort(x[::2])), ("a", np.sort(x[1::2]))):
+        mine = got[got["g"].isna() if g is None else got["g"] == g].sort_values("prob")
+        assert mine["quantile"].tolist() == [own[math.floor((len(own) - 1) * p + 0.5)] for p in probs]
+    whole = quantiles(df, "x", [(0.5, "linear")]).toPandas()
+    assert whole["quantile"].tolist() == [np.median(x)]
+
+
 def test_bands(spark):
     df = spark.createDataFrame([(0.04,), (0.05,), (0.60,), (None,)], "x double")
     edges, names = [0.05, 0.6], ["<0.05", "0.05-0.59", ">0.60"]

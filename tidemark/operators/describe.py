@@ -53,7 +53,7 @@ def stacked_stats(df: DataFrame, metrics: Sequence[str], groupings: Mapping[str,
     basic = long.groupBy(*keys).agg(
         F.count("x").alias("n"), F.avg("x").alias("mean"), F.min("x").alias("min"),
         F.max("x").alias("max"))
-    spread = quantile_columns(long, ["x"], keys, STACKED)
+    spread = quantile_columns(long, ["x"], keys, STACKED, written=True)
     return (basic.join(spread, keys)
             .select(*keys, "n", F.col("x_median").alias("median"), "mean",
                     F.col("x_p25").alias("p25"), F.col("x_p75").alias("p75"), "min", "max"))
@@ -73,7 +73,8 @@ def group_summary(df: DataFrame, group: Sequence[str], value: str,
                   prefix: str | None = None, more_values: Sequence[str] = ()) -> DataFrame:
     """Per group: ``n``, median, quartiles, mean and sd of a value, percentages of predicates.
 
-    ``others`` adds further aggregates, ``more_values`` quartiles of further columns.
+    ``others`` adds further aggregates, ``more_values`` quartiles of further columns. ``df`` is read three
+    times, so it should be a table or little more.
     """
     prefix = prefix or value
     basic = df.groupBy(*group).agg(
@@ -81,7 +82,7 @@ def group_summary(df: DataFrame, group: Sequence[str], value: str,
         F.stddev_samp(value).alias(f"{prefix}_sd"),
         *[pct_where(c).alias(name) for name, c in (percentages or {}).items()],
         *[c.alias(name) for name, c in (others or {}).items()])
-    spread = quantile_columns(df, [value, *more_values], group, QUARTILES)
+    spread = quantile_columns(df, [value, *more_values], group, QUARTILES, written=True)
     if prefix != value:
         for q in QUARTILES:
             spread = spread.withColumnRenamed(f"{value}_{q}", f"{prefix}_{q}")
@@ -133,9 +134,10 @@ def percentile_ladder(df: DataFrame, value: str, group: Sequence[str], strata: s
                       percents: Sequence[int], name: str = "percentile",
                       overall: str = "All") -> DataFrame:
     """Quantiles at a list of percents per group and stratum, and over all strata."""
-    both = df.select(*group, value, F.explode(
+    rows = materialise(df.select(*group, value, strata), "values")
+    both = rows.select(*group, value, F.explode(
         F.array(F.lit(overall), F.col(strata).cast("string"))).alias(strata))
-    found = quantiles(both, value, [(p / 100, "linear") for p in percents], [*group, strata])
+    found = quantiles(both, value, [(p / 100, "linear") for p in percents], [*group, strata], written=True)
     percent = F.round(F.col("prob") * 100).cast("int")
     return found.select(*group, strata, percent.alias(name), "quantile")
 

@@ -3,7 +3,8 @@
 Rows are sorted once over the whole cluster by (group, value), numbered in that order and
 cut into slices of consecutive rows. Each slice knows how many rows of a group lie in the
 slices before it, so a rank is slice offset plus position inside the slice. A group holding
-most of the rows spreads over many slices, and a quantile reads only the slices it falls into.
+most of the rows spreads over many slices. For a quantile rows are first counted in bins of nearly the
+same value, and only the bins it falls into are sorted.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from ..session import materialise
 _SLICE, _WEIGHT, _BEFORE, _ROW, _BLOCK = "_slice", "_weight", "_before", "_row_no", "_block"
 SLICE_BITS = 12
 BLOCK_BITS = 12  # slices of one block, for sums over slices
+_BIN = "_bin"
+BINS = 256  # of values from a power of e to the next
 
 
 def _ordering(names: Sequence[str]) -> list[Column]:
@@ -115,41 +118,62 @@ def running_max(df: DataFrame, order: Sequence[str], value: str, group: Sequence
         *df.columns, F.greatest("_here", "_carry").alias(name))
 
 
+def _bin_of(value: Column) -> Column:
+    """A whole number that grows with the value; values of nearly the same size share one."""
+    x = value.cast("double")
+    size = F.floor((F.log(F.abs(x)) + 750) * BINS)  # the smallest double is above e^-750; infinity is cut to a long
+    return F.when(F.isnan(x), F.lit(2**63 - 1)).when(x == 0, F.lit(0)).when(x > 0, size).otherwise(-size)
+
+
 def quantiles(df: DataFrame, value: str, probs: Sequence[tuple[float, str]],
-              group: Sequence[str] = ()) -> DataFrame:
+              group: Sequence[str] = (), written: bool = False) -> DataFrame:
     """Exact quantiles per group: columns ``group..., prob, rule, quantile, n_values``.
 
     ``probs`` holds (probability, rule) with rule ``linear`` (interpolate between the two
     neighbouring order statistics) or ``nearest`` (the value at the rounded position,
     halves upward). Missing values are left out.
+
+    Values are counted by group and bin first; only those of a bin with a wanted order statistic are
+    shuffled and sorted. ``df`` is read twice and written before, unless it comes from a ``written`` table.
     """
-    group = list(group)
-    counted = materialise(  # the range partitioning samples this copy, not the input again
-        df.where(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias(_WEIGHT)), "counted")
-    sliced = _sliced(counted, group, ["_value"])
-    offsets = _offsets(sliced, group, F.sum(_WEIGHT))
-
-    # Which order statistics each probability needs; positions count from 0. Only the slices
-    # that hold one of them go on.
+    group, own = list(group), [*group, _BIN]
+    values = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_value"))
+    binned = (values if written else materialise(values, "values")).withColumn(_BIN, _bin_of(F.col("_value")))
+    sizes = materialise(binned.groupBy(*own).agg(F.count(F.lit(1)).alias("_size")), "bins")
+    per_group = W.partitionBy(*group) if group else W.partitionBy(F.lit(1))  # its bins: their number has a bound
+    earlier = per_group.orderBy(_BIN).rowsBetween(W.unboundedPreceding, -1)
+    bins = sizes.select("*", F.sum("_size").over(per_group).alias("_total"),
+                        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias(_BEFORE))
+
+    # Which order statistics each probability needs; positions count from 0. Only the bins and then
+    # the slices that hold one of them go on.
     wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(r).alias("rule"))
                        for p, r in probs])
     is_linear = F.col("rule") == "linear"
     place = (F.col("_total") - 1) * F.col("prob")
     asked = (
-        offsets.select("*", F.inline(wanted)).withColumn("_place", place)
+        bins.select("*", F.inline(wanted)).withColumn("_place", place)
         .withColumn("_low", F.when(is_linear, F.floor("_place"))
                     .otherwise(F.floor(F.col("_place") + 0.5)).cast("bigint"))
         .withColumn("_high", F.when(is_linear, F.ceil("_place")).otherwise(F.col("_low"))
                     .cast("bigint")))
     holds = lambda at: ((F.col(at) >= F.col(_BEFORE))
                         & (F.col(at) < F.col(_BEFORE) + F.col("_size")))
-    targets = asked.where(holds("_low") | holds("_high")).groupBy(*group, _SLICE).agg(
+    held = lambda parts, *keys: parts.where(holds("_low") | holds("_high")).groupBy(*keys).agg(
         F.first(_BEFORE).alias(_BEFORE), F.first("_total").alias("_total"),
         F.collect_list(F.struct("prob", "rule", "_place", "_low", "_high")).alias("_asked"))
-    rows = (_join(sliced, targets, group)
-            .withColumn("_end", F.col(_BEFORE) + F.sum(_WEIGHT).over(_within(group, [_ROW]))))
+    of_bin = materialise(held(asked, *own).withColumnRenamed(_BEFORE, "_bin_before"), "asked")
+    name = F.xxhash64(*own).alias("_name")  # one number leaves few rows to the join by group and bin
+    near = binned.withColumn("_name", name).join(of_bin.select(name).distinct(), "_name", "left_semi").drop("_name")
+    counted = materialise(  # the range partitioning samples this copy, not the input again
+        _join(near, of_bin.select(*own), group, _BIN)
+        .groupBy(*own, "_value").agg(F.count(F.lit(1)).alias(_WEIGHT)), "counted")
+    sliced = _sliced(counted, own, ["_value"])
+    offsets = _offsets(sliced, own, F.sum(_WEIGHT)).drop("_total")
+    in_slices = (_join(offsets, of_bin, group, _BIN).withColumn(_BEFORE, F.col(_BEFORE) + F.col("_bin_before"))
+                 .select(*own, _SLICE, _BEFORE, "_size", "_total", F.inline("_asked")))
+    rows = (_join(sliced, held(in_slices, *own, _SLICE), own)
+            .withColumn("_end", F.col(_BEFORE) + F.sum(_WEIGHT).over(_within(own, [_ROW]))))
     inside = lambda at: ((at < F.col("_end"))
                          & (at >= F.col("_end") - F.col(_WEIGHT)))
     hits = (rows.withColumn("_asked", F.filter(
@@ -168,19 +192,19 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[tuple[float, str]],
 
 
 def quantile_columns(df: DataFrame, values: Sequence[str], group: Sequence[str],
-                     names: dict[str, tuple[float, str]]) -> DataFrame:
+                     names: dict[str, tuple[float, str]], written: bool = False) -> DataFrame:
     """One row per group with ``{value}_{name}`` for every value column and quantile.
 
-    All value columns share one sorted pass over (group, measure, value).
+    All value columns share the passes over (group, measure, value).
     """
     group = list(group)
-    long = df.select(
-        *group,
-        F.explode(F.array(*[
-            F.struct(F.lit(v).alias("measure"), F.col(v).cast("double").alias("measured"))
-            for v in values])).alias("m")).select(*group, "m.measure", "m.measured")
+    wide = df.select(*group, *[F.col(v).cast("double").alias(f"_of_{v}") for v in values])
+    wide = wide if written else materialise(wide, "values")
+    long = wide.select(*group, F.explode(F.array(*[
+        F.struct(F.lit(v).alias("measure"), F.col(f"_of_{v}").alias("measured"))
+        for v in values])).alias("m")).select(*group, "m.measure", "m.measured")
     found = quantiles(long, "measured", list(dict.fromkeys(names.values())),
-                      [*group, "measure"])
+                      [*group, "measure"], written=True)
     return found.groupBy(*group).agg(*[
         F.max(F.when((F.col("measure") == v) & (F.col("prob") == p) & (F.col("rule") == r),
                      F.col("quantile"))).alias(f"{v}_{name}")
